@@ -80,6 +80,20 @@ def snapshots_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(*SNAPSHOT_KEY).agg(F.max("value").alias("value"))
 
 
+def raw_big(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as raw rows: monthly prices, all text, with duplicates but no bad dates."""
+    line = F.col("l_linenumber") % 4
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("series_id"),
+        F.date_format(F.date_trunc("month", "l_shipdate"), "yyyy-MM-dd").alias("date"),
+        F.col("l_extendedprice").cast("string").alias("value"),
+        (F.floor(F.col("l_suppkey") / 25) + 9).cast("int").alias("release_id"),
+        F.when(line == 0, "2002-01-01").when(line == 1, "2002-02-01")
+        .when(line == 2, "2002-03-01").otherwise("2002-04-01").alias("vintage_date"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"),
+    )
+
+
 def changes_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of ``snapshots_big``."""
     return change_log(snapshots_big(spark, sf_dir))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from revtide.functions.parsing import as_date
 from revtide.operators.observations import dedup_vintage_key
 from revtide.operators.vintages import KEY, release_state
-from revtide.session import small_side
+from revtide.session import stored
 
 CHANGE_COLUMNS = [*KEY, "vintage_date", "value", "value_str", "_change_type"]
 CHANGE_TYPES = ["insert", "update", "delete"]
@@ -25,18 +25,20 @@ def detect_changes(
     new: DataFrame,
     vintage_date: str | datetime.date,
     release_id: int | None = None,
+    scope: DataFrame | None = None,
 ) -> DataFrame:
     """Change rows that bring the log to the state of ``new``, one vintage of one or more releases.
 
     The log is read as it was before ``vintage_date``, so repeating a merge gives the same rows.
-    Without ``release_id`` the releases in ``new`` are the scope; a release with no new rows at all
-    is left alone. Both join sides have one row per point, so the join cannot be skewed.
+    Without ``release_id`` the releases in ``new`` are the scope (``scope`` if they are known); a
+    release with no new rows at all is left alone. Both join sides have one row per point, so the
+    join cannot be skewed.
     """
     day = as_date(vintage_date)
     if release_id is not None:
         new = new.withColumn("release_id", F.lit(release_id).cast("int"))
     else:
-        scope = small_side(new.select("release_id").distinct())
+        scope = merge_scope(new) if scope is None else scope
         log = log.join(scope, "release_id", "left_semi")
     current = release_state(log, release_id, before=day)
     new = dedup_vintage_key(with_value_text(new), KEY)
@@ -56,6 +58,11 @@ def detect_changes(
     }).filter(F.col("_change_type").isNotNull()).select(*CHANGE_COLUMNS)
 
 
+def merge_scope(new: DataFrame) -> DataFrame:
+    """The releases in the new rows, stored."""
+    return stored(new.select("release_id").distinct(), "scope")
+
+
 def vintage_calendar(snapshots: DataFrame) -> DataFrame:
     """Vintages of each release and the one that follows. Small: one row per release and vintage."""
     window = Window.partitionBy("release_id").orderBy("vintage_date")
@@ -72,11 +79,11 @@ def change_log(snapshots: DataFrame, calendar: DataFrame | None = None) -> DataF
     its releases and vintages; with a column ``is_new`` only changes at new vintages come out.
     """
     if calendar is None:
-        calendar = vintage_calendar(snapshots)
+        calendar = stored(vintage_calendar(snapshots), "calendar")
     if "is_new" not in calendar.columns:
         calendar = calendar.withColumn("is_new", F.lit(True))
     known = with_value_text(snapshots).select(*KEY, "vintage_date", "value", "value_str").join(
-        small_side(calendar), ["release_id", "vintage_date"]
+        calendar, ["release_id", "vintage_date"]
     )
     window = Window.partitionBy(*KEY).orderBy("vintage_date")
     steps = known.withColumns({
@@ -101,13 +108,14 @@ def change_log(snapshots: DataFrame, calendar: DataFrame | None = None) -> DataF
 def touched_calendar(snapshots: DataFrame, touched: DataFrame) -> DataFrame:
     """Vintages of the touched releases from their earliest touched one on, and the one before.
 
-    ``touched`` names (release_id, vintage_date) pairs in any order and with repeats.
+    Stored. ``touched`` names (release_id, vintage_date) pairs in any order and with repeats.
     """
-    first = small_side(touched.groupBy("release_id").agg(F.min("vintage_date").alias("_first")))
+    first = touched.groupBy("release_id").agg(F.min("vintage_date").alias("_first"))
     calendar = vintage_calendar(snapshots).join(first, "release_id")
     is_new = F.col("vintage_date") >= F.col("_first")
     leads_in = F.col("next_vintage") >= F.col("_first")
-    return calendar.filter(is_new | leads_in).withColumn("is_new", is_new).drop("_first")
+    calendar = calendar.filter(is_new | leads_in).withColumn("is_new", is_new).drop("_first")
+    return stored(calendar, "calendar")
 
 
 def extend_log(snapshots: DataFrame, touched: DataFrame) -> DataFrame:

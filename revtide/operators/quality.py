@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revtide.functions.parsing import is_blank, is_iso_date, parse_value
 from revtide.schemas import CURATED_REQUIRED
-from revtide.session import small_side
+from revtide.session import stored
 
 # Fixed values of the rules.
 OUTLIER_MIN_VALUES = 10
@@ -62,7 +62,7 @@ def outlier_limits(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataF
 
 def outlier_counts(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataFrame:
     """Values beyond the outlier limit, per release or per other grouping."""
-    marked = raw.join(small_side(outlier_limits(raw, by)), list(by))
+    marked = raw.join(stored(outlier_limits(raw, by), "limits"), list(by))
     return marked.groupBy(*by).agg(F.count_if(_is_outlier()).alias("value_outliers"))
 
 
@@ -75,7 +75,7 @@ def release_quality(
     step combines before its shuffle. ``releases`` adds releases that delivered nothing. A release
     is valid without errors and with less than a tenth of its values missing.
     """
-    marked = raw.join(small_side(outlier_limits(raw)), "release_id", "left")
+    marked = raw.join(stored(outlier_limits(raw), "limits"), "release_id", "left")
     points = marked.groupBy("release_id", "series_id", "date").agg(
         F.count("*").alias("n"),
         F.count_if(is_blank(F.col("value"))).alias("null_values"),

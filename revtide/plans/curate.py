@@ -16,24 +16,28 @@ from revtide.schemas import RAW_PATCHED
 from revtide.sources.tables import overwrite_by_month, read_table, save_analysis_tables
 
 
-def curated_rows(raw: DataFrame, vintage_date: str | None = None) -> DataFrame:
-    """Deduplicated raw rows with all columns of the curated table, still unchecked.
-
-    A missing collection time becomes the vintage.
-    """
+def filled_rows(raw: DataFrame, vintage_date: str | None = None) -> DataFrame:
+    """Raw rows with all columns of the curated table. A missing collection time is the vintage."""
     defaults = {"collected_at": F.lit(vintage_date)} if vintage_date else {}
-    filled = fill_missing_columns(raw, RAW_PATCHED, defaults)
-    return with_year_month(dedup_series_date(filled))
+    return with_year_month(fill_missing_columns(raw, RAW_PATCHED, defaults))
+
+
+def curated_rows(raw: DataFrame, vintage_date: str | None = None) -> DataFrame:
+    """Deduplicated rows of the curated table, still unchecked."""
+    return dedup_series_date(filled_rows(raw, vintage_date))
 
 
 def curate(
     spark: SparkSession, raw: DataFrame, table_path: str, vintage_date: str | None = None
 ) -> DataFrame:
     """Write the curated table and return it; raises ``QualityError`` and writes nothing if a check
-    fails."""
-    rows = curated_rows(raw, vintage_date)
-    require_passed(gate_checks(rows))
-    overwrite_by_month(rows, table_path)
+    fails.
+
+    The gate looks at the rows before they are deduplicated: one scan of the checked columns
+    without a shuffle, instead of deduplicating everything twice.
+    """
+    require_passed(gate_checks(filled_rows(raw, vintage_date)))
+    overwrite_by_month(curated_rows(raw, vintage_date), table_path)
     return read_table(spark, table_path)
 
 

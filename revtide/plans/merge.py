@@ -1,7 +1,8 @@
 """Merging into the change log: one vintage at a time or whatever a batch touched.
 
 The log is partitioned by vintage. A merge replaces the (release, vintage) slices it derives and
-keeps the other releases of those vintages, so repeating it changes nothing.
+keeps the other releases of those vintages, so repeating it changes nothing. Each merge derives its
+rows once, in the job that writes them, and counts them afterwards in the log.
 """
 
 from __future__ import annotations
@@ -16,17 +17,18 @@ from revtide.operators.changes import (
     change_counts,
     change_log,
     detect_changes,
+    merge_scope,
     touched_calendar,
 )
 from revtide.operators.layout import compact
 from revtide.operators.ledger import conform
 from revtide.operators.observations import dedup_vintage_key
 from revtide.operators.vintages import KEY
-from revtide.schemas import SERIES_OBSERVATIONS
-from revtide.session import scratch_path, small_side
+from revtide.schemas import PARTITION_COLUMNS, SERIES_OBSERVATIONS
 from revtide.sources.tables import ensure_table, overwrite_touched, read_table
 
-LOG_PARTITIONS = ["vintage_date"]
+LOG_PARTITIONS = PARTITION_COLUMNS["series_observations"]
+SLICE = ["release_id", "vintage_date"]
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -47,15 +49,18 @@ def merge_vintage(
     ensure_table(spark, log_path, "series_observations")
     day = as_date(vintage_date)
     log = read_log(spark, log_path)
-    changes = _stored(detect_changes(log, new, day, release_id), etl_run_id, api_version)
     if release_id is None:
-        releases = new.select("release_id").distinct()
+        scope = merge_scope(new)
     else:
-        releases = spark.createDataFrame([(release_id,)], "release_id int")
-    slices = releases.withColumn("vintage_date", F.lit(day))
-    _replace_slices(log, changes, small_side(slices), log_path)
-    counts = change_counts(changes).first().asDict()
-    return {**counts, "total_processed": new.count()}
+        scope = spark.createDataFrame([(release_id,)], "release_id int")
+    changes = detect_changes(log, new, day, release_id, scope)
+    same_day = log.filter(F.col("vintage_date") == F.lit(day))
+    slices = scope.withColumn("vintage_date", F.lit(day))
+    stamp = _replace_slices(same_day, changes, slices, log_path, etl_run_id, api_version)
+    written = read_log(spark, log_path).filter(
+        (F.col("vintage_date") == F.lit(day)) & (F.col("last_updated") == stamp)
+    )
+    return {**change_counts(written).first().asDict(), "total_processed": new.count()}
 
 
 def merge_touched(
@@ -67,43 +72,48 @@ def merge_touched(
         return
     spark = snapshots.sparkSession
     ensure_table(spark, log_path, "series_observations")
-    calendar = small_side(touched_calendar(snapshots, touched))
+    calendar = touched_calendar(snapshots, touched)
     clean = dedup_vintage_key(snapshots, [*KEY, "vintage_date"])
-    changes = _stored(change_log(clean, calendar), etl_run_id, api_version)
-    slices = calendar.filter("is_new").select("release_id", "vintage_date")
-    _replace_slices(read_log(spark, log_path), changes, small_side(slices), log_path)
+    changes = change_log(clean, calendar)
+    slices = calendar.filter("is_new").select(*SLICE)
+    vintages = slices.select("vintage_date").distinct()
+    same_days = read_log(spark, log_path).join(vintages, "vintage_date", "left_semi")
+    _replace_slices(same_days, changes, slices, log_path, etl_run_id, api_version)
 
 
-def _stored(changes: DataFrame, etl_run_id: str, api_version: str) -> DataFrame:
-    """Change rows as log rows, written once so that counting them does not derive them again."""
+def _replace_slices(
+    same_days: DataFrame, changes: DataFrame, slices: DataFrame, path: str,
+    etl_run_id: str, api_version: str,
+):
+    """Replace slices by change rows; ``same_days`` are the log rows of the slices' vintages.
+
+    Returns the time stamp of the new rows, as a column to compare with.
+    """
+    spark = same_days.sparkSession
+    stamp = F.lit(datetime.datetime.now().astimezone())
     stamped = changes.withColumns({
         "realtime_start": F.col("vintage_date"),
         "realtime_end": F.col("vintage_date"),
-        "last_updated": F.current_timestamp(),
+        "last_updated": stamp,
         "_etl_run_id": F.lit(etl_run_id),
         "_source_api_version": F.lit(api_version),
     })
-    spark = changes.sparkSession
-    path = scratch_path(spark, "changes")
-    conform(stamped, SERIES_OBSERVATIONS).write.parquet(path)
-    return read_table(spark, path, SERIES_OBSERVATIONS)
+    kept = same_days.join(slices, SLICE, "left_anti")
+    rows = kept.unionByName(conform(stamped, SERIES_OBSERVATIONS))
+    overwrite_touched(compact(rows, LOG_PARTITIONS), path, LOG_PARTITIONS)
+    _empty_left_over(spark, slices, path, stamp)
+    return stamp
 
 
-def _replace_slices(log: DataFrame, changes: DataFrame, slices: DataFrame, path: str) -> None:
-    """Replace the slices by the change rows.
+def _empty_left_over(spark: SparkSession, slices: DataFrame, path: str, stamp) -> None:
+    """Empty the vintages that should have no row any more.
 
-    Overwriting by partition cannot empty one, so the vintages that lose all their rows are emptied
-    by name afterwards. That takes a correction that took back every change of a vintage; there are
-    never more such vintages than the slices have.
+    Overwriting by touched partition cannot empty one. A replaced slice with rows of another time
+    stamp gives such a vintage away. It takes a correction that took back every change of a vintage,
+    and there are never more such vintages than the merge touched.
     """
-    vintages = small_side(slices.select("vintage_date").distinct())
-    touched = log.join(vintages, "vintage_date", "left_semi")
-    kept = touched.join(slices, ["release_id", "vintage_date"], "left_anti")
-    rows = kept.unionByName(changes).select(*SERIES_OBSERVATIONS.names)
-    day = ["vintage_date"]
-    emptied = touched.select(*day).distinct().join(rows.select(*day).distinct(), day, "left_anti")
-    emptied = [row["vintage_date"] for row in emptied.collect()]
-    overwrite_touched(compact(rows, LOG_PARTITIONS), path, LOG_PARTITIONS)
-    nothing = log.sparkSession.createDataFrame([], SERIES_OBSERVATIONS).drop("vintage_date")
-    for vintage in emptied:
-        nothing.write.mode("overwrite").parquet(f"{path}/vintage_date={vintage}")
+    old = read_log(spark, path).filter(F.col("last_updated") != stamp)
+    left = old.join(slices, SLICE, "left_semi").select("vintage_date").distinct()
+    nothing = spark.createDataFrame([], SERIES_OBSERVATIONS).drop("vintage_date")
+    for row in left.collect():
+        nothing.write.mode("overwrite").parquet(f"{path}/vintage_date={row['vintage_date']}")

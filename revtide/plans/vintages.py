@@ -7,13 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructType
 
 from revtide.functions.parsing import as_date, parse_date
-from revtide.operators.layout import compact, repartition_by_series
+from revtide.operators.layout import compact
 from revtide.operators.observations import dedup_vintage_key, to_snapshot
 from revtide.operators.upserts import upsert_counts, upsert_snapshot
 from revtide.schemas import PARTITION_COLUMNS, SNAPSHOTS
-from revtide.session import scratch_path
+from revtide.session import stored
 from revtide.sources.raw import read_raw
 from revtide.sources.tables import ensure_table, overwrite_touched, read_table
 
@@ -36,27 +37,34 @@ def ingest_vintages(
     """Upsert landed vintages (default: all) into the snapshots table in one job.
 
     Returns raw_count, inserted and updated per vintage. Only the directories of those vintages are
-    read and rewritten, and a row is updated only if its value changed.
+    read and rewritten, and a row is updated only if its value changed. Rows without a series or a
+    date cannot be keyed and stay in the landing zone. What happened to a row is kept next to it in
+    a column outside the table's schema, so counting reads one small column and nothing is computed
+    twice.
     """
     ensure_table(spark, table_path, "snapshots")
     raw = read_raw(spark, raw_path)
     target = read_snapshots(spark, table_path)
-    if vintages is not None:
+    if vintages is None:
+        days = stored(landed_vintages(raw), "vintages")
+        target = target.join(days, "vintage_date", "left_semi")
+    else:
         days = [as_date(v) for v in vintages]
         raw = raw.filter(F.col("vintage_date").isin([d.isoformat() for d in days]))
         target = target.filter(F.col("vintage_date").isin(days))
-    else:
-        target = target.join(landed_vintages(raw), "vintage_date", "left_semi")
     typed = to_snapshot(raw).filter(
         F.col("series_id").isNotNull() & F.col("date").isNotNull()
     )
-    merged = _stored(upsert_snapshot(target, dedup_vintage_key(typed)))
-    rows = repartition_by_series(merged.select(*SNAPSHOTS.names))
-    overwrite_touched(rows, table_path, PARTITION_COLUMNS["snapshots"])
+    merged = upsert_snapshot(target, dedup_vintage_key(typed))
+    overwrite_touched(
+        compact(merged, PARTITION_COLUMNS["snapshots"]), table_path, PARTITION_COLUMNS["snapshots"]
+    )
     landed = raw.groupBy(parse_date(F.col("vintage_date")).alias("vintage_date")).agg(
         F.count("*").alias("raw_count")
     )
-    done = merged.groupBy("vintage_date").agg(
+    done = read_table(
+        spark, table_path, StructType().add("vintage_date", DateType()).add("_action", StringType())
+    ).groupBy("vintage_date").agg(
         F.count_if(F.col("_action") == "inserted").alias("inserted"),
         F.count_if(F.col("_action") == "updated").alias("updated"),
     )
@@ -78,12 +86,6 @@ def upsert_table(
     The result is stored first because a table cannot be replaced while it is being read.
     """
     ensure_table(spark, table_path, table)
-    merged = _stored(upsert(read_table(spark, table_path), source))
+    merged = stored(upsert(read_table(spark, table_path), source), "upsert")
     compact(merged.drop("_action")).write.mode("overwrite").parquet(table_path)
     return upsert_counts(merged).first().asDict()
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "upsert")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch space and size-checked broadcasts."""
+"""Session helpers: the shared folder, and lookup sides whose size Spark knows."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType, StringType
-
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,12 +13,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
         return configured
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -35,33 +29,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/revtide/{uuid.uuid4().hex}/{name}"
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (negative: broadcasting is off)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
-    text = text.strip().lower().removesuffix("b")
-    units = {"k": 1024, "m": 1024**2, "g": 1024**3}
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
-
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write a frame to the shared folder once and read it back.
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Materialise a lookup side once, measure it, and broadcast it only if it is small enough.
-
-    The measured bytes are compared with ``spark.sql.autoBroadcastJoinThreshold``. A larger side is
-    returned without a hint: Spark then shuffles the join, and adaptive execution splits hot keys.
-    The side is checkpointed because it is read twice (to measure it and to join it) and usually
-    comes from an aggregate over a big table.
+    What follows does not compute it again, also not after losing an executor, and Spark plans with
+    its real size: as a join side it is broadcast if its files are within
+    ``spark.sql.autoBroadcastJoinThreshold``, else the join is shuffled and adaptive execution splits
+    hot keys. The frames this is used for come from aggregates over big tables, whose size Spark
+    could only guess; a wrong guess shuffles the big table.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    stored = df.checkpoint()
-    row_bytes = F.lit(0)
-    for field in stored.schema.fields:
-        row_bytes = row_bytes + _width(field.name, field.dataType)
-    size = stored.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0
-    return F.broadcast(stored) if size <= broadcast_limit(spark) else stored
-
-
-def _width(name: str, kind: DataType):
-    if isinstance(kind, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(name), F.lit(0)) + 16
-    return F.lit(16)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
