@@ -872,18 +872,30 @@ def repartition_by_series(spark, sf):
 
 @query("cluster_table", "SELECT * FROM fx_snapshots_big", "fx_snapshots_big")
 def cluster_table(spark, sf):
-    source, target = scratch_path(spark, "table"), scratch_path(spark, "clustered")
-    tables.save(fx.snapshots_big(spark, sf), source)
-    tables.optimize_table(spark, source, target, "curated")
-    return tables.read_table(spark, target)
+    path = scratch_path(spark, "table")
+    rows = fx.snapshots_big(spark, sf)
+    tables.save(rows, path)
+    tables.optimize_table(spark, path, "series_metadata")
+    return tables.read_table(spark, path, rows.schema)
+
+
+@query("cluster_partitioned_table", """
+    SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
+    FROM fx_snapshots_big""", "fx_snapshots_big")
+def cluster_partitioned_table(spark, sf):
+    path = scratch_path(spark, "curated")
+    tables.overwrite_by_month(monthly(spark, sf), path)
+    tables.optimize_table(spark, path, "curated")
+    return tables.read_table(spark, path)
 
 
 @query("compact_table", "SELECT * FROM fx_snapshots_big", "fx_snapshots_big")
 def compact_table(spark, sf):
-    source, target = scratch_path(spark, "table"), scratch_path(spark, "compacted")
-    tables.save(fx.snapshots_big(spark, sf), source)
-    tables.optimize_table(spark, source, target, "collection_history")
-    return tables.read_table(spark, target)
+    path = scratch_path(spark, "table")
+    rows = fx.snapshots_big(spark, sf)
+    tables.save(rows, path)
+    tables.optimize_table(spark, path, "collection_history")
+    return tables.read_table(spark, path, rows.schema)
 
 
 @query("update_where", """

@@ -47,13 +47,19 @@ def cluster_key(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS)
     return interleave_bits(buckets, bits)
 
 
-def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+def cluster(
+    df: DataFrame,
+    columns: Sequence[str],
+    partition_columns: Sequence[str] = (),
+    files: int | None = None,
+) -> DataFrame:
     """Rows range-partitioned and sorted along the key, so files cover narrow ranges of each column.
 
-    The partition ranges end in a hash of the row, so rows that share all clustered columns can
-    still be cut into several partitions.
+    Partition columns come first in the ranges: a task then writes to one or two directories, not
+    to all of them. A hash of the row comes last: rows that share all clustered columns can still
+    be cut into several tasks.
     """
-    order = [F.col("_cluster"), *(F.col(c) for c in columns)]
+    order = [*(F.col(c) for c in partition_columns), F.col("_cluster"), *(F.col(c) for c in columns)]
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     keyed = df.withColumn("_cluster", cluster_key(df, columns))
     ranges = [*order, F.xxhash64(*hashable)]

@@ -100,7 +100,8 @@ def _replace_slices(
     })
     kept = same_days.join(slices, SLICE, "left_anti")
     rows = kept.unionByName(conform(stamped, SERIES_OBSERVATIONS))
-    overwrite_touched(compact(rows, LOG_PARTITIONS), path, LOG_PARTITIONS)
+    laid_out = compact(rows, LOG_PARTITIONS).sortWithinPartitions(*LOG_PARTITIONS, "series_id", "date")
+    overwrite_touched(laid_out, path, LOG_PARTITIONS)
     _empty_left_over(spark, slices, path, stamp)
     return stamp
 

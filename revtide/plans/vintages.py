@@ -56,9 +56,9 @@ def ingest_vintages(
         F.col("series_id").isNotNull() & F.col("date").isNotNull()
     )
     merged = upsert_snapshot(target, dedup_vintage_key(typed))
-    overwrite_touched(
-        compact(merged, PARTITION_COLUMNS["snapshots"]), table_path, PARTITION_COLUMNS["snapshots"]
-    )
+    partitions = PARTITION_COLUMNS["snapshots"]
+    laid_out = compact(merged, partitions).sortWithinPartitions(*partitions, "series_id", "date")
+    overwrite_touched(laid_out, table_path, partitions)
     landed = raw.groupBy(parse_date(F.col("vintage_date")).alias("vintage_date")).agg(
         F.count("*").alias("raw_count")
     )

@@ -116,6 +116,7 @@ TABLES = {
 PARTITION_COLUMNS = {
     "series_observations": ["vintage_date"],
     "snapshots": ["vintage_date"],
+    "curated": ["year", "month"],
 }
 
 # Columns whose ranges readers filter on; a table that is not listed is only compacted.

@@ -20,10 +20,9 @@ def read_raw(
 ) -> DataFrame:
     """All raw rows below a path, or those of one vintage.
 
-    Columns a file lacks become null. Unreadable files fail the job unless ``skip_corrupt`` is set.
+    The schema is given, so columns a file lacks become null. Unreadable files fail the job unless ``skip_corrupt`` is set.
     """
-    reader = spark.read.schema(RAW).option("mergeSchema", True)
-    raw = reader.option("ignoreCorruptFiles", skip_corrupt).parquet(path)
+    raw = spark.read.schema(RAW).option("ignoreCorruptFiles", skip_corrupt).parquet(path)
     if vintage_date is None:
         return raw
     return raw.filter(F.col("vintage_date") == as_date(vintage_date).isoformat())

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from revtide.operators.layout import cluster, compact
 from revtide.operators.ledger import conform
 from revtide.operators.statistics import release_statistics, series_coverage, value_statistics
 from revtide.schemas import CLUSTER_COLUMNS, PARTITION_COLUMNS, schema_of
+from revtide.session import stored
 
 DEFAULT_FORMAT = "parquet"
 COMPRESSION = "snappy"
@@ -95,19 +96,24 @@ def save_analysis_tables(df: DataFrame, path: str) -> dict[str, str]:
 
 
 def optimize_table(
-    spark: SparkSession, source: str, target: str, table: str, files: int | None = None
+    spark: SparkSession, path: str, table: str, files: int | None = None
 ) -> None:
-    """Rewrite a table to a new path, clustered if it has cluster columns, else compacted.
+    """Rewrite a table in place, clustered if it has cluster columns, else compacted.
 
-    Partitions stay; within them rows follow the cluster key.
+    Directories are replaced as a whole when the job commits. A table without partitions cannot be
+    read while it is replaced, so its new rows are stored first.
     """
-    rows = read_table(spark, source)
+    rows = read_table(spark, path)
     partitions = [c for c in PARTITION_COLUMNS.get(table, []) if c in rows.columns]
     columns = [c for c in CLUSTER_COLUMNS.get(table, []) if c in rows.columns]
-    laid_out = cluster(rows, columns, files) if columns else compact(rows, partitions)
-    laid_out.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(
-        *partitions
-    ).save(target)
+    if columns:
+        laid_out = cluster(rows, columns, partitions, files)
+    else:
+        laid_out = compact(rows, partitions)
+    if partitions:
+        overwrite_touched(laid_out, path, partitions)
+    else:
+        save(stored(laid_out, "optimized"), path)
 
 
 def table_info(df: DataFrame) -> DataFrame:
