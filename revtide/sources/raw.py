@@ -22,7 +22,8 @@ def read_raw(
 
     The schema is given, so columns a file lacks become null. Unreadable files fail the job unless ``skip_corrupt`` is set.
     """
-    raw = spark.read.schema(RAW).option("ignoreCorruptFiles", skip_corrupt).parquet(path)
+    reader = spark.read.schema(RAW).option("ignoreCorruptFiles", skip_corrupt)
+    raw = reader.parquet(path).select(*RAW.names)
     if vintage_date is None:
         return raw
     return raw.filter(F.col("vintage_date") == as_date(vintage_date).isoformat())

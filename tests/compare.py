@@ -26,6 +26,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
 
