@@ -25,6 +25,7 @@ from revtide.operators import statistics as stats
 from revtide.plans import curate, vintages as ingest
 from revtide.session import scratch_path
 from revtide.sources import tables
+from revtide.sources.raw import land_raw
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -74,7 +75,7 @@ def main() -> None:
     tables.overwrite_by_month(observations.with_year_month(snapshots), curated_path)
     curated = tables.read_table(spark, curated_path)
     landing = scratch_path(spark, "landing")
-    raw.write.partitionBy("vintage_date", "release_id").parquet(landing)
+    land_raw(raw, landing)
 
     jobs = {
         "single_series": lambda: selection.total_count(selection.series_filter(curated, "S3")),

