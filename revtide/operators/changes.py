@@ -110,14 +110,28 @@ def touched_calendar(snapshots: DataFrame, touched: DataFrame) -> DataFrame:
 
     Stored. ``touched`` names (release_id, vintage_date) pairs in any order and with repeats.
     """
-    first = touched.groupBy("release_id").agg(F.min("vintage_date").alias("_first"))
-    calendar = vintage_calendar(snapshots).join(first, "release_id")
+    earliest = touched.groupBy("release_id").agg(F.min("vintage_date").alias("_first"))
+    first = stored(earliest, "touched")
+    theirs = snapshots.join(first.select("release_id"), "release_id", "left_semi")
+    calendar = vintage_calendar(theirs).join(first, "release_id")
     is_new = F.col("vintage_date") >= F.col("_first")
     leads_in = F.col("next_vintage") >= F.col("_first")
     calendar = calendar.filter(is_new | leads_in).withColumn("is_new", is_new).drop("_first")
     return stored(calendar, "calendar")
 
 
+def within_calendar(
+    snapshots: DataFrame, calendar: DataFrame, since: datetime.date
+) -> DataFrame:
+    """Snapshot rows of the calendar's releases and vintages.
+
+    ``since`` is the calendar's first vintage; older directories are not read.
+    """
+    recent = snapshots.filter(F.col("vintage_date") >= F.lit(since))
+    slices = calendar.select("release_id", "vintage_date")
+    return recent.join(slices, ["release_id", "vintage_date"], "left_semi")
+
+
 def extend_log(snapshots: DataFrame, touched: DataFrame) -> DataFrame:
     """Change rows of the touched releases from their earliest touched vintage on.
 

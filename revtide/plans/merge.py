@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.functions.parsing import as_date
@@ -19,6 +19,7 @@ from revtide.operators.changes import (
     detect_changes,
     merge_scope,
     touched_calendar,
+    within_calendar,
 )
 from revtide.operators.layout import compact
 from revtide.operators.ledger import conform
@@ -54,12 +55,10 @@ def merge_vintage(
     else:
         scope = spark.createDataFrame([(release_id,)], "release_id int")
     changes = detect_changes(log, new, day, release_id, scope)
-    same_day = log.filter(F.col("vintage_date") == F.lit(day))
     slices = scope.withColumn("vintage_date", F.lit(day))
-    stamp = _replace_slices(same_day, changes, slices, log_path, etl_run_id, api_version)
-    written = read_log(spark, log_path).filter(
-        (F.col("vintage_date") == F.lit(day)) & (F.col("last_updated") == stamp)
-    )
+    on_day = F.col("vintage_date") == F.lit(day)
+    stamp = _replace_slices(spark, changes, slices, on_day, log_path, etl_run_id, api_version)
+    written = read_log(spark, log_path).filter(on_day & (F.col("last_updated") == stamp))
     return {**change_counts(written).first().asDict(), "total_processed": new.count()}
 
 
@@ -68,28 +67,29 @@ def merge_touched(
     api_version: str = "v2",
 ) -> None:
     """Bring the log up to date for the touched (release, vintage) pairs, in whatever order."""
-    if touched.isEmpty():
-        return
     spark = snapshots.sparkSession
-    ensure_table(spark, log_path, "series_observations")
     calendar = touched_calendar(snapshots, touched)
-    clean = dedup_vintage_key(snapshots, [*KEY, "vintage_date"])
-    changes = change_log(clean, calendar)
+    since, first_new = calendar.agg(
+        F.min("vintage_date"), F.min(F.when(F.col("is_new"), F.col("vintage_date")))
+    ).first()
+    if first_new is None:
+        return
+    ensure_table(spark, log_path, "series_observations")
+    rows = within_calendar(snapshots, calendar, since)
+    changes = change_log(dedup_vintage_key(rows, [*KEY, "vintage_date"]), calendar)
     slices = calendar.filter("is_new").select(*SLICE)
-    vintages = slices.select("vintage_date").distinct()
-    same_days = read_log(spark, log_path).join(vintages, "vintage_date", "left_semi")
-    _replace_slices(same_days, changes, slices, log_path, etl_run_id, api_version)
+    recent = F.col("vintage_date") >= F.lit(first_new)
+    _replace_slices(spark, changes, slices, recent, log_path, etl_run_id, api_version)
 
 
 def _replace_slices(
-    same_days: DataFrame, changes: DataFrame, slices: DataFrame, path: str,
+    spark: SparkSession, changes: DataFrame, slices: DataFrame, pruning: Column, path: str,
     etl_run_id: str, api_version: str,
-):
-    """Replace slices by change rows; ``same_days`` are the log rows of the slices' vintages.
+) -> Column:
+    """Replace slices by change rows; ``pruning`` holds for all their vintages.
 
     Returns the time stamp of the new rows, as a column to compare with.
     """
-    spark = same_days.sparkSession
     stamp = F.lit(datetime.datetime.now().astimezone())
     stamped = changes.withColumns({
         "realtime_start": F.col("vintage_date"),
@@ -98,22 +98,26 @@ def _replace_slices(
         "_etl_run_id": F.lit(etl_run_id),
         "_source_api_version": F.lit(api_version),
     })
+    vintages = slices.select("vintage_date").distinct()
+    same_days = read_log(spark, path).filter(pruning).join(vintages, "vintage_date", "left_semi")
     kept = same_days.join(slices, SLICE, "left_anti")
     rows = kept.unionByName(conform(stamped, SERIES_OBSERVATIONS))
     laid_out = compact(rows, LOG_PARTITIONS).sortWithinPartitions(*LOG_PARTITIONS, "series_id", "date")
     overwrite_touched(laid_out, path, LOG_PARTITIONS)
-    _empty_left_over(spark, slices, path, stamp)
+    _empty_left_over(spark, slices, pruning, path, stamp)
     return stamp
 
 
-def _empty_left_over(spark: SparkSession, slices: DataFrame, path: str, stamp) -> None:
+def _empty_left_over(
+    spark: SparkSession, slices: DataFrame, pruning: Column, path: str, stamp: Column
+) -> None:
     """Empty the vintages that should have no row any more.
 
     Overwriting by touched partition cannot empty one. A replaced slice with rows of another time
     stamp gives such a vintage away. It takes a correction that took back every change of a vintage,
     and there are never more such vintages than the merge touched.
     """
-    old = read_log(spark, path).filter(F.col("last_updated") != stamp)
+    old = read_log(spark, path).filter(pruning & (F.col("last_updated") != stamp))
     left = old.join(slices, SLICE, "left_semi").select("vintage_date").distinct()
     nothing = spark.createDataFrame([], SERIES_OBSERVATIONS).drop("vintage_date")
     for row in left.collect():

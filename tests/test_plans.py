@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from revtide import fixtures as fx
 from revtide.operators import layout, observations, quality, selection, vintages
-from revtide.operators.changes import change_log, detect_changes
+from revtide.operators.changes import (
+    change_log,
+    detect_changes,
+    touched_calendar,
+    within_calendar,
+)
 from revtide.session import scratch_path, shared_dir, stored
 from revtide.sources import tables
 
@@ -48,6 +53,20 @@ def test_months_and_vintages_prune_directories(spark, sf_dir):
     assert "year" in kept and "month" in kept
 
 
+def test_a_batch_reads_only_the_vintages_it_needs(spark, sf_dir):
+    path = scratch_path(spark, "snapshots")
+    rows = fx.snapshots(spark, sf_dir)
+    rows.write.partitionBy("vintage_date").parquet(path)
+    table = tables.read_table(spark, path, rows.schema)
+    touched = table.filter("vintage_date = '2024-02-22'").select("release_id", "vintage_date")
+    calendar = touched_calendar(table, touched)
+    since = calendar.agg(F.min("vintage_date")).first()[0]
+    needed = within_calendar(table, calendar, since)
+    assert re.search(r"PartitionFilters: \[.*?vintage_date.* >= ", plan(needed))
+    assert {str(r[0]) for r in needed.select("vintage_date").distinct().collect()} == {
+        "2024-02-08", "2024-02-15", "2024-02-22"}
+
+
 def test_top_k_does_not_sort_everything(spark, sf_dir):
     rows = fx.snapshots_big(spark, sf_dir)
     for found in (selection.latest_n(rows, "S3"), selection.count_by_series(rows),
