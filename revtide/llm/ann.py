@@ -23,7 +23,9 @@ from revtide.session import stored
 #: Rows that the centroids are fitted on, at most (expected value of a hash sample).
 SAMPLE = 16_384
 MAX_LISTS = 4_096
-PROBES = 40
+#: Share of the neighbours in the sample whose lists the probes must reach, and queries that measure it.
+REACH = 0.985
+TRIALS = 256
 BLOCK = 16
 #: Standard errors by which a scaled partial distance must exceed the limit to abandon a candidate.
 EPSILON = 2.1
@@ -74,6 +76,27 @@ def nearest_lists(vectors: np.ndarray, centroids: np.ndarray, probes: int) -> np
     return np.take_along_axis(some, np.take_along_axis(away, some, 1).argsort(1, kind="stable"), 1)
 
 
+def probes_for(sample: np.ndarray, centroids: np.ndarray, k: int, reach: float = REACH) -> int:
+    """How many lists to probe, measured on the sample.
+
+    For some of its vectors the k nearest others are found by comparing all, and so is the place of their
+    lists in the order in which the query would probe them. Data without clusters need many probes,
+    clustered data few. In the whole table neighbours are nearer than in a sample of it, so the measure errs
+    towards more.
+    """
+    asked = np.random.default_rng(SEED).permutation(len(sample))[:TRIALS]
+    owner = nearest_lists(sample, centroids, 1)[:, 0]
+    places = [np.zeros(1, np.int64)]
+    for i in asked:
+        away = ((sample - sample[i]) ** 2).sum(1)
+        away[i] = np.inf
+        others = np.argsort(away, kind="stable")[:min(k, len(sample) - 1)]
+        order = np.empty(len(centroids), np.int64)
+        order[nearest_lists(sample[i:i + 1], centroids, len(centroids))[0]] = np.arange(len(centroids))
+        places.append(order[owner[others]])
+    return int(np.quantile(np.concatenate(places), reach, method="higher")) + 1
+
+
 def _packs(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
     """Rows sorted by list as packs of one list each."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -106,8 +129,7 @@ def _packs(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
 
 
 def scan(
-    query: np.ndarray, turned: np.ndarray, own: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
-    blocks: list[np.ndarray], k: int,
+    query: np.ndarray, turned: np.ndarray, own: np.ndarray, vectors: np.ndarray, blocks: list[np.ndarray], k: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """(rows, exact distances) of the candidates ``own`` that may be among the k nearest.
 
@@ -147,21 +169,20 @@ def _search(frames: Iterator[pd.DataFrame], dimensions: int, k: int) -> Iterator
             queries = np.frombuffer(queries, np.float64).reshape(-1, dimensions)
             turned, asked = vectors @ turn, queries @ turn
             blocks = [np.ascontiguousarray(turned[:, i:i + BLOCK]) for i in range(0, dimensions, BLOCK)]
-            out = []
+            found = []
             for query_id, query, spun in zip(query_ids, queries, asked):
                 own = np.flatnonzero(ids != query_id)
-                rows, away = scan(query, spun, own, ids, vectors, blocks, k)
+                rows, away = scan(query, spun, own, vectors, blocks, k)
                 best = np.lexsort((ids[rows], away))[:k]
-                out.append(pd.DataFrame({
-                    "query_id": query_id, "vec_id": ids[rows[best]], "score": away[best],
-                }))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+                found.append((np.full(len(best), query_id), ids[rows[best]], away[best]))
+            if found:
+                columns = map(np.concatenate, zip(*found))
+                yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
 
 
 def search(
     df: DataFrame, queries: Column, k: int = 10, id_column: str = "vec_id", vector: str = "embedding",
-    probes: int = PROBES,
+    probes: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for each row that meets ``queries``.
 
@@ -169,7 +190,8 @@ def search(
     and vectors that are null, zero, not finite or of another length than most, take no part. A row is
     no candidate of a query with its id. Rows that repeat an id are candidates each. All vectors are indexed;
     the centroids, at most ``MAX_LISTS``, come from a sample of about ``SAMPLE`` rows. Lists and
-    queries travel in packs of bounded size, so a list that holds a third of all rows is many packs.
+    queries travel in packs of bounded size, so a list that holds a third of all rows is many packs. Without
+    ``probes`` their number is measured on the sample.
     """
     spark = df.sparkSession
     rows = df.select(
@@ -186,6 +208,7 @@ def search(
     drawn = drawn.unionByName(rows.select("vector").limit(1)).toPandas()["vector"]
     sample = np.stack(drawn.to_numpy()).astype(np.float64)
     centroids = fit(sample, max(1, min(MAX_LISTS, round(math.sqrt(n)), len(sample) // 4 or 1)))
+    probes = probes or probes_for(sample, centroids, k)
     shared = spark.sparkContext.broadcast(centroids)
 
     def assigned(frames, most):
