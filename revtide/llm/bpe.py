@@ -3,13 +3,15 @@
 The leaves of the tree are the byte positions of a piece; each holds the rank of the pair that starts
 there, or none. The root knows the smallest rank, and going down to the left where both sides have it
 finds the leftmost. A merge changes the pair at its place and those of its live neighbours, three updates of
-logarithmic length, so a piece of n bytes takes n log n steps however long it is.
+logarithmic length, so a piece of n bytes takes n log n steps however long it is. Short pieces, nearly all, are
+merged many at a time: their trees are rows of one array, and each step merges once in every row.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,8 +26,11 @@ from revtide.llm.common import text_batches
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 NONE = 1 << 60
-#: Entries that each of the two memories of a worker holds before it starts anew.
-REMEMBERED = 400_000
+#: Words that a worker remembers before it starts anew, and the longest of them.
+REMEMBERED = 700_000
+REMEMBERED_CHARS = 48
+#: Bytes of the longest piece that is merged together with others.
+TOGETHER = 64
 
 
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -75,55 +80,145 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Pairs:
+    """Ranks of pairs of ids, for whole arrays at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = [
+            (ranks[token[:cut]] << 32 | ranks[token[cut:]], rank)
+            for token, rank in ranks.items() for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        ]
+        keys, values = np.array(sorted(found) or [(-1, 0)], np.int64).T
+        self.keys, self.values = np.ascontiguousarray(keys), np.ascontiguousarray(values)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``NONE`` if there is none or one side is missing (negative)."""
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        good = (self.keys[at] == wanted) & (left >= 0) & (right >= 0)
+        return np.where(good, self.values[at], NONE)
+
+
+def merged_rows(pieces: list[bytes], width: int, pairs: Pairs, byte_ids: np.ndarray) -> list[bytes]:
+    """``merged`` for many pieces of at most ``width`` bytes (a power of two), as little-endian ints."""
+    count, lengths = len(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
+    raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(count, width)
+    places = np.arange(width)
+    # One more column on either side takes what neighbours off the ends would write.
+    ids = np.full((count, width + 1), -1, np.int64)
+    ids[:, :width] = np.where(places < lengths[:, None], byte_ids[raw], -1)
+    after = np.tile(np.minimum(np.arange(1, width + 2), width), (count, 1))
+    before = np.tile(np.arange(-1, width), (count, 1))
+    tree = np.full((count, 2 * width), NONE, np.int64)
+    tree[:, width:] = pairs.rank(ids[:, :width], ids[:, 1:])
+    level = width // 2
+    while level:
+        tree[:, level:2 * level] = np.minimum(tree[:, 2 * level:4 * level:2], tree[:, 2 * level + 1:4 * level:2])
+        level //= 2
+    row = np.flatnonzero(tree[:, 1] != NONE)
+    while len(row):
+        least, node = tree[row, 1], np.ones(len(row), np.int64)
+        for _ in range(width.bit_length() - 1):
+            node *= 2
+            node += tree[row, node] != least
+        place = node - width
+        gone = after[row, place]
+        end = after[row, gone]
+        left = before[row, place]
+        ids[row, place], ids[row, gone] = least, -1
+        after[row, place], before[row, end] = end, place
+        tree[row, width + gone] = NONE
+        tree[row, width + place] = pairs.rank(least, ids[row, end])
+        inner = left >= 0
+        tree[row[inner], width + left[inner]] = pairs.rank(ids[row[inner], left[inner]], least[inner])
+        paths = [width + gone, width + place, width + np.where(inner, left, place)]
+        for _ in range(width.bit_length() - 1):
+            for path in paths:
+                path >>= 1
+                tree[row, path] = np.minimum(tree[row, 2 * path], tree[row, 2 * path + 1])
+        row = row[tree[row, 1] != NONE]
+    live = ids[:, :width] >= 0
+    ends = np.cumsum(live.sum(1)) * 4
+    flat = ids[:, :width][live].astype("<i4").tobytes()
+    return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+
 class Coder:
-    """Encodes and decodes with a vocabulary; remembers pieces and words, up to a bound."""
+    """Encodes and decodes with a vocabulary; remembers words, up to a bound."""
 
     def __init__(self, vocabulary: bytes, pattern: str):
         lines = (line.split() for line in vocabulary.splitlines() if line.strip())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.pairs = Pairs(self.ranks)
+        self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.find = regex.compile(pattern).findall
         self.spaces = regex.compile(r"\s\s").search
-        self.space = regex.compile(r"\s").search
-        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of a match of the pattern, as little-endian ints."""
-        ids = self.pieces.get(piece)
-        if ids is None:
+    def pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of matches of the pattern, as little-endian ints."""
+        found, groups = {}, defaultdict(list)
+        for piece in pieces:
             raw = piece.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(raw)
-            ids = np.array(merged(raw, self.ranks) if whole is None else [whole], "<i4").tobytes()
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            if len(piece) <= 64:
-                self.pieces[piece] = ids
-        return ids
-
-    def word(self, word: str) -> bytes:
-        """Ids of a space and a word."""
-        ids = b"".join(map(self.piece, self.find(" " + word)))
-        if len(word) <= 64 and not self.space(word):
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text.
+            if whole is not None:
+                found[piece] = whole.to_bytes(4, "little")
+            elif len(raw) > TOGETHER:
+                found[piece] = np.array(merged(raw, self.ranks), "<i4").tobytes()
+            else:
+                groups[1 << (len(raw) - 1).bit_length()].append((piece, raw))
+        for width, group in groups.items():
+            rows = merged_rows([raw for _, raw in group], width, self.pairs, self.bytes)
+            found.update(zip((piece for piece, _ in group), rows))
+        return found
+
+    def learn(self, words: set[str]) -> None:
+        """Add words, each with the space before it, to the memory."""
+        order = list(words)
+        own: list[list[str]] = []
+        # Only the space before a word begins a match, so one search over all of them tells them apart.
+        for piece in self.find("".join([" " + w for w in order])):
+            if piece[0] == " ":
+                own.append([])
+            own[-1].append(piece)
+        ids = self.pieces({p for pieces in own for p in pieces})
+        self.words.update((w, b"".join(map(ids.__getitem__, pieces))) for w, pieces in zip(order, own))
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of whole texts.
 
         Where white space never meets white space, no match of the pattern reaches over a space that
-        stands before a word, so the words between spaces can be looked up. Other texts are matched whole.
+        stands before a word, so the words between spaces can be looked up. Other texts are matched
+        whole, as are the words before the first and after the last space.
         """
-        if self.spaces(text):
-            parts = map(self.piece, self.find(text))
-        else:
-            first, *rest = text.split(" ")
-            known, word = self.words.get, self.word
-            parts = [b"".join(map(self.piece, self.find(first)))]
-            parts += [known(w) or word(w) for w in rest]
-        return np.frombuffer(b"".join(parts), "<i4")
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        split, unknown, matches = [], set(), set()
+        for text in texts:
+            if self.spaces(text):
+                head, words, tail = self.find(text), [], []
+            else:
+                first, *words = text.split(" ")
+                head, tail = self.find(first), []
+                if words and not words[-1]:
+                    words, tail = words[:-1], [" "]
+            split.append((head, words, tail))
+            unknown.update(words)
+            matches.update(head, tail)
+        unknown -= self.words.keys()
+        self.learn(unknown)
+        ids = self.pieces(matches)
+        out = [
+            np.frombuffer(b"".join([
+                *map(ids.__getitem__, head), *map(self.words.__getitem__, words), *map(ids.__getitem__, tail)
+            ]), "<i4")
+            for head, words, tail in split
+        ]
+        for word in [w for w in unknown if len(w) > REMEMBERED_CHARS]:
+            del self.words[word]
+        return out
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -151,7 +246,7 @@ def encode(spark: SparkSession, text: Column, path: str = VOCABULARY, pattern: s
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = _coder(vocabulary, pattern)
         for batch in texts:
-            yield batch.map(lambda t: coder.encode(t or ""))
+            yield pd.Series(coder.encode([t or "" for t in batch]), dtype=object)
 
     return ids(text)
 

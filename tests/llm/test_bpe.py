@@ -3,6 +3,7 @@
 import base64
 import hashlib
 
+import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -29,7 +30,7 @@ def coder():
 
 @pytest.mark.parametrize("text", [t for t in TEXTS if t] + ["aaaaaaaaaaaa" * 99, "\x1c \x1c", "  a  b ", "a\n b", "<|endoftext|>"])
 def test_equals_library(coder, reference, text):
-    ids = coder.encode(text).tolist()
+    ids = coder.encode([text])[0].tolist()
     assert ids == reference.encode_ordinary(text)
     assert coder.decode(ids) == text.encode()
 
@@ -37,7 +38,7 @@ def test_equals_library(coder, reference, text):
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(codec="utf-8"), max_size=60) | st.text("ab' \n1é.", max_size=40))
 def test_any_text(coder, reference, text):
-    ids = coder.encode(text).tolist()
+    ids = coder.encode([text])[0].tolist()
     assert ids == reference.encode_ordinary(text)
     assert coder.decode(ids) == text.encode()
 
@@ -49,6 +50,21 @@ def test_leftmost_pair_first():
     assert bpe.merged(b"a", ranks) == [0]
 
 
+def test_rows_equal_single_trees(coder):
+    random = np.random.default_rng(1)
+    pieces = [bytes(random.choice(list(b" abtheinon\xc3\xa9"), n).tolist()) for n in range(1, 17) for _ in range(30)]
+    rows = bpe.merged_rows(pieces, 16, coder.pairs, coder.bytes)
+    assert [np.frombuffer(r, "<i4").tolist() for r in rows] == [bpe.merged(p, coder.ranks) for p in pieces]
+
+
+def test_memory_is_bounded(coder, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    for i in range(20):
+        text = f"word{i} other{i} a\nb{i} {'y' * 60}"
+        assert coder.encode([text, text])[1].tolist() == reference.encode_ordinary(text)
+    assert len(coder.words) < 30 and not any(len(w) > 48 for w in coder.words)
+
+
 def test_query_equals_library(spark, sf_dir, reference):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = op3_segment_tree_bpe(spark, sf_dir).collect()
