@@ -27,7 +27,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 NONE = 1 << 60
 #: Words that a worker remembers before it starts anew, and the longest of them.
-REMEMBERED = 700_000
+REMEMBERED = 250_000
 REMEMBERED_CHARS = 48
 #: Bytes of the longest piece that is merged together with others.
 TOGETHER = 64
@@ -144,13 +144,27 @@ def merged_rows(pieces: list[bytes], width: int, pairs: Pairs, byte_ids: np.ndar
     return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
-class Coder:
-    """Encodes and decodes with a vocabulary; remembers words, up to a bound."""
+def ranks_of(vocabulary: bytes) -> dict[bytes, int]:
+    """Ranks by token of a vocabulary file: a line is a token in base64 and its rank."""
+    lines = (line.split() for line in vocabulary.splitlines() if line.strip())
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
+class Decoder:
+    """The bytes of every token."""
+
+    def __init__(self, vocabulary: bytes):
+        self.tokens = {rank: token for token, rank in ranks_of(vocabulary).items()}
+
+    def decode(self, ids) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+
+class Encoder:
+    """Encodes with a vocabulary; remembers words, up to a bound."""
 
     def __init__(self, vocabulary: bytes, pattern: str):
-        lines = (line.split() for line in vocabulary.splitlines() if line.strip())
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.ranks = ranks_of(vocabulary)
         self.pairs = Pairs(self.ranks)
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.find = regex.compile(pattern).findall
@@ -220,16 +234,12 @@ class Coder:
             del self.words[word]
         return out
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
-def _coder(shared, pattern: str) -> Coder:
-    """The coder of a broadcast vocabulary. It is kept beside it, so a worker makes it once."""
-    kept = shared.value
-    if pattern not in kept:
-        kept[pattern] = Coder(kept["vocabulary"], pattern)
-    return kept[pattern]
+def _kept(shared, key, make):
+    """What a worker makes of a broadcast vocabulary, kept beside it and so made once."""
+    if key not in shared.value:
+        shared.value[key] = make(shared.value["vocabulary"])
+    return shared.value[key]
 
 
 def _broadcast(spark: SparkSession, path: str):
@@ -244,7 +254,7 @@ def encode(spark: SparkSession, text: Column, path: str = VOCABULARY, pattern: s
 
     @pandas_udf("array<int>")
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = _coder(vocabulary, pattern)
+        coder = _kept(vocabulary, pattern, lambda v: Encoder(v, pattern))
         for batch in texts:
             yield pd.Series(coder.encode([t or "" for t in batch]), dtype=object)
 
@@ -257,7 +267,7 @@ def decode(spark: SparkSession, ids: Column, path: str = VOCABULARY) -> Column:
 
     @pandas_udf("binary")
     def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = _coder(vocabulary, PATTERN)
+        coder = _kept(vocabulary, "decoder", Decoder)
         for batch in batches:
             yield batch.map(lambda i: None if i is None else coder.decode(i.tolist()))
 

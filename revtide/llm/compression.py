@@ -51,7 +51,7 @@ SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\v\f\r"
 
 #: Bytes of text whose words are numbered together.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 1_000_000
 
 FIELDS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -113,7 +113,7 @@ def repeated_words(texts: Sequence[Sequence[bytes]], window: int = WINDOW) -> np
 def measures(
     texts: Sequence[str | None], bands: Sequence[Band], chunk_bytes: int, max_bad_share: float
 ) -> Iterator[pd.DataFrame]:
-    """Rows of ``FIELDS`` for a batch, a few megabytes of text at a time."""
+    """Rows of ``FIELDS`` for a batch, about a megabyte of text at a time."""
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     at = 0

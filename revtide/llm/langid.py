@@ -20,7 +20,7 @@ from revtide.llm.common import packed, text_batches
 from revtide.session import stored
 
 #: Training rows per language at most, those of the smallest hashes.
-SAMPLE_PER_LANGUAGE = 1_500
+SAMPLE_PER_LANGUAGE = 1_000
 DIMENSIONS = 1 << 15
 ORDERS = (2, 3, 4)
 EPOCHS = 12
@@ -97,7 +97,7 @@ def machine(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray) -> np.
 
 
 def _train(group: pd.DataFrame) -> pd.DataFrame:
-    rows = [(np.asarray(p, np.int64), np.asarray(w, np.float64)) for p, w in zip(group["places"], group["weights"])]
+    rows = list(zip(group["places"], group["weights"]))
     order = np.argsort(group["hash"].to_numpy(), kind="stable")
     signs = np.where(group["side"].to_numpy(), 1.0, -1.0)
     w = machine([rows[i] for i in order], signs[order])
