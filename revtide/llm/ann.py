@@ -32,6 +32,8 @@ EPSILON = 2.1
 #: Vectors and queries per unit of work.
 PACK = 2_048
 QUERY_PACK = 256
+#: Queries whose best a task holds before it hands them on.
+QUERIES_PER_TASK = 50_000
 ROUNDS = 8
 SEED = 7
 
@@ -129,11 +131,13 @@ def _packs(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
 
 
 def scan(
-    query: np.ndarray, turned: np.ndarray, own: np.ndarray, vectors: np.ndarray, blocks: list[np.ndarray], k: int
+    query: np.ndarray, turned: np.ndarray, own: np.ndarray, vectors: np.ndarray, blocks: list[np.ndarray], k: int,
+    known: float = math.inf,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(rows, exact distances) of the candidates ``own`` that may be among the k nearest.
 
-    ``blocks`` are column blocks of the rotated vectors, ``turned`` the rotated query.
+    ``blocks`` are column blocks of the rotated vectors, ``turned`` the rotated query; ``known`` is the
+    distance of the k-th best that other lists have given.
     """
     def exact(rows):
         return np.sqrt(((vectors[rows] - query) ** 2).sum(1))
@@ -143,7 +147,7 @@ def scan(
         return own, exact(own)
     partial = ((blocks[0][own] - turned[:seen]) ** 2).sum(1)
     first = own[np.argpartition(partial, 2 * k - 1)[:2 * k]]
-    limit = np.partition(exact(first), k - 1)[k - 1]
+    limit = min(known, np.partition(exact(first), k - 1)[k - 1])
     rows = own
     for block in blocks[1:]:
         # A little slack keeps candidates at the limit itself from falling to rounding.
@@ -157,9 +161,35 @@ def scan(
     return rows, exact(rows)
 
 
+class _Best:
+    """The k nearest found so far for each query of a task, bounded in queries."""
+
+    def __init__(self, k: int):
+        self.k, self.found = k, {}
+
+    def limit(self, query_id: int) -> float:
+        ids, away = self.found.get(query_id, ((), ()))
+        return away[-1] if len(ids) == self.k else math.inf
+
+    def add(self, query_id: int, ids: np.ndarray, away: np.ndarray) -> None:
+        if query_id in self.found:
+            before = self.found[query_id]
+            ids, away = np.append(before[0], ids), np.append(before[1], away)
+        best = np.lexsort((ids, away))[:self.k]
+        self.found[query_id] = ids[best], away[best]
+
+    def rows(self) -> pd.DataFrame:
+        found, self.found = self.found, {}
+        return pd.DataFrame({
+            "query_id": np.repeat(list(found), [len(i) for i, _ in found.values()]),
+            "vec_id": np.concatenate([i for i, _ in found.values()]),
+            "score": np.concatenate([d for _, d in found.values()]),
+        })
+
+
 def _search(frames: Iterator[pd.DataFrame], dimensions: int, k: int) -> Iterator[pd.DataFrame]:
-    """The k nearest of a pack for each query of a query pack."""
-    turn = rotation(dimensions)
+    """The k nearest in the packs of a task for each query that meets them."""
+    turn, best = rotation(dimensions), _Best(k)
     for frame in frames:
         for ids, vectors, query_ids, queries in zip(
             frame["ids"], frame["vectors"], frame["query_ids"], frame["queries"]
@@ -169,15 +199,14 @@ def _search(frames: Iterator[pd.DataFrame], dimensions: int, k: int) -> Iterator
             queries = np.frombuffer(queries, np.float64).reshape(-1, dimensions)
             turned, asked = vectors @ turn, queries @ turn
             blocks = [np.ascontiguousarray(turned[:, i:i + BLOCK]) for i in range(0, dimensions, BLOCK)]
-            found = []
-            for query_id, query, spun in zip(query_ids, queries, asked):
+            for query_id, query, spun in zip(query_ids.tolist(), queries, asked):
                 own = np.flatnonzero(ids != query_id)
-                rows, away = scan(query, spun, own, vectors, blocks, k)
-                best = np.lexsort((ids[rows], away))[:k]
-                found.append((np.full(len(best), query_id), ids[rows[best]], away[best]))
-            if found:
-                columns = map(np.concatenate, zip(*found))
-                yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
+                rows, away = scan(query, spun, own, vectors, blocks, k, best.limit(query_id))
+                best.add(query_id, ids[rows], away)
+            if len(best.found) > QUERIES_PER_TASK:
+                yield best.rows()
+    if best.found:
+        yield best.rows()
 
 
 def search(

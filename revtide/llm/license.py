@@ -123,28 +123,46 @@ class Scanner:
         self.least = least
         self.levels = sorted({t.segment for t in self.templates})
 
-    def candidates(self, hashes: np.ndarray) -> set[tuple[int, int]]:
-        """(template, window) pairs that share a band."""
+    def candidates(self, texts: list[np.ndarray]) -> set[tuple[int, int, int]]:
+        """(text, template, window) triples that share a band.
+
+        The shingles of all texts lie in one array. Each text begins at a multiple of the largest
+        segment, and what lies between texts is never a minimum, so a text's windows do not depend on its
+        neighbours.
+        """
+        unit = self.levels[-1]
+        sizes = np.array([-(-len(h) // unit) * unit for h in texts] + [4 * unit])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        hashes, gap = np.zeros(starts[-1], np.uint64), np.ones(starts[-1], bool)
+        for start, own in zip(starts, texts):
+            hashes[start:start + len(own)] = own
+            gap[start:start + len(own)] = False
         found = set()
         for band, (factor, shift) in enumerate(zip(_FACTORS, _SHIFTS)):
             values = (hashes * factor + shift) >> np.uint64(32)
+            values[gap] = np.uint64(1 << 32)
             segment = 1
             for level in self.levels:
                 while segment < level:
-                    values = np.minimum(values[::2], np.append(values[1::2], values[-1] if len(values) % 2 else [])
-                                        ) if len(values) > 1 else values
+                    values = np.minimum(values[::2], values[1::2])
                     segment *= 2
-                window = values
-                if len(values) > 1:
-                    padded = np.append(values, np.full(3, values[-1]))
-                    window = np.minimum(
-                        np.minimum(padded[:-3], padded[1:-2]), np.minimum(padded[2:-1], padded[3:])
-                    )
+                pairs = np.minimum(values[:-1], values[1:])
+                window = np.minimum(pairs[:-2], pairs[2:])
                 for i, template in enumerate(self.templates):
                     if template.segment == level:
-                        found.update((i, int(w)) for w in np.flatnonzero(window == template.mins[band]))
+                        for at in (np.flatnonzero(window == template.mins[band]) * level).tolist():
+                            self._owned(found, starts, texts, i, at, level)
         return found
 
+    @staticmethod
+    def _owned(found: set, starts: np.ndarray, texts: list, template: int, at: int, level: int) -> None:
+        """Note a window for every text that it touches; only its part of one text counts for that."""
+        first = int(np.searchsorted(starts, at, "right")) - 1
+        last = int(np.searchsorted(starts, at + 4 * level - 1, "right")) - 1
+        for text in range(first, min(last, len(texts) - 1) + 1):
+            if at >= starts[text]:
+                found.add((text, template, (at - int(starts[text])) // level))
+
     def containment(self, tokens: list[str], template: Template, window: int) -> tuple[float, int]:
         """Share of a template's shingles in a window, and where the first of them is (-1: nowhere)."""
         start = window * template.segment
@@ -155,19 +173,31 @@ class Scanner:
                 held.setdefault(shingle, i)
         return len(held) / len(template.set), min(held.values(), default=-1)
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(license, containment, first word, windows) of every template found, by name."""
-        tokens = words(text)
-        if len(tokens) < SHINGLE:
-            return []
-        best = {}
-        for i, window in sorted(self.candidates(shingles(tokens))):
-            share, first = self.containment(tokens, self.templates[i], window)
+    def scan(self, texts: list[str | None]) -> list[list[tuple[str, float, int, int]]]:
+        """Per text, (license, containment, first word, windows) of every template found, by name."""
+        out = []
+        tokens = [words(t) for t in texts]
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(tokens[end]) <= STEP_SHINGLES):
+                size += len(tokens[end])
+                end += 1
+            out += self._scan(tokens[at:end])
+            at = end
+        return out
+
+    def _scan(self, tokens: list[list[str]]) -> list[list[tuple[str, float, int, int]]]:
+        best: list[dict[int, tuple[float, int, int]]] = [{} for _ in tokens]
+        none = np.zeros(0, np.uint64)
+        hashes = [shingles(t) if len(t) >= SHINGLE else none for t in tokens]
+        for text, i, window in sorted(self.candidates(hashes)):
+            share, first = self.containment(tokens[text], self.templates[i], window)
             if share >= self.least:
-                before = best.get(i, (0.0, first, 0))
+                before = best[text].get(i, (0.0, first, 0))
                 first = before[1] if before[0] >= share else first
-                best[i] = (max(share, before[0]), first, before[2] + 1)
-        return sorted((self.templates[i].name, *found) for i, found in best.items())
+                best[text][i] = (max(share, before[0]), first, before[2] + 1)
+        return [sorted((self.templates[i].name, *f) for i, f in found.items()) for found in best]
 
 
 def scanned(
@@ -184,12 +214,12 @@ def scanned(
 
     @pandas_udf(MATCH)
     def matches(batch: pd.Series) -> pd.Series:
-        scanner = Scanner(texts, least)
-        return batch.map(lambda t: [
-            dict(zip(("license", "containment", "first_word", "windows"), m)) for m in scanner.scan(t)
-        ])
+        names = ("license", "containment", "first_word", "windows")
+        found = Scanner(texts, least).scan(batch.tolist())
+        return pd.Series([[dict(zip(names, m)) for m in own] for own in found], dtype=object)
 
-    return packed(df, matches=matches(df[text]))
+    # Marked as not deterministic, the scan is not repeated in a filter before the matches are unnested.
+    return packed(df, matches=matches.asNondeterministic()(df[text]))
 
 
 def listed(df: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
