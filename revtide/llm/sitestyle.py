@@ -69,7 +69,7 @@ CLOSED_BY = {
 _TAG = re.compile(r"""<(?:(/)([a-zA-Z][^\s/>]*)[^>]*>|([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|!--|[!?])""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{3,}")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -80,7 +80,7 @@ class Node:
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.children = tag, attrs, []
-        # Numbers in names differ from page to page.
+        # Long numbers in names differ from page to page.
         name = " ".join(sorted(attrs.get("class", "").split())) + "#" + attrs.get("id", "")
         self.sign = f"{tag}.{_DIGITS.sub('', name)}" if len(name) > 1 else tag
         self.path = xxhash.xxh64_intdigest(self.sign, parent.path if parent else 0)
