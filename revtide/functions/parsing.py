@@ -8,15 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# The marker of a missing value and the only accepted date layout.
-MISSING_VALUE = "."
+# What counts as a number (the marker of a missing value, a lone dot, does not) and the only
+# accepted date layout.
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 DATE_LENGTH = 10
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def parse_value(text: Column) -> Column:
-    """Number behind a value text; the missing marker and unreadable text give null."""
-    return F.when(text != MISSING_VALUE, text.try_cast("double"))
+    """Number behind a value text; the missing marker and unreadable text give null.
+
+    The cast alone would also read a type suffix (``5d``) and ``NaN`` or ``Infinity``, which are no observations
+    and would spread through every mean.
+    """
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def parse_date(text: Column) -> Column:

@@ -10,21 +10,20 @@ from pyspark.sql import functions as F
 
 from revtide.functions.parsing import as_date
 
-# Beyond this many ids a filter expression gets slower than a join.
-MAX_IDS_IN_FILTER = 1000
-
 Day = str | datetime.date
 
 
-def series_filter(df: DataFrame, series_id: str | Sequence[str]) -> DataFrame:
-    """Rows of one series or of a list of series."""
+def series_filter(df: DataFrame, series_id: str | Sequence[str] | DataFrame) -> DataFrame:
+    """Rows of one series, of a list of series, or of the series in a frame.
+
+    A list becomes a set in the filter and reaches the scan; a frame with a column ``series_id``, for
+    more series than one would write down, is a semi join.
+    """
     if isinstance(series_id, str):
         return df.filter(F.col("series_id") == series_id)
-    ids = list(series_id)
-    if len(ids) <= MAX_IDS_IN_FILTER:
-        return df.filter(F.col("series_id").isin(ids))
-    wanted = df.sparkSession.createDataFrame([(i,) for i in ids], "series_id string")
-    return df.join(wanted.distinct(), "series_id", "left_semi")
+    if isinstance(series_id, DataFrame):
+        return df.join(series_id.select("series_id"), "series_id", "left_semi")
+    return df.filter(F.col("series_id").isin(list(series_id)))
 
 
 def date_range(df: DataFrame, start: Day | None = None, end: Day | None = None) -> DataFrame:

@@ -20,6 +20,20 @@ def test_bad_text_becomes_null(spark):
     assert [r[1] for r in got] == [day("2024-01-05")] + [None] * 7
 
 
+def test_only_plain_numbers_are_values(spark):
+    texts = ["5d", "1f", "NaN", "Infinity", "-inf", "0x1", "1_000", "1e", ".5", "+5.", " 6 ", "1E-3"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in df.select(parse_value(F.col("v"))).collect()] == [None] * 8 + [0.5, 5.0, 6.0, 0.001]
+
+
+def test_series_of_a_frame(spark):
+    df = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "series_id string, value int")
+    wanted = spark.createDataFrame([("A",), ("A",), (None,)], "series_id string")
+    assert [tuple(r) for r in selection.series_filter(df, wanted).collect()] == [("A", 1)]
+    many = [str(i) for i in range(3000)] + ["B"]
+    assert [tuple(r) for r in selection.series_filter(df, many).collect()] == [("B", 2)]
+
+
 def test_dates_are_parsed_only_once(spark):
     df = spark.createDataFrame([("A", D1)], "series_id string, date date")
     stamped = observations.stamp_run(df, "2024-02-01", 9, "run", "v2").first()
