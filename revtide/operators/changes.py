@@ -10,8 +10,9 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from revtide.functions.parsing import as_date
+from revtide.functions.parsing import as_date, parse_value, with_parsed_date
 from revtide.operators.observations import dedup_vintage_key
 from revtide.operators.vintages import KEY, release_state
 from revtide.session import stored
@@ -29,33 +30,67 @@ def detect_changes(
 ) -> DataFrame:
     """Change rows that bring the log to the state of ``new``, one vintage of one or more releases.
 
-    The log is read as it was before ``vintage_date``, so repeating a merge gives the same rows.
-    Without ``release_id`` the releases in ``new`` are the scope (``scope`` if they are known); a
-    release with no new rows at all is left alone. Both join sides have one row per point, so the
-    join cannot be skewed.
+    The log is read as it was before ``vintage_date``, so repeating a merge gives the same rows. The
+    releases with rows in ``new`` are the scope (``scope`` if they are known); a release with no new
+    rows at all is left alone, also if ``release_id`` names it. Text is parsed; rows that cannot be
+    keyed take no part. Both join sides have one row per point, so the join cannot be skewed.
     """
     day = as_date(vintage_date)
+    new = keyed_rows(new, release_id)
+    scope = merge_scope(new) if scope is None else scope
+    theirs = log.join(scope, "release_id", "left_semi")
+    current = release_state(theirs, release_id, before=day)
+    return _difference(current, _delivered_state(new)).withColumn(
+        "vintage_date", F.lit(day)
+    ).select(*CHANGE_COLUMNS)
+
+
+def following_vintages(log: DataFrame, scope: DataFrame, day: datetime.date) -> DataFrame:
+    """(release_id, following): the next vintage in the log of each release of the scope, stored.
+
+    A merge in order finds none and reads no data, as the log is partitioned by vintage. A later vintage
+    that changed nothing has no row in the log, so it cannot be found.
+    """
+    later = log.filter(F.col("vintage_date") > F.lit(day)).join(scope, "release_id", "left_semi")
+    return stored(later.groupBy("release_id").agg(F.min("vintage_date").alias("following")), "following")
+
+
+def following_changes(
+    log: DataFrame, new: DataFrame, following: DataFrame, release_id: int | None = None
+) -> DataFrame:
+    """Change rows of the vintages that follow a late or repeated one, derived again from it.
+
+    What a release holds at its following vintage is in the log as it was before the merge. Vintages
+    after that one stay as they are.
+    """
+    new = keyed_rows(new, release_id).join(following, "release_id", "left_semi")
+    known = with_value_text(log).join(following, "release_id").filter("vintage_date <= following")
+    texts = known.select(*KEY, "vintage_date", "value_str")
+    target = release_state(known).join(texts, [*KEY, "vintage_date"]).drop("vintage_date")
+    changes = _difference(_delivered_state(new), target).join(following, "release_id")
+    return changes.withColumnRenamed("following", "vintage_date").select(*CHANGE_COLUMNS)
+
+
+def delivery_counts(new: DataFrame, release_id: int | None = None) -> DataFrame:
+    """Per release, stored: ``rows`` delivered and ``keyed`` ones with release, series and date."""
+    typed = typed_rows(new, release_id)
+    has_key = F.col("release_id").isNotNull() & F.col("series_id").isNotNull() & F.col("date").isNotNull()
+    counted = typed.groupBy("release_id").agg(F.count("*").alias("rows"), F.count_if(has_key).alias("keyed"))
+    return stored(counted, "delivery")
+
+
+def typed_rows(new: DataFrame, release_id: int | None = None) -> DataFrame:
+    """Rows of a delivery with dates and numbers; bad text becomes null and is kept as ``value_str``."""
     if release_id is not None:
         new = new.withColumn("release_id", F.lit(release_id).cast("int"))
-    else:
-        scope = merge_scope(new) if scope is None else scope
-        log = log.join(scope, "release_id", "left_semi")
-    current = release_state(log, release_id, before=day)
-    new = dedup_vintage_key(with_value_text(new), KEY)
-    joined = new.select(
-        *KEY, F.col("value").alias("new_value"), "value_str", F.lit(True).alias("_in_new"),
-    ).join(
-        current.select(*KEY, F.col("value").alias("old_value"), F.lit(True).alias("_in_old")),
-        KEY, "full_outer",
-    )
-    change = (
-        F.when(F.col("_in_old").isNull(), "insert")
-        .when(F.col("_in_new").isNull(), "delete")
-        .when(~F.col("new_value").eqNullSafe(F.col("old_value")), "update")
-    )
-    return joined.withColumns({
-        "_change_type": change, "value": F.col("new_value"), "vintage_date": F.lit(day),
-    }).filter(F.col("_change_type").isNotNull()).select(*CHANGE_COLUMNS)
+    if isinstance(new.schema["value"].dataType, StringType):
+        new = new.withColumns({"value_str": F.col("value"), "value": parse_value(F.col("value"))})
+    return with_parsed_date(new)
+
+
+def keyed_rows(new: DataFrame, release_id: int | None = None) -> DataFrame:
+    """The typed rows that have a release, a series and a date."""
+    return typed_rows(new, release_id).dropna(subset=KEY)
 
 
 def merge_scope(new: DataFrame) -> DataFrame:
@@ -164,6 +199,29 @@ def with_value_text(df: DataFrame) -> DataFrame:
     return df.withColumn("value_str", F.lit(None).cast("string"))
 
 
+def _delivered_state(new: DataFrame) -> DataFrame:
+    """One row per point of a delivery."""
+    return dedup_vintage_key(with_value_text(new), KEY).select(*KEY, "value", "value_str")
+
+
+def _difference(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Change rows, without their vintage, that lead from one state of the points to another."""
+    joined = new.select(
+        *KEY, F.col("value").alias("new_value"), "value_str", F.lit(True).alias("_in_new"),
+    ).join(
+        old.select(*KEY, F.col("value").alias("old_value"), F.lit(True).alias("_in_old")),
+        KEY, "full_outer",
+    )
+    change = (
+        F.when(F.col("_in_old").isNull(), "insert")
+        .when(F.col("_in_new").isNull(), "delete")
+        .when(~F.col("new_value").eqNullSafe(F.col("old_value")), "update")
+    )
+    return joined.withColumns({"_change_type": change, "value": F.col("new_value")}).filter(
+        F.col("_change_type").isNotNull()
+    )
+
+
 def _row(vintage: str, kind: str) -> Column:
     kept = kind != "delete"
     return F.struct(

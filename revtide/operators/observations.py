@@ -23,8 +23,13 @@ def typed_observations(raw: DataFrame) -> DataFrame:
     })
 
 
-def to_snapshot(raw: DataFrame, vintage_date: str | datetime.date | None = None) -> DataFrame:
-    """Raw rows as snapshot rows. Without ``vintage_date`` each row keeps its own vintage."""
+def to_snapshot(
+    raw: DataFrame, vintage_date: str | datetime.date | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Raw rows as snapshot rows. Without ``vintage_date`` each row keeps its own vintage.
+
+    ``keep`` names further raw columns, such as those that decide between duplicates.
+    """
     day = as_date(vintage_date)
     vintage = F.lit(day) if day else parse_date(F.col("vintage_date"))
     return raw.select(
@@ -37,6 +42,7 @@ def to_snapshot(raw: DataFrame, vintage_date: str | datetime.date | None = None)
         vintage.alias("realtime_end"),
         F.col("release_id").cast("int").alias("release_id"),
         F.current_timestamp().alias("etl_updated_at"),
+        *keep,
     )
 
 

@@ -18,8 +18,10 @@ from revtide.sources.tables import overwrite_by_month, read_table, save_analysis
 
 def filled_rows(raw: DataFrame, vintage_date: str | None = None) -> DataFrame:
     """Raw rows with all columns of the curated table. A missing collection time is the vintage."""
-    defaults = {"collected_at": F.lit(vintage_date)} if vintage_date else {}
-    return with_year_month(fill_missing_columns(raw, RAW_PATCHED, defaults))
+    filled = fill_missing_columns(raw, RAW_PATCHED)
+    if vintage_date:
+        filled = filled.withColumn("collected_at", F.coalesce("collected_at", F.lit(vintage_date)))
+    return with_year_month(filled)
 
 
 def curated_rows(raw: DataFrame, vintage_date: str | None = None) -> DataFrame:

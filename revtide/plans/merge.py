@@ -16,8 +16,10 @@ from revtide.functions.parsing import as_date
 from revtide.operators.changes import (
     change_counts,
     change_log,
+    delivery_counts,
     detect_changes,
-    merge_scope,
+    following_changes,
+    following_vintages,
     touched_calendar,
     within_calendar,
 )
@@ -46,20 +48,34 @@ def merge_vintage(
     release_id: int | None = None,
     api_version: str = "v2",
 ) -> dict[str, int]:
-    """Merge one vintage of one or more releases into the log; returns the change counts."""
+    """Merge one vintage of one or more releases into the log; returns the change counts.
+
+    Vintages may come in any order and again with other content: where the log goes on after this
+    vintage, the next one of each release is derived again. Rows without release, series or date are left
+    out and, if there are any, counted as ``rejected``. Releases without any other row are left alone.
+    """
     ensure_table(spark, log_path, "series_observations")
     day = as_date(vintage_date)
     log = read_log(spark, log_path)
-    if release_id is None:
-        scope = merge_scope(new)
-    else:
-        scope = spark.createDataFrame([(release_id,)], "release_id int")
+    delivery = delivery_counts(new, release_id)
+    rows, keyed = delivery.agg(F.sum("rows"), F.sum("keyed")).first()
+    total = {"total_processed": rows or 0}
+    if rows and rows > keyed:
+        total["rejected"] = rows - keyed
+    if not keyed:
+        return {**change_counts(log.limit(0)).first().asDict(), **total}
+    scope = delivery.filter("keyed > 0").select("release_id")
     changes = detect_changes(log, new, day, release_id, scope)
     slices = scope.withColumn("vintage_date", F.lit(day))
-    on_day = F.col("vintage_date") == F.lit(day)
-    stamp = _replace_slices(spark, changes, slices, on_day, log_path, etl_run_id, api_version)
+    on_day = replaced = F.col("vintage_date") == F.lit(day)
+    following = following_vintages(log, scope, day)
+    if not following.isEmpty():
+        changes = changes.unionByName(following_changes(log, new, following, release_id))
+        slices = slices.unionByName(following.withColumnRenamed("following", "vintage_date"))
+        replaced = F.col("vintage_date") >= F.lit(day)
+    stamp = _replace_slices(spark, changes, slices, replaced, log_path, etl_run_id, api_version)
     written = read_log(spark, log_path).filter(on_day & (F.col("last_updated") == stamp))
-    return {**change_counts(written).first().asDict(), "total_processed": new.count()}
+    return {**change_counts(written).first().asDict(), **total}
 
 
 def merge_touched(

@@ -38,9 +38,13 @@ def land_raw(raw: DataFrame, path: str) -> None:
     overwrite_touched(rows, path, LANDING_PARTITIONS)
 
 
-def read_payload_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Payload pages, one JSON document per line."""
-    return spark.read.schema(PAYLOAD_PAGE).json(path)
+def read_payload_pages(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
+    """Payload pages, one JSON document per line.
+
+    A line that is no page fails the job unless ``skip_corrupt`` is set; it then gives no rows.
+    """
+    mode = "DROPMALFORMED" if skip_corrupt else "FAILFAST"
+    return spark.read.schema(PAYLOAD_PAGE).json(path, mode=mode)
 
 
 def payload_observations(pages: DataFrame) -> DataFrame:
