@@ -99,40 +99,45 @@ def changes_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_log(snapshots_big(spark, sf_dir))
 
 
-def _metadata(events: DataFrame, prefix: str) -> DataFrame:
-    return events.select(
+def _metadata(by_user: DataFrame, prefix: str) -> DataFrame:
+    return by_user.select(
         _series_id().alias("series_id"),
         F.concat(F.lit(prefix), F.col("event_type")).alias("title"),
         F.lit("W").alias("frequency"), F.lit("index").alias("units"),
         (F.floor(F.col("user_id") / 10) + 9).cast("int").alias("release_id"),
-    ).distinct()
+    )
 
 
 def series_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of the series seen in the first days."""
-    return _metadata(table(spark, sf_dir, "events").filter("ts < '2024-01-05'"), "")
+    """Metadata of one series per user, that of the first event type in order of text."""
+    events = table(spark, sf_dir, "events")
+    return _metadata(events.groupBy("user_id").agg(F.min("event_type").alias("event_type")), "")
 
 
 def series_metadata_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of the series seen in the last days: partly new, partly an update."""
-    return _metadata(table(spark, sf_dir, "events").filter("ts >= '2024-01-27'"), "new ")
+    """Metadata of the series of each user's last event: partly new, partly an update."""
+    last = F.max_by("event_type", "event_id").alias("event_type")
+    return _metadata(table(spark, sf_dir, "events").groupBy("user_id").agg(last), "new ")
 
 
 def release_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Releases (customers) with an order before mid 1995."""
-    key = F.col("o_custkey").cast("int")
-    return table(spark, sf_dir, "orders").filter("o_orderdate < '1995-07-01'").select(
-        key.alias("release_id"),
+    """Releases: customers, and suppliers under even negative ids."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("release_id"))
+    suppliers = table(spark, sf_dir, "supplier").select((-2 * F.col("s_suppkey") - 2).cast("int"))
+    key = F.col("release_id")
+    return customers.unionAll(suppliers).select(
+        key,
         F.concat(F.lit("Release "), key.cast("string")).alias("release_name"),
         F.concat(F.lit("https://example.org/"), key.cast("string")).alias("link"),
         F.lit(0).alias("observations_count"), F.lit("pending").alias("collection_status"),
-    ).distinct()
+    )
 
 
 def release_metadata_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the releases with an order from July 2001 on; has no link column."""
-    rows = table(spark, sf_dir, "orders").filter("o_orderdate >= '2001-07-01'")
-    counted = rows.groupBy(F.col("o_custkey").cast("int").alias("release_id")).agg(
+    """Counts of the releases with orders, and nations under negative ids; has no link column."""
+    ordered = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("int").alias("release_id"))
+    nations = table(spark, sf_dir, "nation").select((-1 - F.col("n_nationkey")).cast("int"))
+    counted = ordered.unionAll(nations).groupBy("release_id").agg(
         F.count("*").cast("int").alias("observations_count")
     )
     return counted.withColumns({

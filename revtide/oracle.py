@@ -44,26 +44,27 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           max(l_extendedprice) AS value
         FROM lineitem GROUP BY ALL"""),
     "fx_metadata": ((), """
-        SELECT DISTINCT event_type || '_' || CAST(user_id AS VARCHAR) AS series_id,
-          event_type AS title, 'W' AS frequency, 'index' AS units,
+        SELECT min(event_type) || '_' || CAST(user_id AS VARCHAR) AS series_id,
+          min(event_type) AS title, 'W' AS frequency, 'index' AS units,
           CAST(floor(user_id / 10) + 9 AS INTEGER) AS release_id
-        FROM events WHERE ts < TIMESTAMP '2024-01-05'"""),
+        FROM events GROUP BY user_id"""),
     "fx_metadata_new": ((), """
-        SELECT DISTINCT event_type || '_' || CAST(user_id AS VARCHAR) AS series_id,
+        SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS series_id,
           'new ' || event_type AS title, 'W' AS frequency, 'index' AS units,
           CAST(floor(user_id / 10) + 9 AS INTEGER) AS release_id
-        FROM events WHERE ts >= TIMESTAMP '2024-01-27'"""),
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+        WHERE rn = 1"""),
     "fx_releases": ((), """
-        SELECT DISTINCT CAST(o_custkey AS INTEGER) AS release_id,
-          'Release ' || CAST(o_custkey AS VARCHAR) AS release_name,
-          'https://example.org/' || CAST(o_custkey AS VARCHAR) AS link,
+        SELECT CAST(id AS INTEGER) AS release_id, 'Release ' || CAST(id AS VARCHAR) AS release_name,
+          'https://example.org/' || CAST(id AS VARCHAR) AS link,
           0 AS observations_count, 'pending' AS collection_status
-        FROM orders WHERE o_orderdate < TIMESTAMP '1995-07-01'"""),
+        FROM (SELECT c_custkey AS id FROM customer
+              UNION ALL SELECT -2 * s_suppkey - 2 FROM supplier)"""),
     "fx_releases_new": ((), """
-        SELECT CAST(o_custkey AS INTEGER) AS release_id,
-          CAST(count(*) AS INTEGER) AS observations_count,
-          'Updated ' || CAST(o_custkey AS VARCHAR) AS release_name, 'success' AS collection_status
-        FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01' GROUP BY o_custkey"""),
+        SELECT CAST(id AS INTEGER) AS release_id, CAST(count(*) AS INTEGER) AS observations_count,
+          'Updated ' || CAST(id AS VARCHAR) AS release_name, 'success' AS collection_status
+        FROM (SELECT o_custkey AS id FROM orders UNION ALL SELECT -1 - n_nationkey FROM nation)
+        GROUP BY id"""),
     "fx_attempts": ((), """
         SELECT CAST(o_custkey AS INTEGER) AS release_id, o_orderkey AS attempt,
           CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'success' END AS status,
