@@ -204,11 +204,11 @@ def run_manifest(spark, sf):
 @query("table_info", """
     SELECT 'rows' AS metric, count(*) AS value FROM fx_snapshots_big
     UNION ALL SELECT 'series', count(DISTINCT series_id) FROM fx_snapshots_big
-    UNION ALL SELECT 'columns', 5""", "fx_snapshots_big")
+    UNION ALL SELECT 'columns', 5 UNION ALL SELECT 'files', 3""", "fx_snapshots_big")
 def table_info(spark, sf):
     path = scratch_path(spark, "table")
-    tables.save(fx.snapshots_big(spark, sf), path)
-    return tables.table_info(tables.read_table(spark, path)).filter("metric <> 'files'")
+    tables.save(fx.snapshots_big(spark, sf).repartition(3), path)
+    return tables.table_info(tables.read_table(spark, path))
 
 
 @query("release_worklist", """
@@ -387,7 +387,7 @@ def upsert_release_metadata(spark, sf):
 
 @query("upsert_snapshot", """
     SELECT coalesce(s.series_id, t.series_id) AS series_id, coalesce(s.date, t.date) AS date,
-      DATE '2024-03-01' AS vintage_date,
+      coalesce(s.vintage_date, t.vintage_date) AS vintage_date,
       CASE WHEN s.series_id IS NULL OR (t.series_id IS NOT NULL
              AND s.value IS NOT DISTINCT FROM t.value) THEN t.value ELSE s.value END AS value,
       CASE WHEN s.series_id IS NULL OR (t.series_id IS NOT NULL
@@ -396,23 +396,17 @@ def upsert_release_metadata(spark, sf):
       coalesce(t.release_id, s.release_id) AS release_id,
       CASE WHEN t.series_id IS NULL THEN 'inserted' WHEN s.series_id IS NULL THEN 'kept'
            WHEN s.value IS DISTINCT FROM t.value THEN 'updated' ELSE 'unchanged' END AS _action
-    FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id, date
-            ORDER BY release_id) AS rn FROM fx_snapshots
-            WHERE vintage_date = DATE '2024-02-01') WHERE rn = 1) t
-    FULL OUTER JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id, date
-            ORDER BY release_id) AS rn FROM fx_snapshots
-            WHERE vintage_date = DATE '2024-02-08') WHERE rn = 1) s
-      ON t.series_id = s.series_id AND t.date = s.date""", "fx_snapshots")
+    FROM (SELECT * REPLACE (CAST(vintage_date + 29 AS DATE) AS vintage_date) FROM fx_snapshots
+          WHERE vintage_date < DATE '2024-02-15') t
+    FULL OUTER JOIN (SELECT * REPLACE (CAST(vintage_date + 15 AS DATE) AS vintage_date) FROM fx_snapshots
+          WHERE vintage_date >= DATE '2024-02-15') s
+      ON t.release_id = s.release_id AND t.series_id = s.series_id AND t.date = s.date
+        AND t.vintage_date = s.vintage_date""", "fx_snapshots")
 def upsert_snapshot(spark, sf):
-    return _upserted_snapshot(spark, sf)
-
-
-def _upserted_snapshot(spark, sf):
-    """Two deliveries of the same vintage: the first as target, the second as source."""
-    rows = observations.dedup_vintage_key(fx.snapshots(spark, sf))
-    march = F.lit("2024-03-01").cast("date")
-    target = rows.filter("vintage_date = '2024-02-01'").withColumn("vintage_date", march)
-    source = rows.filter("vintage_date = '2024-02-08'").withColumn("vintage_date", march)
+    """Two deliveries of two March vintages: the first two vintages as target, the last two as source."""
+    rows, early = fx.snapshots(spark, sf), F.col("vintage_date") < "2024-02-15"
+    target = rows.filter(early).withColumn("vintage_date", F.date_add("vintage_date", 29))
+    source = rows.filter(~early).withColumn("vintage_date", F.date_add("vintage_date", 15))
     return upserts.upsert_snapshot(target, source)
 
 
@@ -432,11 +426,15 @@ def final_release_outcome(spark, sf):
 @query("unprocessed_releases", """
     SELECT DISTINCT release_id, vintage_date FROM fx_typed
     WHERE (release_id, vintage_date) NOT IN (
-      SELECT (release_id, vintage_date) FROM fx_snapshots WHERE value > 100)""",
-       "fx_typed", "fx_snapshots")
+      SELECT (release_id, vintage_date) FROM fx_ingested WHERE vintage_date <> DATE '2024-02-15')""",
+       "fx_typed", "fx_ingested")
 def unprocessed_releases(spark, sf):
-    table = fx.snapshots(spark, sf).filter("value > 100")
-    return changes.unprocessed_releases(typed(spark, sf), table)
+    """All vintages landed, all but one ingested."""
+    raw_path, table = scratch_path(spark, "raw"), scratch_path(spark, "snapshots")
+    landing.land_raw(fx.raw(spark, sf), raw_path)
+    ingest.ingest_vintages(spark, raw_path, table, ["2024-02-01", "2024-02-08", "2024-02-22"])
+    landed = with_parsed_date(landing.read_raw(spark, raw_path), "vintage_date")
+    return changes.unprocessed_releases(landed, ingest.read_snapshots(spark, table))
 
 
 # --- aggregations ------------------------------------------------------------------------------------
@@ -1044,9 +1042,8 @@ def batched_feed(spark, sf):
 @query("process_vintage", """
     SELECT vintage_date, (SELECT count(*) FROM fx_typed WHERE vintage_date = DATE '2024-02-08')
         AS raw_count, count(*) AS inserted, CAST(0 AS BIGINT) AS updated
-    FROM (SELECT DISTINCT series_id, date, vintage_date FROM fx_typed
-          WHERE series_id IS NOT NULL AND date IS NOT NULL AND vintage_date = DATE '2024-02-08')
-    GROUP BY vintage_date""", "fx_typed")
+    FROM fx_ingested WHERE vintage_date = DATE '2024-02-08' GROUP BY vintage_date""",
+       "fx_typed", "fx_ingested")
 def process_vintage(spark, sf):
     raw_path, table = scratch_path(spark, "raw"), scratch_path(spark, "snapshots")
     landing.land_raw(fx.raw(spark, sf), raw_path)
@@ -1072,3 +1069,36 @@ def merge_by_vintage(spark, sf):
             spark, rows.filter(F.col("vintage_date") == day), day, log, f"run-{day}"
         )
     return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)
+
+
+@query("merge_out_of_order", f"SELECT {LOG} FROM fx_changes_big", "fx_changes_big")
+def merge_out_of_order(spark, sf):
+    """Vintages merged late and again; each of these changes something in every release."""
+    log = scratch_path(spark, "log")
+    rows = fx.snapshots_big(spark, sf)
+    for day in ("2002-03-01", "2002-01-01", "2002-04-01", "2002-02-01", "2002-01-01"):
+        merge.merge_vintage(
+            spark, rows.filter(F.col("vintage_date") == day), day, log, f"run-{day}"
+        )
+    return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)
+
+
+@query("ingested_rows", """
+    SELECT series_id, date, value, value_str, vintage_date, release_id FROM fx_ingested""", "fx_ingested")
+def ingested_rows(spark, sf):
+    raw_path, table = scratch_path(spark, "raw"), scratch_path(spark, "snapshots")
+    landing.land_raw(fx.raw(spark, sf), raw_path)
+    ingest.ingest_vintages(spark, raw_path, table)
+    return ingest.read_snapshots(spark, table).drop("realtime_start", "realtime_end", "etl_updated_at")
+
+
+@query("ingest_then_log", f"SELECT {LOG} FROM fx_ingested_changes", "fx_ingested_changes")
+def ingest_then_log(spark, sf):
+    """From landed rows to snapshots to the change log."""
+    raw_path, table = scratch_path(spark, "raw"), scratch_path(spark, "snapshots")
+    log = scratch_path(spark, "log")
+    landing.land_raw(fx.raw(spark, sf), raw_path)
+    ingest.ingest_vintages(spark, raw_path, table)
+    rows = ingest.read_snapshots(spark, table)
+    merge.merge_touched(rows, rows.select("release_id", "vintage_date"), log, "run-1")
+    return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)

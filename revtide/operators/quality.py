@@ -62,20 +62,28 @@ def outlier_limits(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataF
 
 def outlier_counts(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataFrame:
     """Values beyond the outlier limit, per release or per other grouping."""
-    marked = raw.join(stored(outlier_limits(raw, by), "limits"), list(by))
+    marked = _with_limits(raw, by)
     return marked.groupBy(*by).agg(F.count_if(_is_outlier()).alias("value_outliers"))
 
 
+def _with_limits(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataFrame:
+    """Raw rows with their group's outlier limit; nulls in the grouping are a group like any other."""
+    limits = stored(outlier_limits(raw, by), "limits").withColumnsRenamed({c: f"_of_{c}" for c in by})
+    same = [raw[c].eqNullSafe(limits[f"_of_{c}"]) for c in by]
+    return raw.join(limits, same, "left").drop(*(f"_of_{c}" for c in by))
+
+
 def release_quality(
     raw: DataFrame, metadata: DataFrame, releases: DataFrame | None = None
 ) -> DataFrame:
     """All metrics and the verdict per release.
 
     Rows are first counted per (release, series, date), then per series, then per release, so each
-    step combines before its shuffle. ``releases`` adds releases that delivered nothing. A release
-    is valid without errors and with less than a tenth of its values missing.
+    step combines before its shuffle. ``releases`` adds releases that delivered nothing. Rows without a
+    release have a line of their own, under null. A release is valid without errors and with less than a
+    tenth of its values missing.
     """
-    marked = raw.join(stored(outlier_limits(raw), "limits"), "release_id", "left")
+    marked = _with_limits(raw)
     points = marked.groupBy("release_id", "series_id", "date").agg(
         F.count("*").alias("n"),
         F.count_if(is_blank(F.col("value"))).alias("null_values"),
@@ -100,11 +108,17 @@ def release_quality(
         F.count_if(F.col("_described").isNull()).alias("series_without_metadata"),
         F.sum("outliers").alias("value_outliers"),
     )
+    listed = per_release.withColumn("_listed", F.lit(True))
     if releases is not None:
-        expected = releases.select("release_id").distinct()
-        per_release = expected.join(per_release, "release_id", "left")
+        expected = releases.select("release_id").distinct().withColumn("_listed", F.lit(True))
+        listed = listed.unionByName(expected, True)
     known = metadata.groupBy("release_id").agg(F.count("*").alias("metadata_count"))
-    return _verdict(per_release.join(known, "release_id", "left").fillna(0))
+    together = listed.unionByName(known, True)
+    counts = [c for c in together.columns if c not in ("release_id", "_listed")]
+    summed = together.groupBy("release_id").agg(
+        F.max("_listed").alias("_listed"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts)
+    )
+    return _verdict(summed.filter("_listed").drop("_listed"))
 
 
 def _verdict(counts: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revtide.operators.vintages import KEY
+
 
 def upsert(
     target: DataFrame,
@@ -58,10 +60,10 @@ def upsert_release_metadata(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def upsert_snapshot(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Upsert on (series, date, vintage) that touches a row only if its value changed."""
+    """Upsert on (release, series, date, vintage) that touches a row only if its value changed."""
     update = [c for c in ("value", "value_str", "etl_updated_at") if c in source.columns]
     return upsert(
-        target, source, ["series_id", "date", "vintage_date"], update, when_different=["value"]
+        target, source, [*KEY, "vintage_date"], update, when_different=["value"]
     )
 
 

@@ -35,6 +35,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                                        ORDER BY value_str DESC NULLS LAST) AS rn
           FROM fx_typed WHERE series_id <> '' AND date IS NOT NULL)
         WHERE rn = 1"""),
+    "fx_ingested": (("fx_typed",), """
+        SELECT series_id, date, value, value_str, vintage_date, release_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY release_id, series_id, date, vintage_date
+            ORDER BY collected_at DESC NULLS LAST, value_str DESC NULLS LAST) AS rn
+          FROM fx_typed WHERE series_id IS NOT NULL AND date IS NOT NULL)
+        WHERE rn = 1"""),
     "fx_snapshots_big": ((), """
         SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS series_id,
           CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
@@ -223,6 +229,7 @@ def _latest(log: str) -> str:
 
 for _name, _log_name, _text in (
     ("fx_snapshots", "fx_changes", "value_str"),
+    ("fx_ingested", "fx_ingested_changes", "value_str"),
     ("fx_snapshots_big", "fx_changes_big", "CAST(NULL AS VARCHAR)"),
 ):
     CTES[f"{_name}_cal"] = ((_name,), f"""

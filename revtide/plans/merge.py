@@ -1,8 +1,8 @@
 """Merging into the change log: one vintage at a time or whatever a batch touched.
 
-The log is partitioned by vintage. A merge replaces the (release, vintage) slices it derives and
-keeps the other releases of those vintages, so repeating it changes nothing. Each merge derives its
-rows once, in the job that writes them, and counts them afterwards in the log.
+The log is partitioned by vintage and release. A merge replaces the directories of the (release, vintage)
+slices it derives and touches no other, so repeating it changes nothing. Each merge derives its rows once, in the
+job that writes them, and counts them afterwards in the log.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from revtide.operators.ledger import conform
 from revtide.operators.observations import dedup_vintage_key
 from revtide.operators.vintages import KEY
 from revtide.schemas import PARTITION_COLUMNS, SERIES_OBSERVATIONS
-from revtide.sources.tables import ensure_table, overwrite_touched, read_table
+from revtide.sources.tables import ensure_table, overwrite_touched, read_table, remove
 
 LOG_PARTITIONS = PARTITION_COLUMNS["series_observations"]
 SLICE = ["release_id", "vintage_date"]
@@ -74,7 +74,9 @@ def merge_vintage(
         slices = slices.unionByName(following.withColumnRenamed("following", "vintage_date"))
         replaced = F.col("vintage_date") >= F.lit(day)
     stamp = _replace_slices(spark, changes, slices, replaced, log_path, etl_run_id, api_version)
-    written = read_log(spark, log_path).filter(on_day & (F.col("last_updated") == stamp))
+    written = read_log(spark, log_path).filter(on_day & (F.col("last_updated") == stamp)).join(
+        scope, "release_id", "left_semi"
+    )
     return {**change_counts(written).first().asDict(), **total}
 
 
@@ -114,27 +116,22 @@ def _replace_slices(
         "_etl_run_id": F.lit(etl_run_id),
         "_source_api_version": F.lit(api_version),
     })
-    vintages = slices.select("vintage_date").distinct()
-    same_days = read_log(spark, path).filter(pruning).join(vintages, "vintage_date", "left_semi")
-    kept = same_days.join(slices, SLICE, "left_anti")
-    rows = kept.unionByName(conform(stamped, SERIES_OBSERVATIONS))
-    laid_out = compact(rows, LOG_PARTITIONS).sortWithinPartitions(*LOG_PARTITIONS, "series_id", "date")
+    laid_out = compact(conform(stamped, SERIES_OBSERVATIONS), LOG_PARTITIONS).sortWithinPartitions(*LOG_PARTITIONS, "series_id", "date")
     overwrite_touched(laid_out, path, LOG_PARTITIONS)
-    _empty_left_over(spark, slices, pruning, path, stamp)
+    _remove_left_over(spark, slices, pruning, path, stamp)
     return stamp
 
 
-def _empty_left_over(
+def _remove_left_over(
     spark: SparkSession, slices: DataFrame, pruning: Column, path: str, stamp: Column
 ) -> None:
-    """Empty the vintages that should have no row any more.
+    """Remove the slices that should have no row any more.
 
     Overwriting by touched partition cannot empty one. A replaced slice with rows of another time
-    stamp gives such a vintage away. It takes a correction that took back every change of a vintage,
-    and there are never more such vintages than the merge touched.
+    stamp gives it away. It takes a correction that took back every change of a release's vintage; only
+    directory names reach the driver, one at a time.
     """
     old = read_log(spark, path).filter(pruning & (F.col("last_updated") != stamp))
-    left = old.join(slices, SLICE, "left_semi").select("vintage_date").distinct()
-    nothing = spark.createDataFrame([], SERIES_OBSERVATIONS).drop("vintage_date")
-    for row in left.collect():
-        nothing.write.mode("overwrite").parquet(f"{path}/vintage_date={row['vintage_date']}")
+    left = old.join(slices, SLICE, "left_semi").select(*SLICE).distinct()
+    for release, vintage in left.toLocalIterator():
+        remove(spark, f"{path}/vintage_date={vintage}/release_id={release}")

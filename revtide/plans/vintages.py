@@ -13,6 +13,7 @@ from revtide.functions.parsing import as_date, parse_date
 from revtide.operators.layout import compact
 from revtide.operators.observations import dedup_vintage_key, to_snapshot
 from revtide.operators.upserts import upsert_counts, upsert_snapshot
+from revtide.operators.vintages import KEY
 from revtide.schemas import PARTITION_COLUMNS, SNAPSHOTS
 from revtide.session import stored
 from revtide.sources.raw import read_raw
@@ -37,8 +38,8 @@ def ingest_vintages(
     """Upsert landed vintages (default: all) into the snapshots table in one job.
 
     Returns raw_count, inserted and updated per vintage. Only the directories of those vintages are
-    read and rewritten, and a row is updated only if its value changed. Of several rows of a point the one
-    collected last counts. Rows without a series or a
+    read and rewritten, and a row is updated only if its value changed. Releases may share a series. Of several
+    rows of a release's point the one collected last counts. Rows without a release, a series or a
     date cannot be keyed and stay in the landing zone. What happened to a row is kept next to it in
     a column outside the table's schema, so counting reads one small column and nothing is computed
     twice.
@@ -53,10 +54,9 @@ def ingest_vintages(
         days = [as_date(v) for v in vintages]
         raw = raw.filter(F.col("vintage_date").isin([d.isoformat() for d in days]))
         target = target.filter(F.col("vintage_date").isin(days))
-    typed = to_snapshot(raw, keep=["collected_at"]).filter(
-        F.col("series_id").isNotNull() & F.col("date").isNotNull()
-    )
-    merged = upsert_snapshot(target, dedup_vintage_key(typed).drop("collected_at"))
+    typed = to_snapshot(raw, keep=["collected_at"]).dropna(subset=KEY)
+    source = dedup_vintage_key(typed, [*KEY, "vintage_date"]).drop("collected_at")
+    merged = upsert_snapshot(target, source)
     partitions = PARTITION_COLUMNS["snapshots"]
     laid_out = compact(merged, partitions).sortWithinPartitions(*partitions, "series_id", "date")
     overwrite_touched(laid_out, table_path, partitions)

@@ -112,16 +112,17 @@ TABLES = {
     "commits": COMMITS,
 }
 
-# Vintages, not series, make up directories: a directory per series would mean a million tiny files.
+# Releases of a vintage, not series, make up directories: a merge replaces whole directories, and a directory
+# per series would mean a million tiny files.
 PARTITION_COLUMNS = {
-    "series_observations": ["vintage_date"],
-    "snapshots": ["vintage_date"],
+    "series_observations": ["vintage_date", "release_id"],
+    "snapshots": ["vintage_date", "release_id"],
     "curated": ["year", "month"],
 }
 
 # Columns whose ranges readers filter on; a table that is not listed is only compacted.
 CLUSTER_COLUMNS = {
-    "series_observations": ["date", "vintage_date"],
+    "series_observations": ["series_id", "date"],
     "snapshots": ["series_id", "date"],
     "curated": ["series_id", "release_id"],
     "series_metadata": ["release_id", "frequency"],

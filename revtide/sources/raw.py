@@ -4,26 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from revtide.functions.parsing import as_date
 from revtide.operators.collection import DEFAULT_RELEASES
 from revtide.operators.layout import compact
 from revtide.operators.observations import first_per_key
-from revtide.schemas import PAYLOAD_PAGE, RAW
+from revtide.schemas import PAYLOAD_PAGE, RAW, RAW_PATCHED
 from revtide.sources.tables import overwrite_touched
 
 LANDING_PARTITIONS = ["vintage_date", "release_id"]
 
 
 def read_raw(
-    spark: SparkSession, path: str, vintage_date: str | None = None, skip_corrupt: bool = False
+    spark: SparkSession, path: str, vintage_date: str | None = None, skip_corrupt: bool = False,
+    schema: StructType = RAW,
 ) -> DataFrame:
-    """All raw rows below a path, or those of one vintage.
+    """All raw rows below a path, or those of one vintage; ``RAW_PATCHED`` reads the release date too.
 
     The schema is given, so columns a file lacks become null. Unreadable files fail the job unless ``skip_corrupt`` is set.
     """
-    reader = spark.read.schema(RAW).option("ignoreCorruptFiles", skip_corrupt)
-    raw = reader.parquet(path).select(*RAW.names)
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", skip_corrupt)
+    raw = reader.parquet(path).select(*schema.names)
     if vintage_date is None:
         return raw
     return raw.filter(F.col("vintage_date") == as_date(vintage_date).isoformat())
@@ -32,9 +34,11 @@ def read_raw(
 def land_raw(raw: DataFrame, path: str) -> None:
     """Write raw rows below ``vintage_date=…/release_id=…``, replacing only those directories.
 
-    Rows of one directory are brought together first; a big release is split over several files.
+    A release date is landed where there is one. Rows of one directory are brought together first; a big
+    release is split over several files.
     """
-    rows = compact(raw.select(*RAW.names), LANDING_PARTITIONS)
+    names = [c for c in RAW_PATCHED.names if c in RAW.names or c in raw.columns]
+    rows = compact(raw.select(*names), LANDING_PARTITIONS)
     overwrite_touched(rows, path, LANDING_PARTITIONS)
 
 

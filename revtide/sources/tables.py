@@ -73,6 +73,12 @@ def overwrite_by_month(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> N
     ).save(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory in whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def save(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
     """Write a table without partitions, replacing what is there."""
     df.write.format(fmt).mode("overwrite").save(path)
@@ -118,15 +124,10 @@ def optimize_table(
 
 def table_info(df: DataFrame) -> DataFrame:
     """Files, columns, rows and distinct series of a table, as (metric, value) rows."""
-    files = df.select(F.col("_metadata.file_path").alias("_path")).agg(
-        F.lit("files").alias("metric"), F.count_distinct("_path").alias("value")
-    )
-    rows = df.agg(F.lit("rows").alias("metric"), F.count("*").alias("value"))
-    series = df.agg(
-        F.lit("series").alias("metric"), F.count_distinct("series_id").alias("value")
-    )
-    width = df.limit(0).agg(
-        F.lit("columns").alias("metric"),
-        (F.count("*") + len(df.columns)).alias("value"),
+    found = df.select(F.col("_metadata.file_path").alias("_path"), "series_id").agg(
+        F.count_distinct("_path").alias("files"), F.count("*").alias("rows"),
+        F.count_distinct("series_id").alias("series"),
+        F.lit(len(df.columns)).cast("bigint").alias("columns"),
     )
-    return files.unionAll(rows).unionAll(series).unionAll(width)
+    metrics = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in found.columns]
+    return found.select(F.inline(F.array(*metrics)))

@@ -14,7 +14,7 @@ from revtide.operators import changes, collection, ledger, quality, selection, u
 from revtide.plans import collection as runs
 from revtide.plans import curate, merge
 from revtide.plans import vintages as ingest
-from revtide.schemas import RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
+from revtide.schemas import RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
 from revtide.sources import raw as landing
 from revtide.sources import tables
 from revtide.streaming import events
@@ -76,7 +76,9 @@ class Warehouse:
 
     def curate(self, vintage_date: Day, release_id: int | None = None) -> DataFrame:
         """Write the curated table from a landed vintage, or from one release of it."""
-        raw = self.raw(as_date(vintage_date).isoformat())
+        raw = landing.read_raw(
+            self.spark, self.path("raw"), as_date(vintage_date).isoformat(), schema=RAW_PATCHED
+        )
         if release_id is not None:
             raw = raw.filter(F.col("release_id") == release_id)
         return curate.curate(

@@ -8,12 +8,14 @@ from frames import D1, D2, V1, V2, V3, day, log_rows, snapshot
 from pyspark.sql import functions as F
 
 from revtide.operators.changes import CHANGE_COLUMNS, change_log
+from revtide.operators.quality import release_quality
 from revtide.operators.vintages import latest_vintage
 from revtide.plans import merge
 from revtide.plans.curate import filled_rows
 from revtide.plans.vintages import ingest_vintages
 from revtide.schemas import RAW
 from revtide.sources.raw import land_raw, payload_observations, read_payload_pages
+from revtide.warehouse import Warehouse
 
 V4 = day("2024-02-22")
 
@@ -117,3 +119,39 @@ def test_broken_page_fails_unless_skipped(spark, tmp_path):
     with pytest.raises(Exception, match="MALFORMED"):
         payload_observations(read_payload_pages(spark, path)).collect()
     assert payload_observations(read_payload_pages(spark, path, skip_corrupt=True)).count() == 1
+
+
+def test_merge_touches_only_its_release(spark, tmp_path):
+    path = tmp_path / "log"
+    merge.merge_vintage(spark, snapshot(spark, ("A", D1, V1, 1.0, 1), ("B", D1, V1, 1.0, 2)), V1, str(path), "r1")
+    others = {p: p.stat().st_mtime_ns for p in path.glob(f"vintage_date={V1}/release_id=1/*.parquet")}
+    merge.merge_vintage(spark, snapshot(spark, ("B", D1, V1, 5.0, 2)), V1, str(path), "r2")
+    assert others == {p: p.stat().st_mtime_ns for p in path.glob(f"vintage_date={V1}/release_id=1/*.parquet")}
+    assert [(r[0], r[3]) for r in log_rows(merge.read_log(spark, str(path)))] == [("A", 1.0), ("B", 5.0)]
+
+
+def test_releases_share_a_series_and_rows_without_release_stay_out(spark, tmp_path):
+    raw, table = str(tmp_path / "raw"), str(tmp_path / "snapshots")
+    rows = [("A", "2024-01-01", "1", r, "2024-02-01", "t") for r in (1, 2, None)]
+    land_raw(spark.createDataFrame(rows, RAW), raw)
+    for inserted in (2, 0):
+        got = ingest_vintages(spark, raw, table).first()
+        assert (got["raw_count"], got["inserted"], got["updated"]) == (3, inserted, 0)
+    kept = spark.read.parquet(table).orderBy("release_id").collect()
+    assert [(r["series_id"], r["release_id"]) for r in kept] == [("A", 1), ("A", 2)]
+
+
+def test_release_date_reaches_the_curated_table(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    rows = spark.createDataFrame([("A", "2024-01-01", "1", 1, "2024-02-01", "t")], RAW)
+    house.land(rows.withColumn("release_date", F.lit("2023-12-31")))
+    assert [r["release_date"] for r in house.curate("2024-02-01").collect()] == ["2023-12-31"]
+
+
+def test_rows_without_release_have_their_own_quality(spark):
+    rows = [("A", "2024-01-01", str(i), r, "2024-02-01", "t") for i, r in enumerate((1, None, None))]
+    raw = spark.createDataFrame(rows, RAW)
+    metadata = spark.createDataFrame([("A", 1), ("Z", 7)], "series_id string, release_id int")
+    for releases in (None, raw):
+        found = release_quality(raw, metadata, releases).collect()
+        assert {r["release_id"]: r["obs_count"] for r in found} == {1: 1, None: 2}

@@ -87,7 +87,8 @@ def test_statistics_are_numeric_and_safe(spark):
 
 
 def snapshots(spark, *rows):
-    return spark.createDataFrame(rows, "series_id string, date date, vintage_date date, value double, value_str string")
+    schema = "series_id string, date date, vintage_date date, value double, value_str string"
+    return spark.createDataFrame(rows, schema).withColumn("release_id", F.lit(1))
 
 
 def test_upsert_applies_a_change_to_null(spark):
