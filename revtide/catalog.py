@@ -189,9 +189,11 @@ def analysis_tables(spark, sf):
 @query("run_manifest", """
     SELECT 'totals' AS entry, total_releases AS releases, successful, failed,
       total_observations AS observations, total_series AS series, api_calls,
-      CAST(NULL AS INTEGER) AS release_id, CAST(NULL AS VARCHAR) AS error FROM fx_totals
+      CAST(NULL AS INTEGER) AS release_id, CAST(NULL AS VARCHAR) AS error, qc_passed, qc_failed,
+      qc_warnings, qc_errors, retries_attempted, retries_succeeded FROM fx_totals
     UNION ALL
-    SELECT status, NULL, NULL, NULL, observations, series, api_calls, release_id, error
+    SELECT status, NULL, NULL, NULL, observations, series, api_calls, release_id, error,
+      NULL, NULL, NULL, NULL, NULL, NULL
     FROM fx_outcomes""", "fx_totals", "fx_outcomes")
 def run_manifest(spark, sf):
     path = scratch_path(spark, "manifest")
@@ -584,8 +586,8 @@ def run_totals(spark, sf):
 
 
 @query("release_summary", """
-    SELECT release_id, CAST(count(DISTINCT series_id) AS INTEGER) AS series_count,
-      CAST(count(*) AS INTEGER) AS observations_count, max(vintage_date) AS last_updated_by_source,
+    SELECT release_id, count(DISTINCT series_id) AS series_count,
+      count(*) AS observations_count, max(vintage_date) AS last_updated_by_source,
       'Release ' || CAST(release_id AS VARCHAR) AS release_name,
       'success' AS collection_status, 'run-1' AS _etl_run_id
     FROM fx_snapshots GROUP BY release_id""", "fx_snapshots")
@@ -729,13 +731,25 @@ REPORT_COLUMNS = """
     SELECT DATE '2024-02-01' AS vintage_date, t.*,
       round(100.0 * successful / total_releases, 6) AS success_rate,
       round(100.0 * qc_passed / successful, 6) AS qc_pass_rate,
+      round(70.0 * successful / total_releases + 30.0 * qc_passed / successful, 6) AS quality_score,
+      CASE WHEN 70.0 * successful / total_releases + 30.0 * qc_passed / successful >= 95 THEN 'excellent'
+           WHEN 70.0 * successful / total_releases + 30.0 * qc_passed / successful >= 90 THEN 'good'
+           WHEN 70.0 * successful / total_releases + 30.0 * qc_passed / successful >= 80 THEN 'fair'
+           ELSE 'poor' END AS band,
+      coalesce(nullif(concat_ws(',',
+        CASE WHEN failed > 0.1 * total_releases THEN 'high_failure_rate'
+             WHEN failed > 0.05 * total_releases THEN 'moderate_failure_rate' END,
+        CASE WHEN qc_passed < 0.9 * successful THEN 'low_qc_pass_rate' END,
+        CASE WHEN successful > 0 AND qc_warnings > 2 * successful THEN 'many_qc_warnings' END), ''),
+        'excellent') AS recommendations,
       round(100.0 * retries_succeeded / retries_attempted, 6) AS retry_success_rate,
       CAST(floor(total_observations / successful) AS BIGINT) AS avg_obs_per_release,
       (SELECT string_agg(CAST(release_id AS VARCHAR) || ':' || error, ',' ORDER BY release_id)
        FROM (SELECT release_id, error FROM fx_outcomes WHERE status = 'failed'
              ORDER BY release_id LIMIT 20)) AS failed_releases,
-      (SELECT string_agg(CAST(release_id AS VARCHAR), ',' ORDER BY release_id)
-       FROM (SELECT release_id FROM fx_outcomes WHERE status = 'success' AND NOT qc_valid
+      (SELECT string_agg(concat_ws(':', release_id, observations, series, qc_errors, qc_warnings), ','
+                         ORDER BY release_id)
+       FROM (SELECT * FROM fx_outcomes WHERE status = 'success' AND NOT qc_valid
              ORDER BY release_id LIMIT 20)) AS qc_issues
     FROM fx_totals t"""
 
@@ -747,11 +761,13 @@ def qc_report(spark, sf):
     failed = F.transform("failed_releases", lambda r: F.concat_ws(
         ":", r["release_id"].cast("string"), r["error"]
     ))
-    invalid = F.transform("qc_issues", lambda r: r["release_id"].cast("string"))
-    rates = ("success_rate", "qc_pass_rate", "retry_success_rate")
+    metrics = ("release_id", "observations", "series", "qc_errors", "qc_warnings")
+    invalid = F.transform("qc_issues", lambda r: F.concat_ws(":", *(r[m].cast("string") for m in metrics)))
+    rates = ("success_rate", "qc_pass_rate", "quality_score", "retry_success_rate")
     return report.withColumns({
         **{c: F.round(c, 6) for c in rates},
         "failed_releases": F.array_join(failed, ","), "qc_issues": F.array_join(invalid, ","),
+        "recommendations": F.array_join(F.col("recommendations")["code"], ","),
     })
 
 

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,8 +54,10 @@ def run_totals(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def quality_score(totals: DataFrame) -> DataFrame:
-    """Score from 0 to 100 and its band. A run without releases scores 100, its rates are null."""
+def quality_score(totals: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """Score from 0 to 100 and its band, after the columns ``kept``. A run without releases scores 100, its
+    rates are null.
+    """
     success = F.try_divide("successful", "total_releases")
     passed = F.try_divide("qc_passed", "successful")
     score = F.when(F.col("total_releases") == 0, F.lit(100.0)).otherwise(
@@ -63,16 +66,19 @@ def quality_score(totals: DataFrame) -> DataFrame:
     band = F.lit(LOWEST_BAND)
     for floor, name in reversed(SCORE_BANDS):
         band = F.when(F.col("quality_score") >= floor, name).otherwise(band)
-    scored = totals.select(
-        (success * 100).alias("success_rate"),
-        (passed * 100).alias("qc_pass_rate"),
-        score.alias("quality_score"),
-    )
-    return scored.withColumn("band", band)
+    scored = totals.withColumns({
+        "success_rate": success * 100, "qc_pass_rate": passed * 100, "quality_score": score,
+    }).withColumn("band", band)
+    return scored.select(*kept, "success_rate", "qc_pass_rate", "quality_score", "band")
 
 
 def recommendations(totals: DataFrame) -> DataFrame:
     """What to look at, one row per recommendation: code, measured number, text."""
+    return totals.select(F.inline(_advice()))
+
+
+def _advice() -> Column:
+    """The recommendations of a row of totals, as an array."""
     failure = F.try_divide(F.col("failed") * 100, F.col("failed") + F.col("successful"))
     passed = F.try_divide(F.col("qc_passed") * 100, F.col("successful"))
     warnings = F.col("qc_warnings").cast("double")
@@ -96,12 +102,13 @@ def recommendations(totals: DataFrame) -> DataFrame:
         )),
     ))
     fine = F.array(advice("excellent", F.lit(None).cast("double"), "Nothing to improve."))
-    listed = totals.select(F.when(F.size(found) > 0, found).otherwise(fine).alias("_list"))
-    return listed.select(F.inline("_list"))
+    return F.when(F.size(found) > 0, found).otherwise(fine)
 
 
 def qc_report(outcomes: DataFrame, vintage_date: str | datetime.date) -> DataFrame:
-    """The report of a run as one row; its lists hold at most twenty releases each."""
+    """The report of a run as one row, with its score and recommendations; its lists hold at most twenty
+    releases each, invalid ones with their metrics.
+    """
     totals = run_totals(outcomes)
     good = F.col("status") == "success"
     bad = outcomes.filter(~good).orderBy("release_id").limit(REPORT_LIST_LIMIT)
@@ -112,7 +119,7 @@ def qc_report(outcomes: DataFrame, vintage_date: str | datetime.date) -> DataFra
         bad.select(F.struct("release_id", "error").alias("_bad")), True
     ).unionByName(
         invalid.select(
-            F.struct("release_id", "qc_errors", "qc_warnings").alias("_invalid")
+            F.struct("release_id", "observations", "series", "qc_errors", "qc_warnings").alias("_invalid")
         ), True,
     )
     merged = stacked.agg(
@@ -120,12 +127,10 @@ def qc_report(outcomes: DataFrame, vintage_date: str | datetime.date) -> DataFra
         F.array_sort(F.collect_list("_bad")).alias("failed_releases"),
         F.array_sort(F.collect_list("_invalid")).alias("qc_issues"),
     )
-    success = F.try_divide("successful", "total_releases")
-    return merged.select(
+    return quality_score(merged, merged.columns).select(
         F.lit(as_date(vintage_date)).alias("vintage_date"),
-        *totals.columns,
-        (success * 100).alias("success_rate"),
-        (F.try_divide("qc_passed", "successful") * 100).alias("qc_pass_rate"),
+        *totals.columns, "success_rate", "qc_pass_rate", "quality_score", "band",
+        _advice().alias("recommendations"),
         (F.try_divide("retries_succeeded", "retries_attempted") * 100).alias("retry_success_rate"),
         F.floor(F.try_divide("total_observations", "successful")).alias("avg_obs_per_release"),
         "failed_releases", "qc_issues",
@@ -140,7 +145,8 @@ def run_manifest(outcomes: DataFrame, vintage_date: str | datetime.date) -> Data
     totals = run_totals(outcomes).select(
         F.lit("totals").alias("entry"), F.col("total_releases").alias("releases"),
         "successful", "failed", F.col("total_observations").alias("observations"),
-        F.col("total_series").alias("series"), "api_calls",
+        F.col("total_series").alias("series"), "api_calls", "qc_passed", "qc_failed", "qc_warnings",
+        "qc_errors", "retries_attempted", "retries_succeeded",
     )
     lines = outcomes.select(
         F.when(F.col("status") == "success", "success").otherwise("failed").alias("entry"),
@@ -151,11 +157,19 @@ def run_manifest(outcomes: DataFrame, vintage_date: str | datetime.date) -> Data
     return both.withColumn("vintage_date", F.lit(as_date(vintage_date)))
 
 
-def release_summary(observations: DataFrame, etl_run_id: str) -> DataFrame:
-    """Release metadata rows that a run writes back: counts, last vintage, status."""
-    return observations.groupBy("release_id").agg(
-        F.count_distinct("series_id").cast("int").alias("series_count"),
-        F.count("*").cast("int").alias("observations_count"),
+def release_summary(
+    observations: DataFrame, etl_run_id: str, releases: DataFrame | None = None
+) -> DataFrame:
+    """Release metadata rows that a run writes back: counts, last vintage, status.
+
+    ``releases`` (release_id, vintage_date) adds releases that delivered nothing.
+    """
+    found = observations.select("release_id", "vintage_date", "series_id", F.lit(1).alias("_rows"))
+    if releases is not None:
+        found = found.unionByName(releases.select("release_id", "vintage_date", F.lit(0).alias("_rows")), True)
+    return found.groupBy("release_id").agg(
+        F.count_distinct("series_id").alias("series_count"),
+        F.sum("_rows").alias("observations_count"),
         F.max("vintage_date").alias("last_updated_by_source"),
     ).withColumns({
         "release_name": F.concat(F.lit("Release "), F.col("release_id").cast("string")),

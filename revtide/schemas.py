@@ -1,6 +1,7 @@
 """Table schemas.
 
-Column names and types are fixed values: readers of existing tables rely on them.
+Column names and types are fixed values: readers of existing tables rely on them. Counts are BIGINT
+throughout; older files with INT counts read the same.
 """
 
 from pyspark.sql.types import (
@@ -69,7 +70,7 @@ SERIES_METADATA = _struct("""
 
 RELEASE_METADATA = _struct("""
     release_id INT NOT NULL, release_name STRING NOT NULL, press_release BOOLEAN, link STRING,
-    series_count INT, observations_count INT, last_collected TIMESTAMP,
+    series_count BIGINT, observations_count BIGINT, last_collected TIMESTAMP,
     last_updated_by_source DATE, collection_status STRING, collection_error STRING,
     _etl_run_id STRING
 """)
@@ -77,8 +78,8 @@ RELEASE_METADATA = _struct("""
 COLLECTION_HISTORY = _struct("""
     etl_run_id STRING NOT NULL, release_id INT NOT NULL,
     started_at TIMESTAMP NOT NULL, completed_at TIMESTAMP, duration_seconds DOUBLE,
-    series_count INT, observations_added INT, observations_updated INT,
-    observations_deleted INT, api_calls INT, api_key_used STRING,
+    series_count BIGINT, observations_added BIGINT, observations_updated BIGINT,
+    observations_deleted BIGINT, api_calls INT, api_key_used STRING,
     status STRING NOT NULL, error_message STRING, error_stack_trace STRING,
     triggered_by STRING, kubernetes_pod STRING, api_version STRING
 """)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import traceback
 import uuid
 from collections.abc import Sequence
 
@@ -15,6 +16,7 @@ from revtide.plans import collection as runs
 from revtide.plans import curate, merge
 from revtide.plans import vintages as ingest
 from revtide.schemas import RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
+from revtide.session import stored
 from revtide.sources import raw as landing
 from revtide.sources import tables
 from revtide.streaming import events
@@ -144,22 +146,26 @@ class Warehouse:
         try:
             rows = observations.withColumn("release_id", F.lit(release_id).cast("int"))
             counts = dict.fromkeys(("inserted", "updated", "deleted", "total_processed"), 0)
+            day = F.lit(as_date(vintage_date)).alias("vintage_date")
             if not rows.isEmpty():
                 counts = self.merge_observations(
                     rows, vintage_date, run, release_id, api_version
                 )
-                dated = rows.withColumn("vintage_date", F.lit(as_date(vintage_date)))
-                self.merge_release_metadata(collection.release_summary(dated, run), run)
+            collected = self.spark.range(1).select(F.lit(release_id).cast("int").alias("release_id"), day)
+            dated = rows.select("release_id", "series_id", day)
+            summary = stored(collection.release_summary(dated, run, collected), "summary")
+            self.merge_release_metadata(summary, run)
+            series_count = summary.first()["series_count"]
         except Exception as error:
             self.log_run(
                 run, release_id, started, datetime.datetime.now(), "failed",
-                error_message=str(error), **context,
+                error_message=str(error), error_stack_trace=traceback.format_exc(), **context,
             )
             raise
         self.log_run(
             run, release_id, started, datetime.datetime.now(), "success",
             observations_added=counts["inserted"], observations_updated=counts["updated"],
-            observations_deleted=counts["deleted"], **context,
+            observations_deleted=counts["deleted"], series_count=series_count, **context,
         )
         return {"etl_run_id": run, "status": "success", **counts}
 

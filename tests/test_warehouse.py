@@ -68,6 +68,10 @@ def test_store_release_keeps_log_metadata_and_ledgers(spark, house):
     assert info["files"] >= 2
     empty = house.store_release(typed.limit(0), 441, "2024-02-15")
     assert empty["status"] == "success" and house.table("series_observations").count() == 4
+    release = house.table("release_metadata").first()
+    assert (release["series_count"], release["observations_count"]) == (0, 0)
+    counts = sorted(r["series_count"] for r in house.run_status().collect())
+    assert counts == [0, 1, 1, 2]
 
 
 def test_failure_is_logged_and_raised(spark, house):
