@@ -790,14 +790,14 @@ def qc_recommendations(spark, sf):
 @query("qc_gate", """
     SELECT * , failures = 0 AS passed FROM (
       SELECT 'required_columns' AS "check", CAST(0 AS BIGINT) AS failures
-      UNION ALL SELECT 'series_id_nulls', count(*) FROM fx_dedup WHERE series_id IS NULL
-      UNION ALL SELECT 'date_nulls', count(*) FROM fx_dedup WHERE date IS NULL
-      UNION ALL SELECT 'release_id_nulls', count(*) FROM fx_dedup WHERE release_id IS NULL
-      UNION ALL SELECT 'date_format', count(*) FROM fx_dedup
+      UNION ALL SELECT 'series_id_nulls', count(*) FROM fx_raw WHERE series_id IS NULL
+      UNION ALL SELECT 'date_nulls', count(*) FROM fx_raw WHERE date IS NULL
+      UNION ALL SELECT 'release_id_nulls', count(*) FROM fx_raw WHERE release_id IS NULL
+      UNION ALL SELECT 'date_format', count(*) FROM fx_raw
         WHERE date IS NULL OR NOT regexp_matches(date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'))""",
-       "fx_dedup")
+       "fx_raw")
 def qc_gate(spark, sf):
-    return quality.gate_checks(curate.curated_rows(fx.raw(spark, sf)))
+    return quality.gate_checks(curate.filled_rows(fx.raw(spark, sf)))
 
 
 # --- windows, sorts, sets ----------------------------------------------------------------------------

@@ -6,12 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import DateType, MapType, NumericType, TimestampType
 
 from revtide.functions.clustering import bucket_of, interleave_bits
 
 CLUSTER_BITS = 6
-BOUND_CANDIDATES = 4096
 
 
 def repartition_by_series(df: DataFrame) -> DataFrame:
@@ -29,16 +28,20 @@ def compact(df: DataFrame, partition_columns: Sequence[str] = ()) -> DataFrame:
 
 
 def range_bounds(df: DataFrame, column: str, buckets: int) -> list:
-    """At most ``buckets - 1`` values that cut the distinct values of a column into even ranges.
+    """At most ``buckets - 1`` values that cut the rows of a column into even ranges.
 
-    The candidates are the distinct values with the smallest hashes, a bounded and repeatable
-    choice. They only steer the layout; no row is left out of the table.
+    Numbers and dates by approximate percentiles; other types by the ranges Spark cuts them into. Either
+    way all rows weigh in, and only the bounds reach the driver.
     """
-    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    kept = values.orderBy(F.xxhash64(column)).limit(BOUND_CANDIDATES)
-    found = sorted(row[0] for row in kept.collect())
-    step = len(found) / buckets
-    return sorted({found[int(step * i)] for i in range(1, buckets)}) if found else []
+    values = df.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull())
+    if isinstance(df.schema[column].dataType, (NumericType, DateType, TimestampType)):
+        shares = [i / buckets for i in range(1, buckets)]
+        found = values.agg(F.percentile_approx("_value", shares)).first()[0] or []
+    else:
+        ranged = values.repartitionByRange(buckets, "_value")
+        firsts = ranged.groupBy(F.spark_partition_id()).agg(F.min("_value").alias("_value"))
+        found = sorted(row["_value"] for row in firsts.select("_value").collect())[1:]
+    return sorted(set(found))
 
 
 def cluster_key(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS) -> Column:
