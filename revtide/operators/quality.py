@@ -61,8 +61,8 @@ def outlier_limits(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataF
 
 
 def outlier_counts(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataFrame:
-    """Values beyond the outlier limit, per release or per other grouping."""
-    marked = _with_limits(raw, by)
+    """Values beyond the outlier limit, per release or per other grouping without nulls."""
+    marked = _with_limits(raw.dropna(subset=list(by)), by)
     return marked.groupBy(*by).agg(F.count_if(_is_outlier()).alias("value_outliers"))
 
 
