@@ -2,11 +2,12 @@
 
 The pages of a host are merged into one tree: an element node of the tree stands for all elements with the
 same path of tags, classes and ids. It counts how its pages fill it: with which child elements (their
-presentation) and with which text (their content). If all pages do so alike the entropy is low, and the
-branch is boilerplate; if every page does so in its own way, it is content. Branches of low importance are
-taken out of each page, next to those whose role the markup states (menus, footers, forms, adverts,
-comments, ...). Where a page declares its main part, only what is inside counts, and there only
-containers, never paragraphs or headings, can be taken out for their low importance.
+presentation) and with which text (the content of all descendants together). If all pages do so alike the
+entropy is low, and the branch is boilerplate; if every page does so in its own way, it is content. A branch of low
+importance is taken out of the pages that fill it with one of its common texts, so text that only a few pages
+have stays, next to those whose role the markup states (menus, footers, forms, adverts, comments, ...).
+Where a page declares its main part, only what is inside counts, and there only containers, never
+paragraphs or headings, can be taken out for their low importance.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from revtide.session import stored
 #: A branch less important than this is boilerplate, if at least so many pages of its host have it.
 MIN_IMPORTANCE = 0.2
 MIN_PAGES = 8
-#: How fast the weight of a node's own presentation gives way to its content as its children get more.
+#: Weight of a node's content where all pages present it alike; each further presentation lowers it by this factor.
 DECAY = 0.9
+#: Share of a branch's pages from which a text of it is common.
+COMMON = 0.05
 
 # What HTML says about its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -216,22 +219,27 @@ def words_of(nodes: list[Node], low: frozenset[int] | set[int] = frozenset(), in
     return "".join(pieces).split()
 
 
-def main_text(html: str | None, low: frozenset[int] | set[int] = frozenset()) -> str:
-    """The main text of a page, given the unimportant paths of its host."""
+def main_text(html: str | None, common: frozenset[int] | set[int] = frozenset()) -> str:
+    """The main text of a page, given the common contents of unimportant paths of its host."""
     root = parse(html or "")
+    low = {path for path, (_, words) in styles(root).items() if words in common} if common else frozenset()
     mains = main_parts(root)
     return " ".join(words_of(mains or [root], low, bool(mains)))
 
 
-def styles(html: str | None) -> Counter:
-    """(path, presentation, content, number of children) of every container of a page, as hashes."""
-    found = Counter()
-    for node, _ in containers(parse(html or "")):
-        elements = [c.sign for c in node.children if not isinstance(c, str)]
-        shape = xxhash.xxh64_intdigest("\n".join(dict.fromkeys(elements)))
-        words = xxhash.xxh64_intdigest(" ".join(words_of(node.children)))
-        found[node.path, shape, words, min(len(elements), 64)] += 1
-    return found
+def styles(root: Node) -> dict[int, tuple[int, int]]:
+    """Presentation and content of every path of a page that has containers, as hashes.
+
+    Elements of one path are taken together. The hash of a content is that of a path and its text.
+    """
+    shapes: dict[int, dict[str, None]] = {}
+    texts: dict[int, list[str]] = {}
+    for node, _ in containers(root):
+        signs = dict.fromkeys(c.sign for c in node.children if not isinstance(c, str))
+        shapes.setdefault(node.path, {})["\n".join(signs)] = None
+        texts.setdefault(node.path, []).append(" ".join(words_of(node.children)))
+    digest = xxhash.xxh64_intdigest
+    return {p: (digest("\n\n".join(shapes[p])), digest("\n".join(t), p)) for p, t in texts.items()}
 
 
 def _signed(value: int) -> int:
@@ -242,41 +250,45 @@ def _styles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         total = Counter()
         for host, html in zip(frame["host"], frame["html"]):
-            for (path, shape, words, children), n in styles(html).items():
-                total[host, _signed(path), _signed(shape), _signed(words), children] += n
+            for path, (shape, words) in styles(parse(html or "")).items():
+                total[host, _signed(path), _signed(shape), _signed(words)] += 1
         rows = [(*key, n) for key, n in total.items()]
         if rows:
-            yield pd.DataFrame(rows, columns=["host", "path", "shape", "words", "children", "n"])
+            yield pd.DataFrame(rows, columns=["host", "path", "shape", "words", "n"])
 
 
 def _entropy(counts: DataFrame, of: str) -> DataFrame:
-    """Per (host, path): rows m and the entropy of a feature, from 0 (all alike) to 1 (all different)."""
-    each = counts.groupBy("host", "path", of).agg(F.sum("n").alias("n"), F.sum("weighted").alias("weighted"))
+    """Per (host, path): pages m, different values, and the entropy of a feature, from 0 (all alike) to 1 (all different)."""
+    each = counts.groupBy("host", "path", of).agg(F.sum("n").alias("n"))
     total = each.groupBy("host", "path").agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.sum("weighted").alias("children")
+        F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.count("*").alias("kinds")
     )
     entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("s") / F.col("m")) / F.log("m")).otherwise(1.0)
-    return total.select("host", "path", "m", (F.col("children") / F.col("m")).alias("children"), entropy.alias(of))
+    return total.select("host", "path", "m", "kinds", entropy.alias(of))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """The merged tree of every host: (host, path, pages, importance) from rows of (host, html).
+def style_counts(pages: DataFrame) -> DataFrame:
+    """(host, path, shape, words, n): pages of a host per presentation and content, from rows of (host, html).
 
-    Importance joins both entropies, the presentation's with weight 1 - DECAY^children. A task sums up its
-    own pages before anything is shuffled, so a host with most of the pages is no larger than its tree times
-    the number of tasks.
+    A task sums up its own pages before anything is shuffled, so a host with most of the pages is no
+    larger than its tree times the number of tasks.
+    """
+    counts = pages.mapInPandas(_styles, "host string, path long, shape long, words long, n long")
+    return stored(counts.groupBy("host", "path", "shape", "words").agg(F.sum("n").alias("n")), "styles")
+
+
+def style_tree(counts: DataFrame) -> DataFrame:
+    """The merged tree of every host: (host, path, pages, importance).
+
+    Importance joins both entropies, the presentation's with weight 1 - DECAY^presentations, and is never
+    below that of the content: a branch that every page fills with a text of its own is important
+    however alike the pages present it.
     """
-    counts = pages.mapInPandas(
-        _styles, "host string, path long, shape long, words long, children int, n long"
-    ).groupBy("host", "path", "shape", "words", "children").agg(F.sum("n").alias("n"))
-    counts = stored(counts.withColumn("weighted", F.col("n") * F.col("children")), "styles")
     shape, words = _entropy(counts, "shape"), _entropy(counts, "words")
     both = shape.join(words.select("host", "path", "words"), ["host", "path"])
-    own = F.pow(F.lit(DECAY), F.col("children"))
-    return both.select(
-        "host", "path", F.col("m").alias("pages"),
-        ((1 - own) * F.col("shape") + own * F.col("words")).alias("importance"),
-    )
+    content = F.pow(F.lit(DECAY), F.col("kinds"))
+    joined = (1 - content) * F.col("shape") + content * F.col("words")
+    return both.select("host", "path", F.col("m").alias("pages"), F.greatest("words", joined).alias("importance"))
 
 
 def host_of(url) -> F.Column:
@@ -290,22 +302,24 @@ def extracted(
     """``row`` (all columns of ``df``) and ``text``, the main text of each page.
 
     A null or empty page has an empty text; pages whose url is null or has no host are one host. Equal
-    pages are pages each. The unimportant paths of a host are few, a list per host; pages move only if
-    those lists together are too large to broadcast within Spark's own threshold.
+    pages are pages each. The common contents of a host's unimportant paths are few, a list per host; pages move
+    only if those lists together are too large to broadcast within Spark's own threshold.
     """
     text_batches(df.sparkSession)
     pages = packed(df, host=host_of(df[url]), html=df[html])
-    tree = style_tree(pages.select("host", "html"))
-    dull = tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    dull = dull.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_set("path")).alias("low"))
-    dull = stored(dull, "unimportant")
-    found = pages.join(dull, pages["host"] == dull["of"], "left").select("row", "html", "low")
+    counts = style_counts(pages.select("host", "html"))
+    dull = style_tree(counts).filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
+    each = counts.groupBy("host", "path", "words").agg(F.sum("n").alias("n"))
+    each = each.join(dull, ["host", "path"]).filter((F.col("n") > 1) & (F.col("n") >= COMMON * F.col("pages")))
+    common = each.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_set("words")).alias("common"))
+    common = stored(common, "unimportant")
+    found = pages.join(common, pages["host"] == common["of"], "left").select("row", "html", "common")
 
     @F.pandas_udf("string")
-    def text(htmls: pd.Series, lows: pd.Series) -> pd.Series:
+    def text(htmls: pd.Series, commons: pd.Series) -> pd.Series:
         return pd.Series([
-            main_text(h, frozenset() if p is None else {x % (1 << 64) for x in p.tolist()})
-            for h, p in zip(htmls, lows)
+            main_text(h, frozenset() if c is None else {x % (1 << 64) for x in c.tolist()})
+            for h, c in zip(htmls, commons)
         ], dtype=object)
 
-    return found.select("row", text("html", "low").alias("text"))
+    return found.select("row", text("html", "common").alias("text"))

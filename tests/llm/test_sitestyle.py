@@ -37,6 +37,27 @@ def test_tree_of_a_host(spark):
     assert {(r["page_id"], r["text"]) for r in found} == {(i, f"story {i} of {i}") for i in range(40)}
 
 
+def texts_of(spark, pages):
+    rows = [(i, "http://h/x", page) for i, page in enumerate(pages)]
+    found = sitestyle.extracted(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r["page_id"]: r["text"] for r in found.select("row.page_id", "text").collect()}
+
+
+def test_long_articles(spark):
+    body = "".join("<p>line {0} of %d</p>" % k for k in range(40))
+    page = "<body><div>Acme daily</div>%s<div class=entry-content>" + body + "</div>%s</body>"
+    text = " ".join("line {0} of %d" % k for k in range(40))
+    for around in (("", ""), ("<article>", "</article>"), ("<main>", "</main>")):
+        found = texts_of(spark, [(page % around).format(i) for i in range(40)])
+        assert found == {i: text.format(i) for i in range(40)}
+
+
+def test_text_of_few_pages_stays(spark):
+    page = "<body><p>page {0}</p><div class=note><p>{1}</p></div></body>"
+    found = texts_of(spark, [page.format(i, f"story {i}" if i < 4 else "Nothing new today") for i in range(200)])
+    assert found == {i: f"page {i} story {i}" if i < 4 else f"page {i}" for i in range(200)}
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).withColumn("url", F.col("source"))
     assert sitestyle.extracted(rows, html="text").count() == rows.count()
