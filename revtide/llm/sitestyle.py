@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from revtide.llm.common import packed, text_batches
 from revtide.session import stored
 
-#: A branch less important than this is boilerplate, if at least so many pages of its host have it.
+#: A branch less important than this is boilerplate, if at least so many distinct pages of its host have it.
 MIN_IMPORTANCE = 0.2
 MIN_PAGES = 8
 #: Weight of a node's content where all pages present it alike; each further presentation lowers it by this factor.
@@ -242,19 +242,29 @@ def styles(root: Node) -> dict[int, tuple[int, int]]:
     return {p: (digest("\n\n".join(shapes[p])), digest("\n".join(t), p)) for p, t in texts.items()}
 
 
+def page_hash(root: Node, found: dict[int, tuple[int, int]]) -> int:
+    """What a page shows; copies that differ in scripts, attributes or stated branches only are one page."""
+    shown = " ".join(words_of([root]))
+    return xxhash.xxh64_intdigest("\n".join([shown, *(f"{p} {w}" for p, (_, w) in sorted(found.items()))]))
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
 def _styles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per page that has containers; of equal pages of a host in one batch, one."""
     for frame in frames:
-        total = Counter()
+        pages = {}
         for host, html in zip(frame["host"], frame["html"]):
-            for path, (shape, words) in styles(parse(html or "")).items():
-                total[host, _signed(path), _signed(shape), _signed(words)] += 1
-        rows = [(*key, n) for key, n in total.items()]
-        if rows:
-            yield pd.DataFrame(rows, columns=["host", "path", "shape", "words", "n"])
+            root = parse(html or "")
+            found = styles(root)
+            if found:
+                pages[host, _signed(page_hash(root, found))] = [
+                    {"path": _signed(p), "shape": _signed(s), "words": _signed(w)} for p, (s, w) in found.items()
+                ]
+        if pages:
+            yield pd.DataFrame([(*key, f) for key, f in pages.items()], columns=["host", "page", "found"])
 
 
 def _entropy(counts: DataFrame, of: str) -> DataFrame:
@@ -268,13 +278,17 @@ def _entropy(counts: DataFrame, of: str) -> DataFrame:
 
 
 def style_counts(pages: DataFrame) -> DataFrame:
-    """(host, path, shape, words, n): pages of a host per presentation and content, from rows of (host, html).
+    """(host, path, shape, words, n): distinct pages of a host per presentation and content, from rows of (host, html).
 
-    A task sums up its own pages before anything is shuffled, so a host with most of the pages is no
-    larger than its tree times the number of tasks.
+    Copies of a page count once. Pages are dealt by host and hash with a few numbers per container, then
+    a task sums up its own pages before anything else is shuffled, so a host with most of the pages is no larger
+    than its tree times the number of tasks.
     """
-    counts = pages.mapInPandas(_styles, "host string, path long, shape long, words long, n long")
-    return stored(counts.groupBy("host", "path", "shape", "words").agg(F.sum("n").alias("n")), "styles")
+    rows = pages.mapInPandas(
+        _styles, "host string, page long, found array<struct<path:long, shape:long, words:long>>"
+    )
+    once = rows.groupBy("host", "page").agg(F.first("found").alias("found")).select("host", F.inline("found"))
+    return stored(once.groupBy("host", "path", "shape", "words").agg(F.count("*").alias("n")), "styles")
 
 
 def style_tree(counts: DataFrame) -> DataFrame:
@@ -302,7 +316,7 @@ def extracted(
     """``row`` (all columns of ``df``) and ``text``, the main text of each page.
 
     A null or empty page has an empty text; pages whose url is null or has no host are one host. Equal
-    pages are pages each. The common contents of a host's unimportant paths are few, a list per host; pages move
+    pages count once in the tree. The common contents of a host's unimportant paths are few, a list per host; pages move
     only if those lists together are too large to broadcast within Spark's own threshold.
     """
     text_batches(df.sparkSession)

@@ -58,6 +58,15 @@ def test_text_of_few_pages_stays(spark):
     assert found == {i: f"page {i} story {i}" if i < 4 else f"page {i}" for i in range(200)}
 
 
+def test_copies_of_a_page(spark):
+    page = "<body><script>n={1}</script><div class=top>Acme daily</div><div class=text><p>story {0} of {0}</p></div></body>"
+    pages = [page.format(7 if i < 180 else i, i) for i in range(200)]
+    found = texts_of(spark, pages)
+    assert found == {i: "story {0} of {0}".format(7 if i < 180 else i) for i in range(200)}
+    alike = texts_of(spark, [page.format(7, i % 2) for i in range(16)])
+    assert set(alike.values()) == {"Acme daily story 7 of 7"}
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).withColumn("url", F.col("source"))
     assert sitestyle.extracted(rows, html="text").count() == rows.count()
