@@ -5,7 +5,8 @@ same path of tags, classes and ids. It counts how its pages fill it: with which
 presentation) and with which text (the content of all descendants together). If all pages do so alike the
 entropy is low, and the branch is boilerplate; if every page does so in its own way, it is content. A branch of low
 importance is taken out of the pages that fill it with one of its common texts, so text that only a few pages
-have stays, next to those whose role the markup states (menus, footers, forms, adverts, comments, ...).
+have stays, next to those whose role the markup states (menus, footers, forms, ...) or hints at in classes and
+ids (adverts, comments, ...), unless they hold a main part, a heading or a good share of the text.
 Where a page declares its main part, only what is inside counts, and there only containers, never
 paragraphs or headings, can be taken out for their low importance.
 """
@@ -61,6 +62,14 @@ HINTS = frozenset(
     "share sharing social related recommended recommendations trending pagination pager skip legal disclaimer "
     "search form hidden".split()
 )
+# Words that turn around what stands behind or before them: layout classes such as has-sidebar or comments-open.
+BEFORE = frozenset("has have with without no not".split())
+AFTER = frozenset("open opened closed enabled disabled".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A hint counts for an element with less than this share of its page's text; a declared part needs as much.
+MINOR = 0.5
+LEAST_PART = 0.25
+
 # An open element that a new one closes, and where the search for it ends.
 CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -79,10 +88,12 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     """An element of a page; children are elements and texts in order."""
 
-    __slots__ = ("tag", "attrs", "children", "sign", "path")
+    __slots__ = ("tag", "attrs", "children", "sign", "path", "size", "hint", "holds", "out")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.children = tag, attrs, []
+        # Characters of text, whether names hint at no text, whether it holds what speaks against, the verdict.
+        self.size, self.hint, self.holds, self.out = 0, False, False, False
         # Long numbers in names differ from page to page.
         name = " ".join(sorted(attrs.get("class", "").split())) + "#" + attrs.get("id", "")
         self.sign = f"{tag}.{_DIGITS.sub('', name)}" if len(name) > 1 else tag
@@ -119,6 +130,7 @@ def parse(html: str) -> Node:
             mark = "-->" if tag[0] == "<!--" else ">"
             end = html.find(mark, at)
             at = size if end < 0 else end + len(mark)
+    judge(root)
     return root
 
 
@@ -153,7 +165,7 @@ def _close(stack: list[Node], names: set[str], until: set[str]) -> None:
 
 
 def stated(node: Node) -> bool:
-    """Whether the markup itself says that an element is no part of the text."""
+    """Whether an element says beyond doubt that it is no part of the text."""
     if node.tag in DROPPED:
         return True
     attrs = node.attrs
@@ -161,28 +173,84 @@ def stated(node: Node) -> bool:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES:
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    if node.tag in BLOCKS or node.tag in ("span", "a"):
-        names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-        return any(w in HINTS for w in _WORD.findall(_CAMEL.sub(" ", names).lower()))
+    return "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
+def hinted(node: Node) -> bool:
+    """Whether the classes or the id of an element hint that it is no part of the text."""
+    attrs = node.attrs
+    if not attrs or node.tag in ("html", "body", "main") or node.tag not in BLOCKS and node.tag not in ("span", "a"):
+        return False
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+        for word, following in zip(words, [*words[1:], ""]):
+            if word in BEFORE:
+                break
+            if word in HINTS and following not in AFTER:
+                return True
     return False
 
 
+def declared(node: Node) -> bool:
+    """Whether an element declares itself a main part."""
+    attrs = node.attrs
+    return (
+        node.tag in ("main", "article") or attrs.get("role", "").lower() == "main"
+        or "articlebody" in attrs.get("itemprop", "").lower()
+    )
+
+
+def judge(root: Node) -> None:
+    """Mark what is no part of the text: what is stated, and what is hinted and nothing speaks against.
+
+    Against a hint speak a main part, a heading, or a good share of the page's text inside the element.
+    A heading that is itself hinted and an article within an article (a comment) do not.
+    """
+    order: list[tuple[Node, bool]] = []
+    stack = [(root, False)]
+    while stack:
+        node, within = stack.pop()
+        node.out = stated(node)
+        if node.out:
+            continue
+        node.hint = hinted(node)
+        part = declared(node)
+        node.holds = part and not (node.hint and within) or node.tag in HEADINGS and not node.hint
+        order.append((node, within))
+        within = within or part and node.tag == "article"
+        stack += [(c, within) for c in node.children if not isinstance(c, str)]
+    for node, _ in reversed(order):
+        for child in node.children:
+            if isinstance(child, str):
+                node.size += sum(map(len, child.split()))
+            elif not child.out:
+                node.size += child.size
+                node.holds = node.holds or child.holds
+    for node, _ in order:
+        if node.hint and not node.holds and node.size < MINOR * root.size:
+            node.out = True
+
+
 def main_parts(root: Node) -> list[Node]:
-    """The outermost elements that declare themselves the main part: articles, else the main element."""
-    articles, mains, stack = [], [], [root]
+    """The outermost elements that declare themselves the main part: main elements and articles, in order.
+
+    Parts without text are not it, nor are articles alone that have only a small part of the page's text, hinted
+    branches aside.
+    """
+    parts, stack, outside = [], [root], 0
     while stack:
         node = stack.pop()
-        if isinstance(node, str) or stated(node):
-            continue
-        if node.tag == "article" or "articlebody" in node.attrs.get("itemprop", "").lower():
-            articles.append(node)
+        if isinstance(node, str):
+            outside += sum(map(len, node.split()))
+        elif node.out or node.hint and not node.holds and node is not root:
             continue
-        if node.tag == "main" or node.attrs.get("role", "").lower() == "main":
-            mains.append(node)
-        stack += reversed(node.children)
-    return articles or mains[:1]
+        elif declared(node):
+            parts.append(node)
+        else:
+            stack += reversed(node.children)
+    size = sum(n.size for n in parts)
+    alone = all(n.tag != "main" and n.attrs.get("role", "").lower() != "main" for n in parts)
+    return [] if not size or alone and size < LEAST_PART * (size + outside) else parts
 
 
 def containers(root: Node) -> Iterator[tuple[Node, bool]]:
@@ -191,7 +259,7 @@ def containers(root: Node) -> Iterator[tuple[Node, bool]]:
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
-        if stated(node):
+        if node.out:
             continue
         inside = inside or id(node) in mains
         if node.tag in CONTAINERS or not inside and node.tag in BLOCKS and node.tag not in ("html", "body"):
@@ -208,7 +276,7 @@ def words_of(nodes: list[Node], low: frozenset[int] | set[int] = frozenset(), in
         if isinstance(node, str):
             pieces.append(node)
             continue
-        if stated(node) or node.path in low and (
+        if node.out or node.path in low and (
             node.tag in CONTAINERS or not inside and node.tag not in ("html", "body")
         ):
             continue
@@ -267,18 +335,9 @@ def _styles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame([(*key, f) for key, f in pages.items()], columns=["host", "page", "found"])
 
 
-def _entropy(counts: DataFrame, of: str) -> DataFrame:
-    """Per (host, path): pages m, different values, and the entropy of a feature, from 0 (all alike) to 1 (all different)."""
-    each = counts.groupBy("host", "path", of).agg(F.sum("n").alias("n"))
-    total = each.groupBy("host", "path").agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.count("*").alias("kinds")
-    )
-    entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("s") / F.col("m")) / F.log("m")).otherwise(1.0)
-    return total.select("host", "path", "m", "kinds", entropy.alias(of))
-
-
 def style_counts(pages: DataFrame) -> DataFrame:
-    """(host, path, shape, words, n): distinct pages of a host per presentation and content, from rows of (host, html).
+    """(host, path, kind, value, n): distinct pages of a host per presentation (kind shape) and content (kind words)
+    of a path, from rows of (host, html).
 
     Copies of a page count once. Pages are dealt by host and hash with a few numbers per container, then
     a task sums up its own pages before anything else is shuffled, so a host with most of the pages is no larger
@@ -288,21 +347,31 @@ def style_counts(pages: DataFrame) -> DataFrame:
         _styles, "host string, page long, found array<struct<path:long, shape:long, words:long>>"
     )
     once = rows.groupBy("host", "page").agg(F.first("found").alias("found")).select("host", F.inline("found"))
-    return stored(once.groupBy("host", "path", "shape", "words").agg(F.count("*").alias("n")), "styles")
+    each = once.select("host", "path", F.stack(
+        F.lit(2), F.lit("shape"), F.col("shape"), F.lit("words"), F.col("words")
+    ).alias("kind", "value"))
+    return stored(each.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n")), "styles")
 
 
 def style_tree(counts: DataFrame) -> DataFrame:
     """The merged tree of every host: (host, path, pages, importance).
 
-    Importance joins both entropies, the presentation's with weight 1 - DECAY^presentations, and is never
-    below that of the content: a branch that every page fills with a text of its own is important
-    however alike the pages present it.
+    The entropy of a kind is 0 if all pages are alike and 1 if all are different. Importance joins both, the
+    presentation's with weight 1 - DECAY^presentations, and is never below that of the content: a branch
+    that every page fills with a text of its own is important however alike the pages present it.
     """
-    shape, words = _entropy(counts, "shape"), _entropy(counts, "words")
-    both = shape.join(words.select("host", "path", "words"), ["host", "path"])
-    content = F.pow(F.lit(DECAY), F.col("kinds"))
+    total = counts.groupBy("host", "path", "kind").agg(
+        F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.count("*").alias("values")
+    )
+    entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("s") / F.col("m")) / F.log("m")).otherwise(1.0)
+    of = lambda kind, value: F.max(F.when(F.col("kind") == kind, value))
+    both = total.groupBy("host", "path").agg(
+        F.max("m").alias("pages"), of("shape", entropy).alias("shape"), of("words", entropy).alias("words"),
+        of("shape", F.col("values")).alias("values"),
+    )
+    content = F.pow(F.lit(DECAY), F.col("values"))
     joined = (1 - content) * F.col("shape") + content * F.col("words")
-    return both.select("host", "path", F.col("m").alias("pages"), F.greatest("words", joined).alias("importance"))
+    return both.select("host", "path", "pages", F.greatest("words", joined).alias("importance"))
 
 
 def host_of(url) -> F.Column:
@@ -323,9 +392,9 @@ def extracted(
     pages = packed(df, host=host_of(df[url]), html=df[html])
     counts = style_counts(pages.select("host", "html"))
     dull = style_tree(counts).filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    each = counts.groupBy("host", "path", "words").agg(F.sum("n").alias("n"))
-    each = each.join(dull, ["host", "path"]).filter((F.col("n") > 1) & (F.col("n") >= COMMON * F.col("pages")))
-    common = each.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_set("words")).alias("common"))
+    each = counts.filter("kind = 'words'").join(stored(dull, "dull"), ["host", "path"])
+    each = each.filter((F.col("n") > 1) & (F.col("n") >= COMMON * F.col("pages")))
+    common = each.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_set("value")).alias("common"))
     common = stored(common, "unimportant")
     found = pages.join(common, pages["host"] == common["of"], "left").select("row", "html", "common")
 

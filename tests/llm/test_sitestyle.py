@@ -67,6 +67,28 @@ def test_copies_of_a_page(spark):
     assert set(alike.values()) == {"Acme daily story 7 of 7"}
 
 
+def test_hints_do_not_empty_a_page():
+    for frame in (
+        "<div id=page class='has-sidebar'>{}</div>", "<div class='content with-sidebar'>{}</div>",
+        "<article class='post comments-open'>{}</article>", "<section class=legal>{}</section>",
+        "<div class='social-studies'>{}</div>", "<div class=header><article>{}</article></div>",
+    ):
+        page = "<body>" + frame.format("<h1>Law</h1><p>one two three four") + "<div class=ad>buy</div></body>"
+        assert sitestyle.main_text(page).startswith("Law one two three four"), frame
+        assert "buy" not in sitestyle.main_text(page)
+    legal = "<article><h1>A</h1><p>long text of a page<section class=legal><h2>Law</h2><p>b</section><div class=share>c</div></article>"
+    assert sitestyle.main_text(legal) == "A long text of a page Law b"
+    comments = "<article><p>long text of a page<div class=comments><h3 class=comments-title>2</h3><article class=comment>c</article></div></article>"
+    assert sitestyle.main_text(comments) == "long text of a page"
+
+
+def test_declared_parts():
+    page = "<div>top</div><main><h1>Title</h1><p>lead<article>one</article><article>two</article></main><main>more</main>"
+    assert sitestyle.main_text(page) == "Title lead one two more"
+    teaser = "<div><p>the whole long text of this page</div><article>next</article>"
+    assert sitestyle.main_text(teaser) == "the whole long text of this page next"
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).withColumn("url", F.col("source"))
     assert sitestyle.extracted(rows, html="text").count() == rows.count()
