@@ -78,6 +78,44 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Names of licenses as short notices state them, in uniform spelling (see ``uniform``). The short names
+# count beside "license", after "licensed under" and the like, or in an SPDX identifier; the full ones anywhere.
+SHORT_NAMES = {
+    "MIT": ["mit", "expat"], "Apache-2.0": ["apache 2.0"], "ISC": ["isc"], "Zlib": ["zlib"], "Unlicense": ["unlicense"],
+    "BSD-2-Clause": ["bsd 2.0 clause", "2.0 clause bsd", "simplified bsd"],
+    "BSD-3-Clause": ["bsd 3.0 clause", "3.0 clause bsd", "new bsd", "modified bsd"],
+    "GPL-2.0": ["gpl 2.0"], "GPL-3.0": ["gpl 3.0"], "LGPL-2.1": ["lgpl 2.1"], "LGPL-3.0": ["lgpl 3.0"],
+    "AGPL-3.0": ["agpl 3.0"], "MPL-1.1": ["mpl 1.1"], "MPL-2.0": ["mpl 2.0"], "EPL-1.0": ["epl 1.0"],
+    "EPL-2.0": ["epl 2.0"], "BSL-1.0": ["bsl 1.0", "boost"], "CC0-1.0": ["cc0 1.0", "cc0"],
+}
+FULL_NAMES = {
+    "Apache-2.0": ["apache license 2.0", "apache software license 2.0"],
+    "GPL-2.0": ["gnu general public license 2.0", "gnu gpl 2.0"],
+    "GPL-3.0": ["gnu general public license 3.0", "gnu gpl 3.0"],
+    "LGPL-2.1": ["gnu lesser general public license 2.1", "gnu lgpl 2.1"],
+    "LGPL-3.0": ["gnu lesser general public license 3.0", "gnu lgpl 3.0"],
+    "AGPL-3.0": ["gnu affero general public license 3.0", "gnu agpl 3.0"],
+    "MPL-1.1": ["mozilla public license 1.1"], "MPL-2.0": ["mozilla public license 2.0"],
+    "EPL-1.0": ["eclipse public license 1.0"], "EPL-2.0": ["eclipse public license 2.0"],
+    "BSL-1.0": ["boost software license"], "CC0-1.0": ["cc0 1.0", "creative commons zero"],
+}
+for _kind, _names in {
+    "BY": ["attribution"], "BY-SA": ["attribution sharealike", "attribution share alike"],
+    "BY-ND": ["attribution noderivatives", "attribution noderivs", "attribution no derivatives"],
+    "BY-NC": ["attribution noncommercial", "attribution non commercial"],
+    "BY-NC-SA": ["attribution noncommercial sharealike", "attribution non commercial share alike"],
+    "BY-NC-ND": ["attribution noncommercial noderivatives", "attribution noncommercial noderivs",
+                 "attribution non commercial no derivatives"],
+}.items():
+    for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        _id = f"CC-{_kind}-{_version}"
+        SHORT_NAMES[_id] = [f"cc {_kind.lower().replace('-', ' ')} {_version}"]
+        FULL_NAMES[_id] = SHORT_NAMES[_id] + [f"creative commons {n} {_version}" for n in _names]
+VERBS = ("licensed", "released", "distributed", "available", "published", "provided")
+_SPDX = ("spdx", "license", "identifier")
+_MARKS = ("licen", "spdx", "gpl", "cc by", "cc-by", "cc0", "creative", *(f"{v} under" for v in VERBS))
+_LEFT_OUT = frozenset("the a an version v international unported".split())
+
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 _RANDOM = np.random.default_rng(5)
 _FACTORS = _RANDOM.integers(1, 2 ** 62, BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -101,6 +139,67 @@ def shingles(tokens: list[str]) -> np.ndarray:
     return out
 
 
+def uniform(tokens: list[str]) -> tuple[list[str], list[int]]:
+    """Words in uniform spelling, and the place in ``tokens`` of each.
+
+    Hyphens part words, ``v2`` and ``gplv2`` are ``2.0`` and ``gpl 2.0``, articles and the word version are left out.
+    """
+    out, places = [], []
+    for i, token in enumerate(tokens):
+        for part in token.split("-"):
+            numbered = _VERSION.match(part)
+            for word in (numbered.groups() if numbered else (part,)):
+                if word and word not in _LEFT_OUT:
+                    word = f"{word}.0" if word.isascii() and word.isdigit() and len(word) == 1 else word
+                    out.append("license" if word == "licence" else word)
+                    places.append(i)
+    return out, places
+
+
+_VERSION = re.compile(r"(|gpl|lgpl|agpl|mpl)v(\d(?:\.\d)?)$")
+
+
+def _phrases(names: dict[str, list[str]], forms: list[str]) -> dict[str, list[tuple[tuple[str, ...], str]]]:
+    """Phrases by their first word, the longest first."""
+    found: dict[str, list[tuple[tuple[str, ...], str]]] = {}
+    for license, own in names.items():
+        for phrase in {tuple(form.format(n).split()) for n in own for form in forms}:
+            found.setdefault(phrase[0], []).append((phrase, license))
+    return {w: sorted(p, key=lambda x: (-len(x[0]), x)) for w, p in found.items()}
+
+
+_BARE = _phrases(SHORT_NAMES, ["{}"])
+_STATED = _phrases(FULL_NAMES, ["{}"])
+for _word, _more in _phrases(SHORT_NAMES, ["{} license", "license {}", *(f"{v} under {{}}" for v in VERBS)]).items():
+    _STATED[_word] = sorted([*_STATED.get(_word, []), *_more], key=lambda x: (-len(x[0]), x))
+
+
+def short_notices(text: str | None) -> dict[str, int]:
+    """Licenses that a text names in short notices, and the word at which each is first named."""
+    lower = " ".join((text or "").lower().split())
+    if not any(mark in lower for mark in _MARKS):
+        return {}
+    line, places = uniform(words(text))
+    found: dict[str, int] = {}
+    at = listed_until = 0
+    while at < len(line):
+        if tuple(line[at:at + 3]) == _SPDX:
+            at += 3
+            listed_until = at + 1
+            continue
+        for phrase, license in [*(_BARE.get(line[at], []) if at < listed_until else []), *_STATED.get(line[at], [])]:
+            if tuple(line[at:at + len(phrase)]) == phrase:
+                found.setdefault(license, places[at])
+                listed_until = at + len(phrase) + 1 if at < listed_until else 0
+                at += len(phrase)
+                break
+        else:
+            # Words that join identifiers.
+            listed_until += line[at] in ("and", "or", "with", "only", "later") and at < listed_until
+            at += 1
+    return found
+
+
 class Template:
     def __init__(self, name: str, text: str):
         self.name = name
@@ -206,8 +305,9 @@ def scanned(
     """``row`` (all columns of ``df``) and ``matches`` (array of ``MATCH``), one row per row of ``df``.
 
     A match has the share of the template in its best window and the word at which it begins there (the
-    first such window on ties). Null texts and those of fewer words than a shingle have none; a text that repeats a
-    template has one match. Templates are few and travel with the task; nothing is shuffled.
+    first such window on ties). A license that is only named in a short notice has the share 1 and no window. Null
+    texts have none; a text that repeats a template has one match. With ``templates`` of the caller only those
+    are searched. Templates are few and travel with the task; nothing is shuffled.
     """
     text_batches(df.sparkSession)
     texts = templates or TEMPLATES
@@ -216,6 +316,11 @@ def scanned(
     def matches(batch: pd.Series) -> pd.Series:
         names = ("license", "containment", "first_word", "windows")
         found = Scanner(texts, least).scan(batch.tolist())
+        if not templates:
+            for own, text in zip(found, batch):
+                known = {name for name, *_ in own}
+                own += [(n, 1.0, first, 0) for n, first in short_notices(text).items() if n not in known]
+                own.sort()
         return pd.Series([[dict(zip(names, m)) for m in own] for own in found], dtype=object)
 
     # Marked as not deterministic, the scan is not repeated in a filter before the matches are unnested.

@@ -32,3 +32,24 @@ def test_awkward_rows(spark):
     rows = awkward(spark)
     assert license.scanned(rows).count() == rows.count()
     assert license.listed(rows).count() == 0 == license.listed(empty(spark)).count()
+
+
+def test_reworded_notices(spark):
+    notices = {
+        "Licensed under the MIT License": ["MIT"], "Distributed under the MIT license.": ["MIT"],
+        "MIT Licence": ["MIT"], "licensed under CC BY-NC-SA 4.0": ["CC-BY-NC-SA-4.0"], "Apache License 2.0": ["Apache-2.0"],
+        "Licensed under Apache-2.0": ["Apache-2.0"], "the GNU GPL v2 applies": ["GPL-2.0"], "under the GPLv3 license": ["GPL-3.0"],
+        "GNU Lesser General Public License, version 2.1": ["LGPL-2.1"], "BSD 3-Clause License": ["BSD-3-Clause"],
+        "Mozilla Public License Version 2.0": ["MPL-2.0"], "CC0 1.0 Universal": ["CC0-1.0"],
+        "Eclipse Public License - v 2.0": ["EPL-2.0"], "the zlib license": ["Zlib"], "Boost Software License 1.0": ["BSL-1.0"],
+        "# SPDX-License-Identifier: MIT": ["MIT"],
+        "// SPDX-License-Identifier: GPL-2.0-or-later OR BSD-2-Clause": ["BSD-2-Clause", "GPL-2.0"],
+        "Creative Commons Attribution-NonCommercial 3.0 Unported": ["CC-BY-NC-3.0"],
+        "He studied at MIT under a famous teacher and got his license": [], "the apache 2.0 server": [],
+        "Released under the MIT License.": ["MIT"],
+    }
+    rows = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
+    found = {i: [] for i in range(len(notices))}
+    for r in license.listed(rows).orderBy("doc_id", "license").collect():
+        found[r["doc_id"]].append(r["license"])
+    assert dict(zip(notices, found.values())) == notices
