@@ -23,8 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; learnt from the documents at hand."""
-    found = langid.predicted(docs, langid.train(docs))
+    """Documents whose language can be told; learnt from the documents at hand. Without a language to learn, all."""
+    model = langid.train(docs)
+    if not model.tree:
+        return docs
+    found = langid.predicted(docs, model)
     sure = (F.col("language.lang_pred") != langid.UNDETERMINED) & (
         F.col("language.score") >= MIN_LANGUAGE_SCORE
     )

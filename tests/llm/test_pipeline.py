@@ -38,3 +38,8 @@ def test_stages_on_awkward_rows(spark, sf_dir):
     for rows in (awkward(spark), empty(spark)):
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, rows, sf_dir).collect()
+
+
+def test_documents_without_a_language_to_learn(spark, sf_dir):
+    rows = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, rows, sf_dir).count() == rows.count()
