@@ -30,6 +30,9 @@ from revtide.session import stored
 #: A branch less important than this is boilerplate, if at least so many distinct pages of its host have it.
 MIN_IMPORTANCE = 0.2
 MIN_PAGES = 8
+#: From so many on a branch is boilerplate if all pages fill it alike and it has a minor share of the page's text.
+FEW_PAGES = 3
+ALIKE = 1e-9
 #: Weight of a node's content where all pages present it alike; each further presentation lowers it by this factor.
 DECAY = 0.9
 #: Share of a branch's pages from which a text of it is common.
@@ -287,10 +290,22 @@ def words_of(nodes: list[Node], low: frozenset[int] | set[int] = frozenset(), in
     return "".join(pieces).split()
 
 
-def main_text(html: str | None, common: frozenset[int] | set[int] = frozenset()) -> str:
-    """The main text of a page, given the common contents of unimportant paths of its host."""
+def main_text(
+    html: str | None, common: frozenset[int] | set[int] = frozenset(), minor: frozenset[int] | set[int] = frozenset()
+) -> str:
+    """The main text of a page, given the common contents of unimportant paths of its host.
+
+    Contents in ``minor`` only go where they are a minor share of the page's text.
+    """
     root = parse(html or "")
-    low = {path for path, (_, words) in styles(root).items() if words in common} if common else frozenset()
+    low = set()
+    if common or minor:
+        found = styles(root)
+        low = {path for path, (_, words) in found.items() if words in common}
+        sizes = Counter()
+        for node, _ in containers(root):
+            sizes[node.path] += node.size
+        low |= {p for p, (_, words) in found.items() if words in minor and sizes[p] < MINOR * root.size}
     mains = main_parts(root)
     return " ".join(words_of(mains or [root], low, bool(mains)))
 
@@ -391,18 +406,21 @@ def extracted(
     text_batches(df.sparkSession)
     pages = packed(df, host=host_of(df[url]), html=df[html])
     counts = style_counts(pages.select("host", "html"))
-    dull = style_tree(counts).filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
+    many = F.col("pages") >= min_pages
+    limit = F.when(many, F.lit(min_importance)).otherwise(F.lit(ALIKE))
+    dull = style_tree(counts).filter((F.col("pages") >= min(FEW_PAGES, min_pages)) & (F.col("importance") < limit))
     each = counts.filter("kind = 'words'").join(stored(dull, "dull"), ["host", "path"])
     each = each.filter((F.col("n") > 1) & (F.col("n") >= COMMON * F.col("pages")))
-    common = each.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_set("value")).alias("common"))
+    listed = lambda kept: F.sort_array(F.collect_set(F.when(kept, F.col("value"))))
+    common = each.groupBy(F.col("host").alias("of")).agg(listed(many).alias("common"), listed(~many).alias("minor"))
     common = stored(common, "unimportant")
-    found = pages.join(common, pages["host"] == common["of"], "left").select("row", "html", "common")
+    found = pages.join(common, pages["host"] == common["of"], "left").select("row", "html", "common", "minor")
 
     @F.pandas_udf("string")
-    def text(htmls: pd.Series, commons: pd.Series) -> pd.Series:
-        return pd.Series([
-            main_text(h, frozenset() if c is None else {x % (1 << 64) for x in c.tolist()})
-            for h, c in zip(htmls, commons)
-        ], dtype=object)
+    def text(htmls: pd.Series, commons: pd.Series, minors: pd.Series) -> pd.Series:
+        known = lambda c: frozenset() if c is None else {x % (1 << 64) for x in c.tolist()}
+        return pd.Series(
+            [main_text(h, known(c), known(m)) for h, c, m in zip(htmls, commons, minors)], dtype=object
+        )
 
-    return found.select("row", text("html", "common").alias("text"))
+    return found.select("row", text("html", "common", "minor").alias("text"))

@@ -89,6 +89,15 @@ def test_declared_parts():
     assert sitestyle.main_text(teaser) == "the whole long text of this page next"
 
 
+def test_small_hosts(spark):
+    page = "<body><div class=top>Acme daily</div><div class=text><p>{}</p></div></body>"
+    for n in (3, 7):
+        found = texts_of(spark, [page.format(f"story {i} is long enough") for i in range(n)])
+        assert found == {i: f"story {i} is long enough" for i in range(n)}
+    page = "<body><p>read {} times</p><div class=text><p>the same long story on every page</p></div></body>"
+    assert texts_of(spark, [page.format(i) for i in range(4)])[2] == "read 2 times the same long story on every page"
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).withColumn("url", F.col("source"))
     assert sitestyle.extracted(rows, html="text").count() == rows.count()
