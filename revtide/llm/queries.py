@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import ann, bpe, chat, compression, langid, license, mixing, simhash, sitestyle, warc
+from revtide.llm import (
+    ann, bpe, chat, compression, langid, license, mixing, simhash, sitestyle, warc, whitening,
+)
 from revtide.llm.common import WORD, documents, word_count
 from revtide.session import stored
 
@@ -93,6 +95,17 @@ def op10_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding, whitened."""
+    rows = whitening.prepared(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    found = whitening.whitened(rows, whitening.fitted(rows))
+    # Where n is so large that a long cannot hold the deviation, it is null.
+    return found.select(
+        "row.vec_id", "component", "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), "whitened",
+        "explained", "identity_error",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -105,7 +118,7 @@ QUERIES = {
     for f in (
         op1_adaptive_ann, op2_site_style_tree, op3_segment_tree_bpe, op4_typed_chat, op5_vantage_simhash,
         op6_compression_bands, op7_license_windows, op8_hierarchical_language, op9_warc_members,
-        op10_systematic_mix, pipeline,
+        op10_systematic_mix, op13_bidiagonal_whitening, pipeline,
     )
 }
 
