@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 TEXTS_PER_BATCH = 256
 ROWS_PER_BATCH = 20_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+ROWS_PER_TEXT_BATCH = 2_000
+BYTES_PER_BATCH = 4_000_000
 _BATCH_DEFAULT = "10000"
 
 
@@ -37,6 +40,19 @@ def narrow_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_BATCH, before)
 
 
+@contextlib.contextmanager
+def text_bytes(spark: SparkSession) -> Iterator[None]:
+    """Batches of whole texts bounded by their size, for jobs that run inside the block."""
+    before = {key: spark.conf.get(key) for key in (_BATCH, _BATCH_BYTES)}
+    spark.conf.set(_BATCH, ROWS_PER_TEXT_BATCH)
+    spark.conf.set(_BATCH_BYTES, BYTES_PER_BATCH)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

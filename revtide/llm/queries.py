@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.llm import (
-    ann, bpe, chat, compression, langid, license, mixing, simhash, sitestyle, warc, whitening,
+    ann, bpe, chat, compression, langid, license, mixing, ranking, simhash, sitestyle, warc, whitening,
 )
 from revtide.llm.common import WORD, documents, word_count
 from revtide.session import stored
@@ -95,6 +95,11 @@ def op10_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranking.ranking(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding, whitened."""
     rows = whitening.prepared(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
@@ -118,7 +123,7 @@ QUERIES = {
     for f in (
         op1_adaptive_ann, op2_site_style_tree, op3_segment_tree_bpe, op4_typed_chat, op5_vantage_simhash,
         op6_compression_bands, op7_license_windows, op8_hierarchical_language, op9_warc_members,
-        op10_systematic_mix, op13_bidiagonal_whitening, pipeline,
+        op10_systematic_mix, op11_bag_ranking, op13_bidiagonal_whitening, pipeline,
     )
 }
 
@@ -192,4 +197,39 @@ ORACLE = {
                 AS taken
         FROM copies
     """,
+    "op11_bag_ranking": r"""
+        WITH found AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ), docs AS (
+            SELECT row, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM found WHERE len(terms) > 0
+        ), corpus AS (
+            SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs
+        ), asked AS (
+            SELECT item_id, unnest(list_distinct(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+            FROM benchmark
+        ), held AS (
+            SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+            WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus
+        ), points AS (
+            SELECT row, held.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))
+                AS points
+            FROM held JOIN docs USING (row) JOIN weights ON weights.term = held.term, corpus
+        ), scores AS (
+            SELECT item_id, row, CAST(sum(points) AS BIGINT) AS score
+            FROM asked JOIN points USING (term) GROUP BY item_id, row
+        ), ranked AS (
+            SELECT item_id, doc_id, score, row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM scores JOIN docs USING (row) WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
