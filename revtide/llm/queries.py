@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.llm import (
-    ann, bpe, chat, compression, langid, license, mixing, ranking, simhash, sitestyle, warc, whitening,
+    ann, bpe, chat, compression, langid, license, mixing, oddsketch, ranking, simhash, sitestyle, warc,
+    whitening,
 )
 from revtide.llm.common import WORD, documents, word_count
 from revtide.session import stored
@@ -100,6 +101,14 @@ def op11_bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranking(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and component of every document."""
+    found = oddsketch.grouped(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.expr("id <=> component_id").alias("kept")
+    )
+
+
 def op13_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding, whitened."""
     rows = whitening.prepared(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
@@ -123,7 +132,7 @@ QUERIES = {
     for f in (
         op1_adaptive_ann, op2_site_style_tree, op3_segment_tree_bpe, op4_typed_chat, op5_vantage_simhash,
         op6_compression_bands, op7_license_windows, op8_hierarchical_language, op9_warc_members,
-        op10_systematic_mix, op11_bag_ranking, op13_bidiagonal_whitening, pipeline,
+        op10_systematic_mix, op11_bag_ranking, op12_odd_sketches, op13_bidiagonal_whitening, pipeline,
     )
 }
 
@@ -232,4 +241,34 @@ ORACLE = {
         )
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
     """,
+    "op12_odd_sketches": rf"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(words) >= 3 THEN list_distinct(list_transform(range(1, len(words) - 1),
+                    lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
+            FROM worded
+        ), sizes AS (
+            SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM sets
+        ), members AS (
+            SELECT doc_id, unnest(shingles) AS shingle FROM sets
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common >= 85 * (x.n + y.n - common)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM sizes
+            UNION
+            SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+        ), least AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sizes JOIN least USING (doc_id)
+    """,
 }
