@@ -1099,6 +1099,18 @@ def merge_out_of_order(spark, sf):
     return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)
 
 
+@query("merge_before_unchanged", f"SELECT {LOG} FROM fx_unchanged_changes", "fx_unchanged_changes")
+def merge_before_unchanged(spark, sf):
+    """A vintage merged before one that had changed nothing: its new points end there."""
+    log = scratch_path(spark, "log")
+    rows = fx.snapshots_unchanged(spark, sf)
+    for day in ("2002-01-01", "2002-03-01", "2002-02-01"):
+        merge.merge_vintage(
+            spark, rows.filter(F.col("vintage_date") == day), day, log, f"run-{day}"
+        )
+    return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)
+
+
 @query("ingested_rows", """
     SELECT series_id, date, value, value_str, vintage_date, release_id FROM fx_ingested""", "fx_ingested")
 def ingested_rows(spark, sf):

@@ -80,6 +80,13 @@ def snapshots_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(*SNAPSHOT_KEY).agg(F.max("value").alias("value"))
 
 
+def snapshots_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two vintages of ``snapshots_big``, and a third that says the same as the first."""
+    rows = snapshots_big(spark, sf_dir)
+    third = rows.filter("vintage_date = '2002-01-01'").withColumn("vintage_date", F.lit("2002-03-01").cast("date"))
+    return rows.filter("vintage_date <= '2002-02-01'").unionByName(third)
+
+
 def raw_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as raw rows: monthly prices, all text, with duplicates but no bad dates."""
     line = F.col("l_linenumber") % 4

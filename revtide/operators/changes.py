@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from revtide.functions.parsing import as_date, parse_value, with_parsed_date
 from revtide.operators.observations import dedup_vintage_key
 from revtide.operators.vintages import KEY, release_state
-from revtide.session import stored
+from revtide.session import observed, stored
 
 CHANGE_COLUMNS = [*KEY, "vintage_date", "value", "value_str", "_change_type"]
 CHANGE_TYPES = ["insert", "update", "delete"]
@@ -45,23 +45,13 @@ def detect_changes(
     ).select(*CHANGE_COLUMNS)
 
 
-def following_vintages(log: DataFrame, scope: DataFrame, day: datetime.date) -> DataFrame:
-    """(release_id, following): the next vintage in the log of each release of the scope, stored.
-
-    A merge in order finds none and reads no data, as the log is partitioned by vintage. A later vintage
-    that changed nothing has no row in the log, so it cannot be found.
-    """
-    later = log.filter(F.col("vintage_date") > F.lit(day)).join(scope, "release_id", "left_semi")
-    return stored(later.groupBy("release_id").agg(F.min("vintage_date").alias("following")), "following")
-
-
 def following_changes(
     log: DataFrame, new: DataFrame, following: DataFrame, release_id: int | None = None
 ) -> DataFrame:
     """Change rows of the vintages that follow a late or repeated one, derived again from it.
 
-    What a release holds at its following vintage is in the log as it was before the merge. Vintages
-    after that one stay as they are.
+    What a release holds at its following vintage is in the log as it was before the merge, whether that
+    vintage has rows there or changed nothing. Vintages after that one stay as they are.
     """
     new = keyed_rows(new, release_id).join(following, "release_id", "left_semi")
     known = with_value_text(log).join(following, "release_id").filter("vintage_date <= following")
@@ -71,12 +61,24 @@ def following_changes(
     return changes.withColumnRenamed("following", "vintage_date").select(*CHANGE_COLUMNS)
 
 
-def delivery_counts(new: DataFrame, release_id: int | None = None) -> DataFrame:
-    """Per release, stored: ``rows`` delivered and ``keyed`` ones with release, series and date."""
+def delivery(new: DataFrame, release_id: int | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """One row per point of a delivery, typed and stored, and what the delivery held.
+
+    The counts are observed by the job that stores the rows, so ``new`` is read once: ``total_processed``
+    rows, those ``rejected`` for want of a release, a series or a date, and ``duplicates`` of others.
+    """
+    whole, kept = Observation(), Observation()
     typed = typed_rows(new, release_id)
     has_key = F.col("release_id").isNotNull() & F.col("series_id").isNotNull() & F.col("date").isNotNull()
-    counted = typed.groupBy("release_id").agg(F.count("*").alias("rows"), F.count_if(has_key).alias("keyed"))
-    return stored(counted, "delivery")
+    typed = typed.observe(whole, F.count("*").alias("rows"), F.count_if(has_key).alias("keyed"))
+    state = _delivered_state(typed.filter(has_key))
+    rows = stored(state.observe(kept, F.count("*").alias("points")), "delivery")
+    seen, points = observed(whole), observed(kept)["points"]
+    counts = {
+        "total_processed": seen["rows"], "rejected": seen["rows"] - seen["keyed"],
+        "duplicates": seen["keyed"] - points,
+    }
+    return rows, counts
 
 
 def typed_rows(new: DataFrame, release_id: int | None = None) -> DataFrame:

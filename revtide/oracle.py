@@ -49,6 +49,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           CAST(floor(l_suppkey / 25) + 9 AS INTEGER) AS release_id,
           max(l_extendedprice) AS value
         FROM lineitem GROUP BY ALL"""),
+    "fx_unchanged": (("fx_snapshots_big",), """
+        SELECT * FROM fx_snapshots_big WHERE vintage_date <= DATE '2002-02-01'
+        UNION ALL BY NAME SELECT * REPLACE (DATE '2002-03-01' AS vintage_date) FROM fx_snapshots_big
+        WHERE vintage_date = DATE '2002-01-01'"""),
     "fx_metadata": ((), """
         SELECT min(event_type) || '_' || CAST(user_id AS VARCHAR) AS series_id,
           min(event_type) AS title, 'W' AS frequency, 'index' AS units,
@@ -231,6 +235,7 @@ for _name, _log_name, _text in (
     ("fx_snapshots", "fx_changes", "value_str"),
     ("fx_ingested", "fx_ingested_changes", "value_str"),
     ("fx_snapshots_big", "fx_changes_big", "CAST(NULL AS VARCHAR)"),
+    ("fx_unchanged", "fx_unchanged_changes", "CAST(NULL AS VARCHAR)"),
 ):
     CTES[f"{_name}_cal"] = ((_name,), f"""
         SELECT release_id, vintage_date,

@@ -1,8 +1,10 @@
 """Merging into the change log: one vintage at a time or whatever a batch touched.
 
 The log is partitioned by vintage and release. A merge replaces the directories of the (release, vintage)
-slices it derives and touches no other, so repeating it changes nothing. Each merge derives its rows once, in the
-job that writes them, and counts them afterwards in the log.
+slices it derives and touches no other, so repeating it changes nothing. A delivery is read once, into a stored table
+of its points, and counted by the job that stores it. Each merge derives its rows once, in the job that writes them,
+and counts them afterwards in the log. What was merged is on the release calendar, so that a late merge finds the
+vintage it ends at.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ from revtide.functions.parsing import as_date
 from revtide.operators.changes import (
     change_counts,
     change_log,
-    delivery_counts,
+    delivery,
     detect_changes,
     following_changes,
-    following_vintages,
+    merge_scope,
     touched_calendar,
     within_calendar,
 )
@@ -27,11 +29,18 @@ from revtide.operators.layout import compact
 from revtide.operators.ledger import conform
 from revtide.operators.observations import dedup_vintage_key
 from revtide.operators.vintages import KEY
+from revtide.plans.calendar import (
+    SLICE,
+    calendar_path,
+    ensure_calendar,
+    extend_calendar,
+    following_vintages,
+    read_calendar,
+)
 from revtide.schemas import PARTITION_COLUMNS, SERIES_OBSERVATIONS
 from revtide.sources.tables import ensure_table, overwrite_touched, read_table, remove
 
 LOG_PARTITIONS = PARTITION_COLUMNS["series_observations"]
-SLICE = ["release_id", "vintage_date"]
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -46,31 +55,31 @@ def merge_vintage(
     log_path: str,
     etl_run_id: str,
     release_id: int | None = None,
-    api_version: str = "v2",
+    api_version: str = "v2", calendar: str | None = None,
 ) -> dict[str, int]:
     """Merge one vintage of one or more releases into the log; returns the change counts.
 
-    Vintages may come in any order and again with other content: where the log goes on after this
-    vintage, the next one of each release is derived again. Rows without release, series or date are left
-    out and, if there are any, counted as ``rejected``. Releases without any other row are left alone.
+    Vintages may come in any order and again with other content: where the ``calendar`` (a path, by default
+    beside the log) goes on after this vintage, the next one of each release is derived again, also if
+    it had changed nothing. Rows without release, series or date are left out and counted as ``rejected``, rows of
+    a point besides the one that counts as ``duplicates``. Releases without any other row are left alone.
     """
     ensure_table(spark, log_path, "series_observations")
+    calendar = calendar or calendar_path(log_path)
     day = as_date(vintage_date)
     log = read_log(spark, log_path)
-    delivery = delivery_counts(new, release_id)
-    rows, keyed = delivery.agg(F.sum("rows"), F.sum("keyed")).first()
-    total = {"total_processed": rows or 0}
-    if rows and rows > keyed:
-        total["rejected"] = rows - keyed
-    if not keyed:
+    ensure_calendar(spark, calendar, log)
+    points, total = delivery(new, release_id)
+    scope = merge_scope(points)
+    if scope.isEmpty():
         return {**change_counts(log.limit(0)).first().asDict(), **total}
-    scope = delivery.filter("keyed > 0").select("release_id")
-    changes = detect_changes(log, new, day, release_id, scope)
+    changes = detect_changes(log, points, day, scope=scope)
     slices = scope.withColumn("vintage_date", F.lit(day))
     on_day = replaced = F.col("vintage_date") == F.lit(day)
-    following = following_vintages(log, scope, day)
+    following = following_vintages(read_calendar(spark, calendar), scope, day)
+    extend_calendar(slices, calendar, etl_run_id, day)
     if not following.isEmpty():
-        changes = changes.unionByName(following_changes(log, new, following, release_id))
+        changes = changes.unionByName(following_changes(log, points, following))
         slices = slices.unionByName(following.withColumnRenamed("following", "vintage_date"))
         replaced = F.col("vintage_date") >= F.lit(day)
     stamp = _replace_slices(spark, changes, slices, replaced, log_path, etl_run_id, api_version)
@@ -82,10 +91,14 @@ def merge_vintage(
 
 def merge_touched(
     snapshots: DataFrame, touched: DataFrame, log_path: str, etl_run_id: str,
-    api_version: str = "v2",
+    api_version: str = "v2", calendar: str | None = None,
 ) -> None:
-    """Bring the log up to date for the touched (release, vintage) pairs, in whatever order."""
+    """Bring the log up to date for the touched (release, vintage) pairs, in whatever order.
+
+    The snapshots hold every vintage in full, so they name the vintages to derive; these go on the log's calendar.
+    """
     spark = snapshots.sparkSession
+    merged_path = calendar or calendar_path(log_path)
     calendar = touched_calendar(snapshots, touched)
     since, first_new = calendar.agg(
         F.min("vintage_date"), F.min(F.when(F.col("is_new"), F.col("vintage_date")))
@@ -96,6 +109,8 @@ def merge_touched(
     rows = within_calendar(snapshots, calendar, since)
     changes = change_log(dedup_vintage_key(rows, [*KEY, "vintage_date"]), calendar)
     slices = calendar.filter("is_new").select(*SLICE)
+    ensure_calendar(spark, merged_path, read_log(spark, log_path))
+    extend_calendar(slices, merged_path, etl_run_id, first_new)
     recent = F.col("vintage_date") >= F.lit(first_new)
     _replace_slices(spark, changes, slices, recent, log_path, etl_run_id, api_version)
 

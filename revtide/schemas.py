@@ -84,6 +84,11 @@ COLLECTION_HISTORY = _struct("""
     triggered_by STRING, kubernetes_pod STRING, api_version STRING
 """)
 
+# The vintages of each release that were merged into the change log, also those that changed nothing there.
+RELEASE_CALENDAR = _struct("""
+    release_id INT NOT NULL, vintage_date DATE NOT NULL, processed_at TIMESTAMP NOT NULL, _etl_run_id STRING
+""")
+
 # What each write did to a table; see operators.ledger.commit_history.
 COMMITS = _struct("""
     table_name STRING NOT NULL, version BIGINT NOT NULL, committed_at TIMESTAMP NOT NULL,
@@ -110,6 +115,7 @@ TABLES = {
     "release_metadata": RELEASE_METADATA,
     "collection_history": COLLECTION_HISTORY,
     "snapshots": SNAPSHOTS,
+    "release_calendar": RELEASE_CALENDAR,
     "commits": COMMITS,
 }
 
@@ -118,6 +124,7 @@ TABLES = {
 PARTITION_COLUMNS = {
     "series_observations": ["vintage_date", "release_id"],
     "snapshots": ["vintage_date", "release_id"],
+    "release_calendar": ["vintage_date"],
     "curated": ["year", "month"],
 }
 

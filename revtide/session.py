@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,6 +31,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/revtide/{uuid.uuid4().hex}/{name}"
 
 
+def observed(observation: Observation) -> dict[str, int]:
+    """Figures that a finished job observed; those missing are 0.
+
+    An input that is empty by its plan is planned away with its observation, which then has no row to give.
+    """
+    try:
+        found = observation.get
+    except Py4JJavaError:
+        found = {}
+    return defaultdict(int, {name: value or 0 for name, value in found.items()})
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write a frame to the shared folder once and read it back.
 

@@ -71,6 +71,7 @@ def stream_merge(
     checkpoint: str,
     available_now: bool = True,
     etl_run_id: str = "stream",
+    calendar: str | None = None,
 ) -> StreamingQuery:
     """Start merging the releases named by a stream of bodies into the change log.
 
@@ -79,7 +80,7 @@ def stream_merge(
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         touched = touched_slices(parse_messages(batch.select("body")))
-        merge_touched(snapshots(), touched, log_path, f"{etl_run_id}-{batch_id}")
+        merge_touched(snapshots(), touched, log_path, f"{etl_run_id}-{batch_id}", calendar=calendar)
 
     writer = bodies.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

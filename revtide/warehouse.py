@@ -101,7 +101,7 @@ class Warehouse:
         """Merge one vintage of one or more releases into the change log."""
         counts = merge.merge_vintage(
             self.spark, new, vintage_date, self.path("series_observations"), etl_run_id,
-            release_id, api_version,
+            release_id, api_version, self.path("release_calendar"),
         )
         self._commit("series_observations", "MERGE", counts)
         return counts
@@ -110,7 +110,10 @@ class Warehouse:
         """Derive the whole change log from the snapshots."""
         snapshots = self.table("snapshots")
         touched = snapshots.select("release_id", "vintage_date").distinct()
-        merge.merge_touched(snapshots, touched, self.path("series_observations"), etl_run_id)
+        merge.merge_touched(
+            snapshots, touched, self.path("series_observations"), etl_run_id,
+            calendar=self.path("release_calendar"),
+        )
         self._commit("series_observations", "WRITE", {})
 
     def merge_series_metadata(self, new: DataFrame, etl_run_id: str) -> dict[str, int]:
@@ -173,7 +176,7 @@ class Warehouse:
         """Merge releases from the snapshots as their notifications arrive."""
         return events.stream_merge(
             bodies, lambda: self.table("snapshots"), self.path("series_observations"),
-            self.path("_checkpoints/stream_releases"), available_now,
+            self.path("_checkpoints/stream_releases"), available_now, calendar=self.path("release_calendar"),
         )
 
     # Ledgers

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revtide.operators.changes import CHANGE_COLUMNS, change_log
 from revtide.operators.quality import release_quality
 from revtide.operators.vintages import latest_vintage
-from revtide.plans import merge
+from revtide.plans import calendar, merge
 from revtide.plans.curate import filled_rows
 from revtide.plans.vintages import ingest_vintages
 from revtide.schemas import RAW
@@ -55,6 +55,61 @@ def test_point_of_a_late_vintage_is_not_the_latest(spark, tmp_path):
     assert [r["series_id"] for r in latest_vintage(log).collect()] == ["A"]
 
 
+@pytest.mark.parametrize("later", [(V3,), (V3, V4)])
+def test_point_of_a_vintage_before_an_unchanged_one_is_not_the_latest(spark, tmp_path, later):
+    rows = snapshot(
+        spark, ("A", D1, V1, 1.0), ("A", D1, V2, 1.0), ("B", D1, V2, 1.0), *(("A", D1, v, 1.0) for v in later)
+    )
+    log = merged(spark, str(tmp_path / "log"), rows, (V1, *later, V2))
+    assert [r["series_id"] for r in latest_vintage(log).collect()] == ["A"]
+    assert full(log) == full(change_log(rows.withColumn("value_str", F.lit(None).cast("string"))))
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations((V1, V2, V3, V4)))[5::9])
+def test_any_order_with_vintages_that_change_nothing(spark, tmp_path, order):
+    rows = snapshot(
+        spark, *(("A", D1, v, 1.0, r) for v in (V1, V2, V3, V4) for r in (1, 2)), ("B", D1, V2, 5.0),
+        ("C", D1, V2, 1.0, 2), ("C", D1, V3, 1.0, 2),
+    )
+    log = merged(spark, str(tmp_path / "log"), rows, order)
+    assert full(log) == full(change_log(rows.withColumn("value_str", F.lit(None).cast("string"))))
+
+
+def test_calendar_of_an_older_log_starts_with_its_vintages(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = snapshot(spark, ("A", D1, V1, 1.0), ("A", D1, V3, 2.0), ("A", D1, V2, 1.0), ("B", D1, V2, 1.0))
+    merge.merge_touched(rows.filter(F.col("vintage_date") != F.lit(V2)), rows.filter(
+        F.col("vintage_date") != F.lit(V2)).select("release_id", "vintage_date"), path, "r", calendar=f"{path}_old")
+    log = merged(spark, path, rows, (V2,))
+    assert [r["series_id"] for r in latest_vintage(log).collect()] == ["A"]
+    pairs = calendar.read_calendar(spark, calendar.calendar_path(path)).collect()
+    assert sorted(r["vintage_date"] for r in pairs) == [V1, V2, V3]
+
+
+def test_calendar_holds_each_pair_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = snapshot(spark, ("A", D1, V1, 1.0), ("A", D1, V2, 1.0), ("A", D1, V1, 1.0, 2))
+    merged(spark, path, rows, (V1, V2, V1, V2))
+    whole = spark.read.parquet(calendar.calendar_path(path))
+    assert whole.count() == 3 and whole.select("release_id", "vintage_date").distinct().count() == 3
+
+
+def test_a_delivery_is_read_once_and_counted(spark, tmp_path):
+    path = str(tmp_path / "log")
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    rows = snapshot(spark, ("A", D1, V1, 1.0), ("A", D1, V1, 1.0), (None, D1, V1, 1.0), ("B", D1, V1, 2.0))
+    counts = merge.merge_vintage(spark, rows.mapInPandas(look, rows.schema), V1, path, "r")
+    assert seen.value == 4
+    assert {k: counts[k] for k in ("total_processed", "rejected", "duplicates", "inserted")} == {
+        "total_processed": 4, "rejected": 1, "duplicates": 1, "inserted": 2}
+
+
 def test_repeat_with_other_content_moves_on_to_the_next_vintage(spark, tmp_path):
     path = str(tmp_path / "log")
     merged(spark, path, snapshot(spark, ("A", D1, V1, 1.0), ("A", D1, V2, 2.0)), (V1, V2))
