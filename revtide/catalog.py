@@ -29,6 +29,7 @@ from revtide.plans import curate, merge
 from revtide.plans import vintages as ingest
 from revtide.schemas import COLLECTION_HISTORY, RAW, RAW_PATCHED
 from revtide.session import scratch_path
+from revtide.sources import files
 from revtide.sources import raw as landing
 from revtide.sources import tables
 from revtide.streaming import events
@@ -1111,6 +1112,48 @@ def merge_before_unchanged(spark, sf):
     return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)
 
 
+def _with_broken_vintage(spark, sf):
+    """Landed rows; one vintage also has a file that is none of Parquet."""
+    raw_path = scratch_path(spark, "raw")
+    landing.land_raw(fx.raw(spark, sf), raw_path)
+    text = spark.createDataFrame([("no such format",)], "value string").coalesce(1)
+    text.write.text(f"{raw_path}/vintage_date=2024-02-15/release_id=999999")
+    return raw_path
+
+
+@query("ingest_with_broken_vintage", """
+    SELECT r.vintage_date, CASE WHEN bad THEN 'failed' ELSE 'success' END AS status,
+      CASE WHEN bad THEN 1::BIGINT ELSE 0 END AS bad_files, raw_count,
+      CASE WHEN bad THEN 0 ELSE rejected END AS rejected,
+      CASE WHEN bad THEN 0 ELSE raw_count - rejected - coalesce(points, 0) END AS duplicates,
+      CASE WHEN bad THEN 0 ELSE coalesce(points, 0) END AS inserted, CAST(0 AS BIGINT) AS updated
+    FROM (SELECT vintage_date, vintage_date = DATE '2024-02-15' AS bad, count(*) AS raw_count,
+            count(*) FILTER (WHERE release_id IS NULL OR series_id IS NULL OR date IS NULL) AS rejected
+          FROM fx_typed GROUP BY vintage_date) r
+    LEFT JOIN (SELECT vintage_date, count(*) AS points FROM fx_ingested GROUP BY vintage_date) p
+      ON p.vintage_date = r.vintage_date""", "fx_typed", "fx_ingested")
+def ingest_with_broken_vintage(spark, sf):
+    """The broken vintage is reported, the others are ingested."""
+    status = ingest.ingest_isolated(spark, _with_broken_vintage(spark, sf), scratch_path(spark, "snapshots"))
+    return status.select(
+        "vintage_date", "status", "bad_files", "raw_count", "rejected", "duplicates", "inserted", "updated"
+    )
+
+
+@query("readable_files", """
+    SELECT CAST(vintage_date AS VARCHAR) AS vintage_date, count(*) AS read_rows, max(rows) AS probed_rows,
+      max(CASE WHEN vintage_date = DATE '2024-02-15' THEN 1::BIGINT ELSE 0 END) AS bad_files
+    FROM (SELECT vintage_date, count(*) OVER (PARTITION BY vintage_date) AS rows FROM fx_typed)
+    GROUP BY vintage_date""", "fx_typed")
+def readable_files(spark, sf):
+    """Rows of all readable files, and the broken ones on record."""
+    path = _with_broken_vintage(spark, sf)
+    probed = files.probe_files(spark, path)
+    counts = files.file_counts(probed).select("vintage_date", F.col("rows").alias("probed_rows"), "bad_files")
+    rows = files.read_readable(spark, path, probed).groupBy("vintage_date").agg(F.count("*").alias("read_rows"))
+    return counts.join(rows, "vintage_date")
+
+
 @query("ingested_rows", """
     SELECT series_id, date, value, value_str, vintage_date, release_id FROM fx_ingested""", "fx_ingested")
 def ingested_rows(spark, sf):

@@ -16,6 +16,7 @@ from revtide.operators.upserts import upsert_counts, upsert_snapshot
 from revtide.operators.vintages import KEY
 from revtide.schemas import PARTITION_COLUMNS, SNAPSHOTS
 from revtide.session import stored
+from revtide.sources.files import file_counts, probe_files
 from revtide.sources.raw import read_raw
 from revtide.sources.tables import ensure_table, overwrite_touched, read_table
 
@@ -37,13 +38,26 @@ def ingest_vintages(
 ) -> DataFrame:
     """Upsert landed vintages (default: all) into the snapshots table in one job.
 
-    Returns raw_count, inserted and updated per vintage. Only the directories of those vintages are
+    Returns raw_count, inserted and updated per vintage; see ``ingest_counts`` for all figures. Only the directories of those vintages are
     read and rewritten, and a row is updated only if its value changed. Releases may share a series. Of several
     rows of a release's point the one collected last counts. Rows without a release, a series or a
     date cannot be keyed and stay in the landing zone. What happened to a row is kept next to it in
     a column outside the table's schema, so counting reads one small column and nothing is computed
     twice.
     """
+    counts = ingest_counts(spark, raw_path, table_path, vintages)
+    return counts.select("vintage_date", "raw_count", "inserted", "updated")
+
+
+def ingest_counts(
+    spark: SparkSession, raw_path: str, table_path: str, vintages: Sequence[Day] | None = None
+) -> DataFrame:
+    """``ingest_vintages`` with all figures of each vintage.
+
+    Beside raw_count, inserted and updated: rows ``rejected`` for want of a release, a series or a date,
+    ``duplicates`` of other rows, and rows that left the table ``unchanged``. Raw rows are counted from
+    the columns of the key alone.
+    """
     ensure_table(spark, table_path, "snapshots")
     raw = read_raw(spark, raw_path)
     target = read_snapshots(spark, table_path)
@@ -60,16 +74,67 @@ def ingest_vintages(
     partitions = PARTITION_COLUMNS["snapshots"]
     laid_out = compact(merged, partitions).sortWithinPartitions(*partitions, "series_id", "date")
     overwrite_touched(laid_out, table_path, partitions)
+    unkeyed = F.col("release_id").isNull() | F.col("series_id").isNull() | parse_date(F.col("date")).isNull()
     landed = raw.groupBy(parse_date(F.col("vintage_date")).alias("vintage_date")).agg(
-        F.count("*").alias("raw_count")
+        F.count("*").alias("raw_count"), F.count_if(unkeyed).alias("rejected")
     )
     done = read_table(
         spark, table_path, StructType().add("vintage_date", DateType()).add("_action", StringType())
     ).groupBy("vintage_date").agg(
         F.count_if(F.col("_action") == "inserted").alias("inserted"),
         F.count_if(F.col("_action") == "updated").alias("updated"),
+        F.count_if(F.col("_action") == "unchanged").alias("unchanged"),
+    )
+    counts = landed.join(done, "vintage_date", "left").fillna(0)
+    points = F.col("inserted") + F.col("updated") + F.col("unchanged")
+    return counts.withColumn("duplicates", F.col("raw_count") - F.col("rejected") - points)
+
+
+def ingest_isolated(
+    spark: SparkSession, raw_path: str, table_path: str, vintages: Sequence[Day] | None = None
+) -> DataFrame:
+    """Ingest the vintages that can be ingested, in one job, and say for each what became of it.
+
+    Returns per vintage: status (``success`` or ``failed``), error, files, bad_files and the figures of
+    ``ingest_counts``. A vintage fails as a whole, and its directories in the table stay as they are, if one of
+    its files cannot be read through, if its name is no date, or if none of its rows has a release, a series and
+    a date. The others go on. Asked for and not landed is a failure, too. Repeating the job
+    after a repair ingests what failed.
+    """
+    wanted = None
+    if vintages is not None:
+        names = [as_date(v).isoformat() for v in vintages]
+        wanted = F.col("vintage_date").cast("string").isin(names)
+    files = file_counts(probe_files(spark, raw_path, wanted))
+    if vintages is not None:
+        asked = spark.createDataFrame([(n,) for n in names], "vintage_date string").distinct()
+        files = asked.join(files, "vintage_date", "left").fillna(0)
+    named = files.withColumnRenamed("vintage_date", "name").withColumn("vintage_date", parse_date(F.col("name")))
+    problem = (
+        F.when(F.col("files") == 0, "not landed")
+        .when(F.col("vintage_date").isNull(), "the vintage is no date")
+        .when(F.col("bad_files") > 0, F.concat_ws(
+            " ", "bad_files", F.lit("of"), "files", F.lit("files cannot be read:"), "error"))
+    )
+    judged = stored(named.withColumn("error", problem), "probed")
+    sound = [r["name"] for r in judged.filter("error IS NULL").select("name").collect()]
+    raw = read_raw(spark, raw_path).filter(F.col("vintage_date").isin(sound))
+    keyed = raw.filter(F.col("release_id").isNotNull() & F.col("series_id").isNotNull())
+    keyed = keyed.filter(parse_date(F.col("date")).isNotNull()).groupBy("vintage_date").agg(F.lit(True).alias("keyed"))
+    keyed = stored(keyed.select(F.col("vintage_date").alias("name"), "keyed"), "keyed")
+    good = [r["name"] for r in keyed.collect()]
+    judged = judged.join(keyed, "name", "left").withColumn("error", F.coalesce("error", F.when(
+        F.col("keyed").isNull(), "no row has a release, a series and a date")))
+    figures = ["raw_count", "rejected", "duplicates", "inserted", "updated", "unchanged"]
+    done = stored(ingest_counts(spark, raw_path, table_path, good).select("vintage_date", *figures), "ingested")
+    status = judged.join(done, "vintage_date", "left").withColumns({
+        "status": F.when(F.col("error").isNull(), "success").otherwise("failed"),
+        "raw_count": F.coalesce("raw_count", "rows"),
+    })
+    return status.select(
+        "name", "vintage_date", "status", "error", "files", "bad_files",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in figures],
     )
-    return landed.join(done, "vintage_date", "left").fillna(0)
 
 
 def ingest_vintage(

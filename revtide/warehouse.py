@@ -71,6 +71,12 @@ class Warehouse:
         self._commit("snapshots", "MERGE", {"inserted": done[0] or 0, "updated": done[1] or 0})
         return counts
 
+    def process_isolated(self, vintage_dates: Sequence[Day] | None = None) -> DataFrame:
+        """Upsert the landed vintages that can be read, by default all; returns status and counts per vintage."""
+        return ingest.ingest_isolated(
+            self.spark, self.path("raw"), self.path("snapshots"), vintage_dates
+        )
+
     def unprocessed_releases(self) -> DataFrame:
         """(release, vintage) pairs that were landed but not ingested."""
         raw = self.raw().withColumn("vintage_date", F.col("vintage_date").cast("date"))
