@@ -801,6 +801,43 @@ def qc_gate(spark, sf):
     return quality.gate_checks(curate.filled_rows(fx.raw(spark, sf)))
 
 
+@query("qc_issues_without_release", """
+    SELECT release_id, series_id, date, kind, issue, CAST(occurrences AS BIGINT) AS occurrences
+    FROM fx_open_issues""", "fx_open_issues")
+def qc_issues_without_release(spark, sf):
+    """Findings on rows of which some have no release."""
+    return quality.quality_issues(fx.raw_partly_released(spark, sf), fx.series_metadata(spark, sf))
+
+
+@query("gate_missing_column", """
+    SELECT * , failures = 0 AS passed FROM (
+      SELECT 'required_columns' AS "check", CAST(1 AS BIGINT) AS failures
+      UNION ALL SELECT 'series_id_nulls', count(*) FROM fx_raw WHERE series_id IS NULL
+      UNION ALL SELECT 'date_nulls', count(*) FROM fx_raw WHERE date IS NULL
+      UNION ALL SELECT 'release_id_nulls', count(*) FROM fx_raw WHERE release_id IS NULL
+      UNION ALL SELECT 'date_format', count(*) FROM fx_raw
+        WHERE date IS NULL OR NOT regexp_matches(date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'))""",
+       "fx_raw")
+def gate_missing_column(spark, sf):
+    """The gate on landed files without a value column, whose rows read as null."""
+    path = scratch_path(spark, "raw")
+    tables.overwrite_touched(fx.raw(spark, sf).drop("value"), path, landing.LANDING_PARTITIONS)
+    rows = curate.filled_rows(landing.read_raw(spark, path, schema=RAW_PATCHED))
+    return quality.gate_checks(rows, delivered=landing.delivered_columns(spark, path))
+
+
+@query("dedup_counts", """
+    SELECT count(*) AS delivered, count(*) - count(DISTINCT (series_id, date)) AS duplicates_removed,
+      count(DISTINCT (series_id, date)) AS written
+    FROM (SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS series_id, date_trunc('month', l_shipdate) AS date
+          FROM lineitem)""")
+def dedup_counts(spark, sf):
+    """What the job that writes the curated table counts on its way, next to the rows of the table."""
+    table, counts = curate.curate_counted(spark, fx.raw_big(spark, sf), scratch_path(spark, "curated"))
+    figures = [F.lit(counts[name]).cast("bigint").alias(name) for name in ("delivered", "duplicates_removed")]
+    return table.agg(*figures, F.count("*").alias("written"))
+
+
 # --- windows, sorts, sets ----------------------------------------------------------------------------
 
 @query("dedup_series_date", f"SELECT {RAW_LIST} FROM fx_dedup", "fx_dedup")
@@ -1005,9 +1042,9 @@ def message_counts(spark, sf):
     return events.message_counts(events.parse_messages(fx.messages(spark, sf)))
 
 
-def _message_files(spark, sf, files):
+def _message_files(spark, sf, files, messages=fx.messages):
     path = scratch_path(spark, "messages")
-    bodies = fx.messages(spark, sf).repartitionByRange(files, "offset_id").select("body")
+    bodies = messages(spark, sf).repartitionByRange(files, "offset_id").select("body")
     bodies.write.text(path)
     return path
 
@@ -1026,6 +1063,28 @@ def stream_merge(spark, sf):
     return merge.read_log(spark, log).select(*changes.CHANGE_COLUMNS)
 
 
+@query("stream_dead_letters", """
+    SELECT reason, count(*) AS messages FROM (
+      SELECT CASE WHEN event_id % 97 = 0 THEN 'unreadable' WHEN event_id % 89 = 0 THEN 'no_release'
+        WHEN event_id % 83 = 0 THEN 'no_date' WHEN event_id % 79 = 0 THEN 'unreadable' ELSE 'merged' END AS reason
+      FROM events) GROUP BY reason""")
+def stream_dead_letters(spark, sf):
+    """What became of every message: merged, or kept as a dead letter with a reason."""
+    data, log = scratch_path(spark, "snapshots"), scratch_path(spark, "log")
+    letters = scratch_path(spark, "letters")
+    rows = fx.snapshots(spark, sf)
+    tables.save(rows, data)
+    path = _message_files(spark, sf, 3, fx.messages_with_dirt)
+    running = events.stream_merge(
+        events.read_message_files(spark, path, files_per_batch=2, positions=True),
+        lambda: tables.read_table(spark, data, rows.schema), log, scratch_path(spark, "checkpoint"), letters=letters,
+    )
+    running.awaitTermination()
+    merged = events.read_batches(spark, letters).agg(F.lit("merged").alias("reason"), F.sum("merged").alias("messages"))
+    bad = events.read_letters(spark, letters).groupBy("reason").agg(F.count("*").alias("messages"))
+    return bad.unionByName(merged)
+
+
 @query("stream_replay", """
     SELECT release_id, update_date, count(*) AS messages FROM messages
     GROUP BY release_id, update_date""")

@@ -217,6 +217,22 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def messages_with_dirt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``messages`` of which some also name no release or a day that is none."""
+    n = F.col("offset_id")
+    dirty = F.when(n % 97 == 0, F.col("body")).when(
+        n % 89 == 0, '{"release_name": "x", "update_date": "2024-02-01"}'
+    ).when(n % 83 == 0, '{"release_id": 9, "update_date": "2024-13-01"}').when(
+        n % 79 == 0, '{"release_id": "nine", "update_date": "2024-02-01"}').otherwise(F.col("body"))
+    return messages(spark, sf_dir).withColumn("body", dirty)
+
+
+def raw_partly_released(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw`` with every seventh release left out of its rows."""
+    release = F.when(F.col("release_id") % 7 != 3, F.col("release_id"))
+    return raw(spark, sf_dir).withColumn("release_id", release)
+
+
 def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows packed into payload pages: 500 consecutive events per page at most.
 

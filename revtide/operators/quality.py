@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtide.functions.parsing import is_blank, is_iso_date, parse_value
-from revtide.schemas import CURATED_REQUIRED
+from revtide.schemas import CURATED_REQUIRED, DELIVERED_REQUIRED
 from revtide.session import stored
 
 # Fixed values of the rules.
@@ -68,7 +68,11 @@ def outlier_counts(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataF
 
 def _with_limits(raw: DataFrame, by: Sequence[str] = ("release_id",)) -> DataFrame:
     """Raw rows with their group's outlier limit; nulls in the grouping are a group like any other."""
-    limits = stored(outlier_limits(raw, by), "limits").withColumnsRenamed({c: f"_of_{c}" for c in by})
+    return _joined_limits(raw, stored(outlier_limits(raw, by), "limits"), by)
+
+
+def _joined_limits(raw: DataFrame, limits: DataFrame, by: Sequence[str] = ("release_id",)) -> DataFrame:
+    limits = limits.withColumnsRenamed({c: f"_of_{c}" for c in by})
     same = [raw[c].eqNullSafe(limits[f"_of_{c}"]) for c in by]
     return raw.join(limits, same, "left").drop(*(f"_of_{c}" for c in by))
 
@@ -138,12 +142,15 @@ def _verdict(counts: DataFrame) -> DataFrame:
 
 
 def emptiness(releases: DataFrame, raw: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Per expected release: has it no observations (error), has it no metadata (warning)."""
+    """Per expected release: has it no observations (error), has it no metadata (warning).
+
+    No release, null, is one like any other.
+    """
     expected = releases.select("release_id").distinct()
-    observed = raw.select("release_id").distinct().withColumn("_observed", F.lit(True))
-    described = metadata.select("release_id").distinct().withColumn("_described", F.lit(True))
-    return expected.join(observed, "release_id", "left").join(
-        described, "release_id", "left"
+    observed = raw.select(F.col("release_id").alias("_of")).distinct().withColumn("_observed", F.lit(True))
+    described = metadata.select(F.col("release_id").alias("_in")).distinct().withColumn("_described", F.lit(True))
+    return expected.join(observed, expected["release_id"].eqNullSafe(observed["_of"]), "left").join(
+        described, expected["release_id"].eqNullSafe(described["_in"]), "left"
     ).select(
         "release_id",
         F.col("_observed").isNull().alias("no_observations"),
@@ -184,7 +191,7 @@ def quality_issues(
     )
     limits = stored(outlier_limits(raw), "limits")
     series = stored(
-        raw.join(limits, "release_id", "left").groupBy("release_id", "series_id").agg(
+        _joined_limits(raw, limits).groupBy("release_id", "series_id").agg(
             F.count_if(_is_outlier()).alias("outliers")
         ), "series",
     )
@@ -237,18 +244,39 @@ def bad_date_format(df: DataFrame) -> DataFrame:
     return df.filter(~is_iso_date(F.col("date")))
 
 
-def gate_checks(df: DataFrame, required: Sequence[str] = CURATED_REQUIRED) -> DataFrame:
-    """The checks before a curated table is written: check, failures, passed. One pass over rows.
+def missing_columns(
+    df: DataFrame, required: Sequence[str] = CURATED_REQUIRED, delivered: Sequence[str] | None = None
+) -> list[str]:
+    """Required columns that rows lack, and those that had to be in a delivery (its columns) and were not.
+
+    Rows may have been given columns of nulls since; that does not make up for a delivery without them.
+    """
+    absent = [c for c in required if c not in df.columns]
+    if delivered is not None:
+        absent += [c for c in DELIVERED_REQUIRED if c not in delivered and c not in absent]
+    return absent
+
+
+def gate_failures(df: DataFrame) -> dict[str, Column]:
+    """What the checks on rows count, as aggregates by name.
 
     A key column that is absent fails its null check with every row.
     """
-    missing = [c for c in required if c not in df.columns]
-    failures = {"required_columns": F.lit(len(missing)).cast("bigint")}
+    failures = {}
     for key in KEY_COLUMNS:
         bad = F.col(key).isNull() if key in df.columns else F.lit(True)
         failures[f"{key}_nulls"] = F.count_if(bad)
     bad = ~is_iso_date(F.col("date").cast("string")) if "date" in df.columns else F.lit(True)
     failures["date_format"] = F.count_if(bad)
+    return failures
+
+
+def gate_checks(
+    df: DataFrame, required: Sequence[str] = CURATED_REQUIRED, delivered: Sequence[str] | None = None
+) -> DataFrame:
+    """The checks before a curated table is written: check, failures, passed. One pass over rows."""
+    missing = len(missing_columns(df, required, delivered))
+    failures = {"required_columns": F.lit(missing).cast("bigint"), **gate_failures(df)}
     rows = F.array(*(
         F.struct(F.lit(name).alias("check"), count.alias("failures"))
         for name, count in failures.items()
@@ -259,7 +287,12 @@ def gate_checks(df: DataFrame, required: Sequence[str] = CURATED_REQUIRED) -> Da
 
 def require_passed(checks: DataFrame) -> None:
     """Raise unless all checks passed. Runs the checks; they are a handful of rows."""
-    failed = [f"{r['check']}: {r['failures']}" for r in checks.filter("NOT passed").collect()]
+    require_none({r["check"]: r["failures"] for r in checks.collect()})
+
+
+def require_none(failures: Mapping[str, int]) -> None:
+    """Raise if any check counted a failure."""
+    failed = [f"{name}: {count}" for name, count in failures.items() if count]
     if failed:
         raise QualityError("quality gate failed: " + ", ".join(failed))
 

@@ -204,6 +204,27 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# The findings on rows of which some have no release; null is a release like any other.
+for _name, _text in {
+    "raw": "SELECT * REPLACE (CASE WHEN release_id % 7 <> 3 THEN release_id END AS release_id) FROM fx_raw",
+    "typed": "SELECT * REPLACE (CASE WHEN release_id % 7 <> 3 THEN release_id END AS release_id) FROM fx_typed",
+    "points": CTES["fx_points"][1].replace("fx_raw", "fx_open_raw"),
+    "limits": CTES["fx_limits"][1].replace("fx_typed", "fx_open_typed"),
+    "outliers": CTES["fx_outliers"][1].replace("fx_typed", "fx_open_typed").replace("fx_limits", "fx_open_limits")
+        .replace("t.release_id = l.release_id", "t.release_id IS NOT DISTINCT FROM l.release_id"),
+    "issues": CTES["fx_issues"][1].split("UNION ALL SELECT release_id, NULL, NULL, 'error', 'no_observations'")[0]
+        .replace("fx_points", "fx_open_points").replace("fx_raw", "fx_open_raw")
+        .replace("fx_outliers", "fx_open_outliers") + """
+        UNION ALL SELECT release_id, NULL, NULL, 'warning', 'no_metadata_at_all', 1
+          FROM (SELECT DISTINCT release_id FROM fx_open_raw) r WHERE NOT EXISTS (
+            SELECT 1 FROM fx_metadata m WHERE m.release_id IS NOT DISTINCT FROM r.release_id)""",
+}.items():
+    _needs = {"raw": ("fx_raw",), "typed": ("fx_typed",), "points": ("fx_open_raw",), "limits": ("fx_open_typed",),
+              "outliers": ("fx_open_typed", "fx_open_limits"),
+              "issues": ("fx_open_points", "fx_open_raw", "fx_open_outliers", "fx_metadata")}
+    CTES[f"fx_open_{_name}"] = (_needs[_name], _text)
+
+
 def _log(snapshots: str) -> str:
     """Change log over all vintages of a snapshot view."""
     return f"""

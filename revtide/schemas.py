@@ -109,6 +109,14 @@ MESSAGE = _struct("""
     release_id INT, release_name STRING, update_date STRING, priority STRING, batch_mode BOOLEAN
 """)
 
+# Messages that could not be merged, and what each batch of messages held.
+LETTERS = _struct("""
+    body STRING, reason STRING, source STRING, position BIGINT, stream STRING, batch_id BIGINT
+""")
+BATCHES = _struct("""
+    messages BIGINT, merged BIGINT, letters BIGINT, stream STRING, batch_id BIGINT
+""")
+
 TABLES = {
     "series_observations": SERIES_OBSERVATIONS,
     "series_metadata": SERIES_METADATA,
@@ -141,6 +149,8 @@ CLUSTER_COLUMNS = {
 CURATED_REQUIRED = [
     "series_id", "date", "value", "release_id", "release_date", "collected_at", "year", "month",
 ]
+#: Columns that a delivery itself must have for the curated table; the others can be derived or are optional.
+DELIVERED_REQUIRED = ["series_id", "date", "value", "release_id"]
 CURATED_REQUIRED_FULL = [
     "series_id", "date", "value", "vintage_date", "collected_at", "release_id",
     "release_date", "collection_vintage", "year", "month",

@@ -31,6 +31,16 @@ def read_raw(
     return raw.filter(F.col("vintage_date") == as_date(vintage_date).isoformat())
 
 
+def delivered_columns(spark: SparkSession, path: str, vintage_date: str | None = None) -> list[str]:
+    """Columns that the landed files themselves have, of all vintages or one; directories name two more.
+
+    Only footers are read, in tasks.
+    """
+    files = spark.read.option("mergeSchema", True).option("basePath", path)
+    name = "" if vintage_date is None else f"/vintage_date={as_date(vintage_date).isoformat()}"
+    return files.parquet(f"{path}{name}").columns
+
+
 def land_raw(raw: DataFrame, path: str) -> None:
     """Write raw rows below ``vintage_date=…/release_id=…``, replacing only those directories.
 

@@ -84,14 +84,18 @@ class Warehouse:
 
     def curate(self, vintage_date: Day, release_id: int | None = None) -> DataFrame:
         """Write the curated table from a landed vintage, or from one release of it."""
-        raw = landing.read_raw(
-            self.spark, self.path("raw"), as_date(vintage_date).isoformat(), schema=RAW_PATCHED
-        )
+        return self.curate_counted(vintage_date, release_id)[0]
+
+    def curate_counted(
+        self, vintage_date: Day, release_id: int | None = None
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """``curate`` with the rows delivered, removed as duplicates, and written."""
+        day = as_date(vintage_date).isoformat()
+        raw = landing.read_raw(self.spark, self.path("raw"), day, schema=RAW_PATCHED)
         if release_id is not None:
             raw = raw.filter(F.col("release_id") == release_id)
-        return curate.curate(
-            self.spark, raw, self.path("curated"), as_date(vintage_date).isoformat()
-        )
+        delivered = landing.delivered_columns(self.spark, self.path("raw"), day)
+        return curate.curate_counted(self.spark, raw, self.path("curated"), day, delivered)
 
     def analyse(self) -> dict[str, str]:
         """Persist the statistics of the curated table; returns their paths."""
@@ -183,8 +187,13 @@ class Warehouse:
         return events.stream_merge(
             bodies, lambda: self.table("snapshots"), self.path("series_observations"),
             self.path("_checkpoints/stream_releases"), available_now, calendar=self.path("release_calendar"),
+            letters=self.path("dead_letters"),
         )
 
+    def dead_letters(self) -> DataFrame:
+        """Messages that could not be merged, with the reason."""
+        return events.read_letters(self.spark, self.path("dead_letters"))
+
     # Ledgers
 
     def log_run(
