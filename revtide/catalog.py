@@ -27,9 +27,9 @@ from revtide.operators import (
 from revtide.oracle import sql
 from revtide.plans import curate, merge
 from revtide.plans import vintages as ingest
-from revtide.schemas import COLLECTION_HISTORY, RAW, RAW_PATCHED
+from revtide.schemas import COLLECTION_HISTORY, RAW, RAW_PATCHED, SERIES_METADATA
 from revtide.session import scratch_path
-from revtide.sources import files
+from revtide.sources import files, mutation
 from revtide.sources import raw as landing
 from revtide.sources import tables
 from revtide.streaming import events
@@ -967,12 +967,61 @@ def delete_where(spark, sf):
 
 @query("commit_history", """
     SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'snapshots' ELSE 'series_observations' END
-        AS table_name, o_orderkey AS version,
+        AS table_name,
       CASE o_orderstatus WHEN 'F' THEN 'MERGE' WHEN 'O' THEN 'WRITE' ELSE 'OPTIMIZE' END
-        AS operation, CAST(floor(o_totalprice) AS BIGINT) AS rows_written
-    FROM orders ORDER BY o_orderkey DESC LIMIT 3""")
+        AS operation, count(*) AS operations, CAST(max(o_orderdate) AS DATE) AS last_done,
+      CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS rows_written
+    FROM orders GROUP BY ALL""")
 def commit_history(spark, sf):
-    return ledger.commit_history(fx.commits(spark, sf))
+    """What was done to each table, over the whole ledger of operations."""
+    return ledger.operation_counts(fx.operations(spark, sf))
+
+
+@query("update_stored", """
+    SELECT series_id, date, vintage_date, release_id,
+      CASE WHEN series_id = 'S3' AND vintage_date < DATE '2002-03-01' THEN 3.8 ELSE value END AS value
+    FROM fx_snapshots_big""", "fx_snapshots_big")
+def update_stored(spark, sf):
+    """Rows of a stored table changed in place."""
+    path = _stored_snapshots(spark, sf)
+    condition = (F.col("series_id") == "S3") & (F.col("vintage_date") < "2002-03-01")
+    mutation.update_stored(spark, path, SNAPSHOT_PARTITIONS, condition, {"value": F.lit(3.8)})
+    return tables.read_table(spark, path)
+
+
+@query("delete_stored", """
+    SELECT series_id, date, vintage_date, release_id, value FROM fx_snapshots_big
+    WHERE NOT (value > 50000 OR release_id = 9)""", "fx_snapshots_big")
+def delete_stored(spark, sf):
+    """Rows of a stored table deleted in place, some partitions as a whole."""
+    path = _stored_snapshots(spark, sf)
+    condition = (F.col("value") > 50000) | (F.col("release_id") == 9)
+    mutation.delete_stored(spark, path, SNAPSHOT_PARTITIONS, condition)
+    return tables.read_table(spark, path)
+
+
+SNAPSHOT_PARTITIONS = ["vintage_date", "release_id"]
+
+
+def _stored_snapshots(spark, sf):
+    path = scratch_path(spark, "snapshots")
+    rows = layout.compact(fx.snapshots_big(spark, sf), SNAPSHOT_PARTITIONS)
+    tables.overwrite_touched(rows, path, SNAPSHOT_PARTITIONS)
+    return path
+
+
+@query("upsert_stored_metadata", """
+    SELECT coalesce(s.series_id, t.series_id) AS series_id, coalesce(s.title, t.title) AS title,
+      coalesce(s.release_id, t.release_id) AS release_id
+    FROM fx_metadata t FULL OUTER JOIN fx_metadata_new s ON t.series_id = s.series_id""",
+       "fx_metadata", "fx_metadata_new")
+def upsert_stored_metadata(spark, sf):
+    """Two upserts into a stored table, the second into buckets of the first."""
+    path = scratch_path(spark, "series_metadata")
+    for rows in (fx.series_metadata(spark, sf), fx.series_metadata_new(spark, sf)):
+        given = ledger.conform(rows.withColumn("last_updated", F.current_timestamp()), SERIES_METADATA)
+        ingest.upsert_table(spark, given, path, "series_metadata", upserts.upsert_series_metadata)
+    return tables.read_table(spark, path).select("series_id", "title", "release_id")
 
 
 @query("log_run", """

@@ -187,13 +187,12 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return begin.unionByName(end, True).drop("_state")
 
 
-def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as commits to two tables."""
-    n = F.col("o_orderkey")
+def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as operations on two tables."""
     return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderpriority") == "1-URGENT", "snapshots")
         .otherwise("series_observations").alias("table_name"),
-        n.alias("version"),
+        F.col("o_orderdate").cast("date").alias("done_at"),
         F.when(F.col("o_orderstatus") == "F", "MERGE").when(F.col("o_orderstatus") == "O", "WRITE")
         .otherwise("OPTIMIZE").alias("operation"),
         F.floor("o_totalprice").alias("rows_written"),

@@ -65,7 +65,7 @@ def delivery(new: DataFrame, release_id: int | None = None) -> tuple[DataFrame,
     """One row per point of a delivery, typed and stored, and what the delivery held.
 
     The counts are observed by the job that stores the rows, so ``new`` is read once: ``total_processed``
-    rows, those ``rejected`` for want of a release, a series or a date, and ``duplicates`` of others.
+    rows and, if there are any, those ``rejected`` for want of a release, a series or a date, and ``duplicates``.
     """
     whole, kept = Observation(), Observation()
     typed = typed_rows(new, release_id)
@@ -74,11 +74,8 @@ def delivery(new: DataFrame, release_id: int | None = None) -> tuple[DataFrame,
     state = _delivered_state(typed.filter(has_key))
     rows = stored(state.observe(kept, F.count("*").alias("points")), "delivery")
     seen, points = observed(whole), observed(kept)["points"]
-    counts = {
-        "total_processed": seen["rows"], "rejected": seen["rows"] - seen["keyed"],
-        "duplicates": seen["keyed"] - points,
-    }
-    return rows, counts
+    left_out = {"rejected": seen["rows"] - seen["keyed"], "duplicates": seen["keyed"] - points}
+    return rows, {"total_processed": seen["rows"], **{name: n for name, n in left_out.items() if n}}
 
 
 def typed_rows(new: DataFrame, release_id: int | None = None) -> DataFrame:

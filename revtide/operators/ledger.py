@@ -1,4 +1,4 @@
-"""Run ledger and commit history, both append-only tables."""
+"""Ledgers of runs and of operations on tables, both append-only tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revtide.operators.observations import first_per_key
-from revtide.schemas import COLLECTION_HISTORY, COMMITS
+from revtide.schemas import COLLECTION_HISTORY, OPERATIONS
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -63,17 +63,24 @@ def runs_by_period(status: DataFrame, period: str = "yyyy-MM") -> DataFrame:
     return status.groupBy(label, "status").agg(F.count("*").alias("runs"))
 
 
-def commit_record(
-    spark: SparkSession, table: str, version: int, operation: str, metrics: dict[str, int]
+def operation_record(
+    spark: SparkSession, table: str, operation: str, counts: dict[str, int]
 ) -> DataFrame:
-    """One row of the commit history."""
-    row = (table, version, datetime.datetime.now(), operation, metrics)
-    return spark.createDataFrame([row], COMMITS)
+    """One row of the ledger of operations."""
+    row = (table, datetime.datetime.now(), operation, counts)
+    return spark.createDataFrame([row], OPERATIONS)
 
 
-def commit_history(commits: DataFrame, limit: int = 3, table: str | None = None) -> DataFrame:
-    """The newest operations."""
-    if table:
-        commits = commits.filter(F.col("table_name") == table)
-    return commits.orderBy(F.desc("version"), "table_name").limit(limit)
+def operation_counts(operations: DataFrame) -> DataFrame:
+    """Per table and operation: how often it ran, when last, and the rows it wrote in all."""
+    return operations.groupBy("table_name", "operation").agg(
+        F.count("*").alias("operations"), F.max("done_at").alias("last_done"),
+        F.sum("rows_written").alias("rows_written"),
+    )
+
 
+def newest_operations(operations: DataFrame, limit: int = 3, table: str | None = None) -> DataFrame:
+    """The operations done last, on a table or on all of them."""
+    if table:
+        operations = operations.filter(F.col("table_name") == table)
+    return operations.orderBy(F.desc("done_at"), "table_name").limit(limit)

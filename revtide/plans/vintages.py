@@ -5,23 +5,26 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from revtide.functions.parsing import as_date, parse_date
 from revtide.operators.layout import compact
 from revtide.operators.observations import dedup_vintage_key, to_snapshot
-from revtide.operators.upserts import upsert_counts, upsert_snapshot
+from revtide.operators.upserts import upsert_snapshot
 from revtide.operators.vintages import KEY
-from revtide.schemas import PARTITION_COLUMNS, SNAPSHOTS
-from revtide.session import stored
+from revtide.schemas import BUCKET, BUCKET_KEYS, PARTITION_COLUMNS, SNAPSHOTS, schema_of
+from revtide.session import observed, stored
 from revtide.sources.files import file_counts, probe_files
 from revtide.sources.raw import read_raw
-from revtide.sources.tables import ensure_table, overwrite_touched, read_table
+from revtide.sources.tables import ensure_table, overwrite_touched, read_table, table_exists
 
 Day = str | datetime.date
 
+#: Buckets of an upserted table. It stays as it is once the table exists, as rows are found by it.
+BUCKETS = 64
+
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """The snapshots table."""
@@ -144,14 +147,44 @@ def ingest_vintage(
     return ingest_vintages(spark, raw_path, table_path, [vintage_date])
 
 
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    """Bucket of a row of an upserted table: a hash of its key."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
 def upsert_table(
-    spark: SparkSession, source: DataFrame, table_path: str, table: str, upsert
+    spark: SparkSession, source: DataFrame, table_path: str, table: str, upsert, key: str | None = None
 ) -> dict[str, int]:
-    """Run an upsert operator against an unpartitioned table and rewrite it; returns the counts.
+    """Run an upsert operator against a table laid out in hash buckets of its key; returns the counts.
 
-    The result is stored first because a table cannot be replaced while it is being read.
+    Only the buckets of the source's keys are read and replaced, when the job commits: one that fails leaves all
+    old rows. The counts are observed by the job that writes. A table without buckets is laid out in them first.
     """
-    ensure_table(spark, table_path, table)
-    merged = stored(upsert(read_table(spark, table_path), source), "upsert")
-    compact(merged.drop("_action")).write.mode("overwrite").parquet(table_path)
-    return upsert_counts(merged).first().asDict()
+    key = key or BUCKET_KEYS[table]
+    rows = _bucketed(spark, table_path, table, key)
+    # Stored, so that one evaluation of the source names the buckets and is merged.
+    source = stored(source.withColumn(BUCKET, bucket_of(key)), "source")
+    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
+    merged = upsert(rows.filter(F.col(BUCKET).isin(touched)), source)
+    done = Observation()
+    action = F.col("_action")
+    counted = merged.observe(
+        done, *[F.count_if(action == name).alias(name) for name in ("inserted", "updated", "unchanged")],
+        F.count_if(action != "kept").alias("total_processed"),
+    )
+    if touched:
+        overwrite_touched(compact(counted.drop("_action"), [BUCKET]), table_path, [BUCKET])
+        seen = observed(done)
+        return {name: seen[name] for name in ("inserted", "updated", "unchanged", "total_processed")}
+    return dict.fromkeys(("inserted", "updated", "unchanged", "total_processed"), 0)
+
+
+def _bucketed(spark: SparkSession, path: str, table: str, key: str) -> DataFrame:
+    """A table with its buckets. One that is new or has none yet is written in buckets."""
+    schema = schema_of(table)
+    whole = StructType([*schema.fields, StructField(BUCKET, IntegerType())])
+    if not table_exists(spark, path) or BUCKET not in read_table(spark, path).columns:
+        ensure_table(spark, path, table)
+        old = stored(read_table(spark, path, schema).select(*schema.names).withColumn(BUCKET, bucket_of(key)), "old")
+        old.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+    return read_table(spark, path, whole)

@@ -89,10 +89,9 @@ RELEASE_CALENDAR = _struct("""
     release_id INT NOT NULL, vintage_date DATE NOT NULL, processed_at TIMESTAMP NOT NULL, _etl_run_id STRING
 """)
 
-# What each write did to a table; see operators.ledger.commit_history.
-COMMITS = _struct("""
-    table_name STRING NOT NULL, version BIGINT NOT NULL, committed_at TIMESTAMP NOT NULL,
-    operation STRING NOT NULL
+# What operations did to tables: a row for each, appended when it is done.
+OPERATIONS = _struct("""
+    table_name STRING NOT NULL, done_at TIMESTAMP NOT NULL, operation STRING NOT NULL
 """).add("operation_metrics", MapType(StringType(), LongType()))
 
 # One page of a bulk download, stored as one JSON document.
@@ -124,12 +123,17 @@ TABLES = {
     "collection_history": COLLECTION_HISTORY,
     "snapshots": SNAPSHOTS,
     "release_calendar": RELEASE_CALENDAR,
-    "commits": COMMITS,
+    "operations": OPERATIONS,
 }
 
 # Releases of a vintage, not series, make up directories: a merge replaces whole directories, and a directory
 # per series would mean a million tiny files.
+BUCKET = "_bucket"
+BUCKET_KEYS = {"series_metadata": "series_id", "release_metadata": "release_id"}
+
 PARTITION_COLUMNS = {
+    "series_metadata": [BUCKET],
+    "release_metadata": [BUCKET],
     "series_observations": ["vintage_date", "release_id"],
     "snapshots": ["vintage_date", "release_id"],
     "release_calendar": ["vintage_date"],

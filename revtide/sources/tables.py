@@ -73,8 +73,8 @@ def overwrite_by_month(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> N
     ).save(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a directory in whatever file system it is."""
+def remove(spark: SparkSession, path) -> None:
+    """Delete a directory, a path or a Java URI, in whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -7,7 +7,7 @@ import traceback
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.functions.parsing import as_date
@@ -15,10 +15,10 @@ from revtide.operators import changes, collection, ledger, quality, selection, u
 from revtide.plans import collection as runs
 from revtide.plans import curate, merge
 from revtide.plans import vintages as ingest
-from revtide.schemas import RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
+from revtide.schemas import PARTITION_COLUMNS, RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
 from revtide.session import stored
+from revtide.sources import mutation, tables
 from revtide.sources import raw as landing
-from revtide.sources import tables
 from revtide.streaming import events
 
 Day = str | datetime.date
@@ -68,7 +68,7 @@ class Warehouse:
             self.spark, self.path("raw"), self.path("snapshots"), vintage_dates
         )
         done = counts.agg(F.sum("inserted"), F.sum("updated")).first()
-        self._commit("snapshots", "MERGE", {"inserted": done[0] or 0, "updated": done[1] or 0})
+        self._done("snapshots", "MERGE", {"inserted": done[0] or 0, "updated": done[1] or 0})
         return counts
 
     def process_isolated(self, vintage_dates: Sequence[Day] | None = None) -> DataFrame:
@@ -113,7 +113,7 @@ class Warehouse:
             self.spark, new, vintage_date, self.path("series_observations"), etl_run_id,
             release_id, api_version, self.path("release_calendar"),
         )
-        self._commit("series_observations", "MERGE", counts)
+        self._done("series_observations", "MERGE", counts)
         return counts
 
     def rebuild_log(self, etl_run_id: str) -> None:
@@ -124,7 +124,7 @@ class Warehouse:
             snapshots, touched, self.path("series_observations"), etl_run_id,
             calendar=self.path("release_calendar"),
         )
-        self._commit("series_observations", "WRITE", {})
+        self._done("series_observations", "WRITE", {})
 
     def merge_series_metadata(self, new: DataFrame, etl_run_id: str) -> dict[str, int]:
         """Upsert series metadata, replacing every column."""
@@ -212,7 +212,7 @@ class Warehouse:
 
     def history(self, limit: int = 3, table: str | None = None) -> DataFrame:
         """The newest operations on a table or on all of them."""
-        return ledger.commit_history(self.table("commits"), limit, table)
+        return ledger.newest_operations(self.table("operations"), limit, table)
 
     # Reading
 
@@ -252,14 +252,10 @@ class Warehouse:
         return selection.count_by_series(self.table("series_observations"), limit)
 
     def info(self, table: str = "series_observations") -> DataFrame:
-        """Version, files, columns, rows and series of a table."""
+        """Files, columns, rows and series of a table."""
         tables.ensure_table(self.spark, self.path(table), table)
         rows = tables.read_table(self.spark, self.path(table))
-        version = self.table("commits").filter(F.col("table_name") == table).agg(
-            F.lit("version").alias("metric"),
-            F.coalesce(F.max("version"), F.lit(0)).alias("value"),
-        )
-        return version.unionAll(tables.table_info(rows))
+        return tables.table_info(rows)
 
     # Maintenance
 
@@ -268,8 +264,22 @@ class Warehouse:
         for name in names or TABLES:
             if tables.table_exists(self.spark, self.path(name)):
                 tables.optimize_table(self.spark, self.path(name), name)
-                if name != "commits":
-                    self._commit(name, "OPTIMIZE", {})
+                if name != "operations":
+                    self._done(name, "OPTIMIZE", {})
+
+    def update(self, name: str, condition: Column, values: dict[str, Column]) -> dict[str, int]:
+        """Set columns of the rows of a table where the condition holds."""
+        counts = mutation.update_stored(
+            self.spark, self.path(name), PARTITION_COLUMNS[name], condition, values
+        )
+        self._done(name, "UPDATE", counts)
+        return counts
+
+    def delete(self, name: str, condition: Column) -> dict[str, int]:
+        """Delete the rows of a table where the condition holds."""
+        counts = mutation.delete_stored(self.spark, self.path(name), PARTITION_COLUMNS[name], condition)
+        self._done(name, "DELETE", counts)
+        return counts
 
     def quality(self, vintage_date: str, metadata: DataFrame | None = None) -> DataFrame:
         """Quality of the releases of a landed vintage."""
@@ -281,11 +291,9 @@ class Warehouse:
 
     def _upsert(self, source: DataFrame, name: str, operator) -> dict[str, int]:
         counts = ingest.upsert_table(self.spark, source, self.path(name), name, operator)
-        self._commit(name, "MERGE", counts)
+        self._done(name, "MERGE", counts)
         return counts
 
-    def _commit(self, name: str, operation: str, metrics: dict[str, int]) -> None:
-        done = self.table("commits").filter(F.col("table_name") == name)
-        version = (done.agg(F.max("version")).first()[0] or 0) + 1
-        record = ledger.commit_record(self.spark, name, version, operation, metrics)
-        tables.append(record, self.path("commits"), "commits")
+    def _done(self, name: str, operation: str, counts: dict[str, int]) -> None:
+        record = ledger.operation_record(self.spark, name, operation, counts)
+        tables.append(record, self.path("operations"), "operations")
