@@ -997,7 +997,7 @@ def delete_stored(spark, sf):
     path = _stored_snapshots(spark, sf)
     condition = (F.col("value") > 50000) | (F.col("release_id") == 9)
     mutation.delete_stored(spark, path, SNAPSHOT_PARTITIONS, condition)
-    return tables.read_table(spark, path)
+    return tables.read_table(spark, path, fx.snapshots_big(spark, sf).schema)
 
 
 SNAPSHOT_PARTITIONS = ["vintage_date", "release_id"]
