@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,11 +26,13 @@ from revtide.llm.common import text_batches
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 NONE = 1 << 60
-#: Words that a worker remembers before it starts anew, and the longest of them.
+NO_RANK = np.int32(2 ** 31 - 1)
+#: Matches of the pattern that a worker remembers before it starts anew, and the longest of them.
 REMEMBERED = 250_000
 REMEMBERED_CHARS = 48
-#: Bytes of the longest piece that is merged together with others.
+#: Bytes of the longest piece that is merged together with others, and bytes that are merged at a time.
 TOGETHER = 64
+ROWS_TOGETHER = 32_768
 
 
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -90,58 +92,76 @@ class Pairs:
             if token[:cut] in ranks and token[cut:] in ranks
         ]
         keys, values = np.array(sorted(found) or [(-1, 0)], np.int64).T
-        self.keys, self.values = np.ascontiguousarray(keys), np.ascontiguousarray(values)
+        self.keys, self.values = np.ascontiguousarray(keys), values.astype(np.int32)
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        both = self.rank(np.repeat(self.bytes, 256), np.tile(self.bytes, 256))
+        self.of_bytes = both.reshape(256, 256)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair, ``NONE`` if there is none or one side is missing (negative)."""
+        """Rank of each pair, ``NO_RANK`` if there is none or one side is missing (negative)."""
         wanted = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         good = (self.keys[at] == wanted) & (left >= 0) & (right >= 0)
-        return np.where(good, self.values[at], NONE)
+        return np.where(good, self.values[at], NO_RANK)
 
 
-def merged_rows(pieces: list[bytes], width: int, pairs: Pairs, byte_ids: np.ndarray) -> list[bytes]:
+def merged_rows(pieces: list[bytes], width: int, pairs: Pairs) -> list[bytes]:
     """``merged`` for many pieces of at most ``width`` bytes (a power of two), as little-endian ints."""
-    count, lengths = len(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
-    raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(count, width)
-    places = np.arange(width)
-    # One more column on either side takes what neighbours off the ends would write.
-    ids = np.full((count, width + 1), -1, np.int64)
-    ids[:, :width] = np.where(places < lengths[:, None], byte_ids[raw], -1)
-    after = np.tile(np.minimum(np.arange(1, width + 2), width), (count, 1))
-    before = np.tile(np.arange(-1, width), (count, 1))
-    tree = np.full((count, 2 * width), NONE, np.int64)
-    tree[:, width:] = pairs.rank(ids[:, :width], ids[:, 1:])
+    found: list[bytes] = []
+    step = max(64, ROWS_TOGETHER // width)
+    for start in range(0, len(pieces), step):
+        found += _merged_rows(pieces[start:start + step], width, pairs)
+    return found
+
+
+def _merged_rows(pieces: list[bytes], width: int, pairs: Pairs) -> list[bytes]:
+    """The rows of all pieces lie one after the other in flat arrays small enough for a processor's cache."""
+    count, lengths = len(pieces), np.fromiter(map(len, pieces), np.int32, len(pieces))
+    raw = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(count, width)
+    places = np.arange(width, dtype=np.int32)
+    inside = places < lengths[:, None]
+    # One more column takes what neighbours off the ends would write.
+    ids = np.full((count, width + 1), -1, np.int32)
+    ids[:, :width] = np.where(inside, pairs.bytes[raw], -1)
+    after = np.tile(np.minimum(np.arange(1, width + 2, dtype=np.int32), width), (count, 1))
+    before = np.tile(np.arange(-1, width, dtype=np.int32), (count, 1))
+    tree = np.full((count, 2 * width), NO_RANK, np.int32)
+    tree[:, width:2 * width - 1] = np.where(inside[:, 1:], pairs.of_bytes[raw[:, :-1], raw[:, 1:]], NO_RANK)
     level = width // 2
     while level:
         tree[:, level:2 * level] = np.minimum(tree[:, 2 * level:4 * level:2], tree[:, 2 * level + 1:4 * level:2])
         level //= 2
-    row = np.flatnonzero(tree[:, 1] != NONE)
+    ids, after, before, tree = ids.reshape(-1), after.reshape(-1), before.reshape(-1), tree.reshape(-1)
+    levels = width.bit_length() - 1
+    row = np.flatnonzero(tree[1::2 * width] != NO_RANK)
     while len(row):
-        least, node = tree[row, 1], np.ones(len(row), np.int64)
-        for _ in range(width.bit_length() - 1):
+        root, line = row * (2 * width), row * (width + 1)
+        least, node = tree[root + 1], np.ones(len(row), np.int64)
+        for _ in range(levels):
             node *= 2
-            node += tree[row, node] != least
+            node += tree[root + node] != least
         place = node - width
-        gone = after[row, place]
-        end = after[row, gone]
-        left = before[row, place]
-        ids[row, place], ids[row, gone] = least, -1
-        after[row, place], before[row, end] = end, place
-        tree[row, width + gone] = NONE
-        tree[row, width + place] = pairs.rank(least, ids[row, end])
-        inner = left >= 0
-        tree[row[inner], width + left[inner]] = pairs.rank(ids[row[inner], left[inner]], least[inner])
-        paths = [width + gone, width + place, width + np.where(inner, left, place)]
-        for _ in range(width.bit_length() - 1):
+        gone = after[line + place]
+        end = after[line + gone]
+        left = before[line + place]
+        ids[line + place], ids[line + gone] = least, -1
+        after[line + place], before[line + end] = end, place
+        tree[root + width + gone] = NO_RANK
+        tree[root + node] = pairs.rank(least, ids[line + end])
+        inner = np.flatnonzero(left >= 0)
+        tree[root[inner] + width + left[inner]] = pairs.rank(ids[line[inner] + left[inner]], least[inner])
+        paths = [width + gone.astype(np.int64), node, width + np.where(left >= 0, left, place)]
+        for _ in range(levels):
             for path in paths:
                 path >>= 1
-                tree[row, path] = np.minimum(tree[row, 2 * path], tree[row, 2 * path + 1])
-        row = row[tree[row, 1] != NONE]
-    live = ids[:, :width] >= 0
-    ends = np.cumsum(live.sum(1)) * 4
-    flat = ids[:, :width][live].astype("<i4").tobytes()
-    return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+                child = root + 2 * path
+                tree[root + path] = np.minimum(tree[child], tree[child + 1])
+        row = row[tree[root + 1] != NO_RANK]
+    ids = ids.reshape(count, width + 1)[:, :width]
+    live = ids >= 0
+    ends = (np.cumsum(live.sum(1)) * 4).tolist()
+    flat = ids[live].astype("<i4").tobytes()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def ranks_of(vocabulary: bytes) -> dict[bytes, int]:
@@ -161,77 +181,44 @@ class Decoder:
 
 
 class Encoder:
-    """Encodes with a vocabulary; remembers words, up to a bound."""
+    """Encodes with a vocabulary; remembers the ids of matches of the pattern, up to a bound."""
 
     def __init__(self, vocabulary: bytes, pattern: str):
         self.ranks = ranks_of(vocabulary)
         self.pairs = Pairs(self.ranks)
-        self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.find = regex.compile(pattern).findall
-        self.spaces = regex.compile(r"\s\s").search
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
-    def pieces(self, pieces: set[str]) -> dict[str, bytes]:
+    def pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """Ids of matches of the pattern, as little-endian ints."""
-        found, groups = {}, defaultdict(list)
+        found, groups = {}, defaultdict(lambda: ([], []))
+        whole = self.ranks.get
         for piece in pieces:
             raw = piece.encode("utf-8", "surrogatepass")
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                found[piece] = whole.to_bytes(4, "little")
+            rank = whole(raw)
+            if rank is not None:
+                found[piece] = rank.to_bytes(4, "little")
             elif len(raw) > TOGETHER:
                 found[piece] = np.array(merged(raw, self.ranks), "<i4").tobytes()
             else:
-                groups[1 << (len(raw) - 1).bit_length()].append((piece, raw))
-        for width, group in groups.items():
-            rows = merged_rows([raw for _, raw in group], width, self.pairs, self.bytes)
-            found.update(zip((piece for piece, _ in group), rows))
+                names, raws = groups[(len(raw) - 1).bit_length()]
+                names.append(piece)
+                raws.append(raw)
+        for bits, (names, raws) in groups.items():
+            found.update(zip(names, merged_rows(raws, 1 << bits, self.pairs)))
         return found
 
-    def learn(self, words: set[str]) -> None:
-        """Add words, each with the space before it, to the memory."""
-        order = list(words)
-        own: list[list[str]] = []
-        # Only the space before a word begins a match, so one search over all of them tells them apart.
-        for piece in self.find("".join([" " + w for w in order])):
-            if piece[0] == " ":
-                own.append([])
-            own[-1].append(piece)
-        ids = self.pieces({p for pieces in own for p in pieces})
-        self.words.update((w, b"".join(map(ids.__getitem__, pieces))) for w, pieces in zip(order, own))
-
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Ids of whole texts.
-
-        Where white space never meets white space, no match of the pattern reaches over a space that
-        stands before a word, so the words between spaces can be looked up. Other texts are matched
-        whole, as are the words before the first and after the last space.
-        """
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        split, unknown, matches = [], set(), set()
-        for text in texts:
-            if self.spaces(text):
-                head, words, tail = self.find(text), [], []
-            else:
-                first, *words = text.split(" ")
-                head, tail = self.find(first), []
-                if words and not words[-1]:
-                    words, tail = words[:-1], [" "]
-            split.append((head, words, tail))
-            unknown.update(words)
-            matches.update(head, tail)
-        unknown -= self.words.keys()
-        self.learn(unknown)
-        ids = self.pieces(matches)
-        out = [
-            np.frombuffer(b"".join([
-                *map(ids.__getitem__, head), *map(self.words.__getitem__, words), *map(ids.__getitem__, tail)
-            ]), "<i4")
-            for head, words, tail in split
-        ]
-        for word in [w for w in unknown if len(w) > REMEMBERED_CHARS]:
-            del self.words[word]
+        """Ids of whole texts. Matches that are not known are merged together, each once."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        matches = [self.find(text) for text in texts]
+        new = set().union(*matches).difference(known)
+        known.update(self.pieces(new))
+        out = [np.frombuffer(b"".join([known[m] for m in found]), "<i4") for found in matches]
+        for piece in [p for p in new if len(p) > REMEMBERED_CHARS]:
+            del known[piece]
         return out
 
 

@@ -13,7 +13,7 @@ from revtide.session import stored
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Texts per Arrow batch. Long texts make batches by rows large, so few rows go together.
+#: Texts per Arrow batch, and bytes: a few long texts fill one.
 TEXTS_PER_BATCH = 256
 ROWS_PER_BATCH = 20_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -21,12 +21,15 @@ _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 ROWS_PER_TEXT_BATCH = 2_000
 BYTES_PER_BATCH = 4_000_000
 _BATCH_DEFAULT = "10000"
+_BYTES_DEFAULT = "67108864b"
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small, unless the session has a size of its own."""
+    """Keep Arrow batches of whole texts small, in rows and bytes, unless the session has sizes of its own."""
     if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH, TEXTS_PER_BATCH)
+    if spark.conf.get(_BATCH_BYTES) == _BYTES_DEFAULT:
+        spark.conf.set(_BATCH_BYTES, BYTES_PER_BATCH)
 
 
 @contextlib.contextmanager

@@ -78,6 +78,29 @@ def mixed(df: DataFrame, source: str, size: Column, ties: list[Column]) -> DataF
 
 
 def mix(df: DataFrame, source: str, size: Column, ties: list[Column]) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with the columns of ``df``."""
-    drawn = mixed(df, source, size, ties).filter("copies > 0")
-    return drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    """The documents of the mix, each as often as it is taken, with the columns of ``df``.
+
+    Only source, size and ties are ranked. The copies then go back to the rows, which move once and are not
+    sorted. Rows that agree in source and ties share their copies, in any order.
+    """
+    names = [f"_same{i}" for i in range(1 + len(ties))]
+    narrow = df.select(df[source].alias("_same0"), size.alias("size"), *[t.alias(n) for t, n in zip(ties, names[1:])])
+    narrow = stored(narrow, "sizes")
+    drawn = mixed(narrow, "_same0", F.col("size"), [F.col(n) for n in names[1:]])
+    taken = drawn.groupBy(*[F.col("row")[n].alias(n) for n in names]).agg(
+        F.count("*").alias("rows"), F.sum("copies").alias("copies")
+    )
+    taken = stored(taken.filter("copies > 0"), "taken")
+    wide = packed(df, **{f"_own{i}": c for i, c in enumerate([df[source], *ties])})
+    on = [wide[f"_own{i}"].eqNullSafe(taken[n]) for i, n in enumerate(names)]
+    found = wide.join(taken.hint("shuffle_hash"), on)
+    single = found.filter("rows = 1").select("row", "copies")
+    if not taken.filter("rows > 1").isEmpty():
+        # Equal rows are numbered and get the whole copies that the steps of their common sum cross.
+        several = stored(found.filter("rows > 1").select("row", "rows", "copies", *names), "several")
+        several = ranked(several.withColumn("_n", F.monotonically_increasing_id()), names, [F.col("_n")])
+        share = F.floor(F.col("rank") * F.col("copies") / F.col("rows")) - F.floor(
+            (F.col("rank") - 1) * F.col("copies") / F.col("rows"))
+        single = single.unionByName(several.select("row", share.alias("copies")).filter("copies > 0"))
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint")))
+    return single.withColumn("_copy", copy).select("row.*")

@@ -59,7 +59,7 @@ def test_leftmost_pair_first():
 def test_rows_equal_single_trees(coder):
     random = np.random.default_rng(1)
     pieces = [bytes(random.choice(list(b" abtheinon\xc3\xa9"), n).tolist()) for n in range(1, 17) for _ in range(30)]
-    rows = bpe.merged_rows(pieces, 16, coder.pairs, coder.bytes)
+    rows = bpe.merged_rows(pieces, 16, coder.pairs)
     assert [np.frombuffer(r, "<i4").tolist() for r in rows] == [bpe.merged(p, coder.ranks) for p in pieces]
 
 

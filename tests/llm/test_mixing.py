@@ -70,3 +70,14 @@ def test_awkward_rows(spark):
     assert taken.columns == rows.columns
     assert taken.count() == sum(r["copies"] for r in found)
     assert mixing.mix(empty(spark), "source", F.lit(1).cast("long"), []).count() == 0
+
+
+def test_equal_rows_share_their_copies(spark):
+    rows = spark.range(40).select(
+        F.when(F.col("id") < 30, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("s").alias("source"),
+        F.lit(3).cast("long").alias("size"), (F.col("id") % 2).alias("other"),
+    ).repartition(4)
+    taken = mixing.mix(rows, "source", F.col("size"), [F.col("doc_id")])
+    plain = mixing.mixed(rows, "source", F.col("size"), [F.col("doc_id")])
+    assert taken.count() == plain.agg(F.sum("copies")).first()[0] == 60
+    assert taken.filter("doc_id = 7").count() == plain.filter("row.doc_id = 7").agg(F.sum("copies")).first()[0]
