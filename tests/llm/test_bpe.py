@@ -68,7 +68,7 @@ def test_memory_is_bounded(coder, reference, monkeypatch):
     for i in range(20):
         text = f"word{i} other{i} a\nb{i} {'y' * 60}"
         assert coder.encode([text, text])[1].tolist() == reference.encode_ordinary(text)
-    assert len(coder.words) < 30 and not any(len(w) > 48 for w in coder.words)
+    assert len(coder.known) < 30 and not any(len(w) > 48 for w in coder.known)
 
 
 def test_query_equals_library(spark, sf_dir, reference):
