@@ -4,7 +4,8 @@ Vectors are dealt to lists by their nearest centroid and kept rotated, in blocks
 probed list a query first takes exact distances of the candidates that look nearest after one block; the
 worst of its k best is the limit. Then the other blocks are added one by one. After a rotation, the distance
 over the first t of D dimensions estimates the whole one, so a candidate whose partial distance, scaled up,
-exceeds the limit by more than chance allows is abandoned. Survivors get exact distances.
+exceeds the limit by more than chance allows is abandoned. Survivors get exact distances. The queries that probe a
+list are scanned together.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ PACK = 2_048
 QUERY_PACK = 256
 #: Queries whose best a task holds before it hands them on.
 QUERIES_PER_TASK = 50_000
+#: (query, candidate) pairs that are compared at once.
+PAIRS = 65_536
 ROUNDS = 8
 SEED = 7
 
@@ -131,34 +134,58 @@ def _packs(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
 
 
 def scan(
-    query: np.ndarray, turned: np.ndarray, own: np.ndarray, vectors: np.ndarray, blocks: list[np.ndarray], k: int,
-    known: float = math.inf,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, exact distances) of the candidates ``own`` that may be among the k nearest.
-
-    ``blocks`` are column blocks of the rotated vectors, ``turned`` the rotated query; ``known`` is the
-    distance of the k-th best that other lists have given.
+    queries: np.ndarray, turned: np.ndarray, own: np.ndarray, vectors: np.ndarray, blocks: list[np.ndarray], k: int,
+    known: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, exact distance) of the candidates that may be among the k nearest of each query.
+
+    ``blocks`` are column blocks of the rotated vectors, ``turned`` the rotated queries, ``own`` marks the
+    (query, row) pairs that are no candidates; ``known`` is the distance of the k-th best that each query has from
+    other lists. All queries of a pack go through a block together, as pairs that are still alive.
     """
-    def exact(rows):
-        return np.sqrt(((vectors[rows] - query) ** 2).sum(1))
-
-    dimensions, seen = len(query), blocks[0].shape[1]
-    if len(own) <= 2 * k:
-        return own, exact(own)
-    partial = ((blocks[0][own] - turned[:seen]) ** 2).sum(1)
-    first = own[np.argpartition(partial, 2 * k - 1)[:2 * k]]
-    limit = min(known, np.partition(exact(first), k - 1)[k - 1])
-    rows = own
-    for block in blocks[1:]:
+    def exact(q, v):
+        away = np.empty(len(q))
+        for i in range(0, len(q), PAIRS):
+            away[i:i + PAIRS] = np.sqrt(((vectors[v[i:i + PAIRS]] - queries[q[i:i + PAIRS]]) ** 2).sum(1))
+        return away
+
+    dimensions, seen, n = queries.shape[1], blocks[0].shape[1], len(vectors)
+    if n <= 2 * k:
+        q, v = np.nonzero(~own)
+        return q, v, exact(q, v)
+    asked, held = turned[:, :seen], blocks[0]
+    sizes = (asked * asked).sum(1)[:, None] + (held * held).sum(1)
+    partial = sizes - 2 * asked @ held.T
+    # What the product may lose by cancellation, so that it never abandons a candidate.
+    partial -= sizes * 1e-13
+    partial[own] = np.inf
+    first = np.argpartition(partial, 2 * k - 1, axis=1)[:, :2 * k]
+    q, v = np.repeat(np.arange(len(queries)), 2 * k), first.ravel()
+    away = np.where(own[q, v], np.inf, exact(q, v))
+    limit = np.minimum(known, np.partition(away.reshape(-1, 2 * k), k - 1, axis=1)[:, k - 1])
+
+    def most(seen):
         # A little slack keeps candidates at the limit itself from falling to rounding.
-        most = (limit * (1 + 1e-9) * (1 + EPSILON / math.sqrt(seen))) ** 2 * seen / dimensions + 1e-18
-        alive = partial <= most
-        rows, partial = rows[alive], partial[alive]
-        partial = partial + ((block[rows] - turned[seen:seen + block.shape[1]]) ** 2).sum(1)
-        seen += block.shape[1]
-    rows = rows[partial <= (limit * (1 + 1e-9)) ** 2 + 1e-18]
-    rows = np.union1d(rows, first)
-    return rows, exact(rows)
+        return (limit * (1 + 1e-9) * (1 + EPSILON / math.sqrt(seen))) ** 2 * seen / dimensions + 1e-18
+
+    tried = np.zeros(partial.shape, bool)
+    np.put_along_axis(tried, first, True, 1)
+    q2, v2 = np.nonzero((partial <= most(seen)[:, None]) & ~tried & ~own)
+    left = partial[q2, v2]
+    for block in blocks[1:]:
+        width = block.shape[1]
+        for i in range(0, len(q2), PAIRS):
+            part = slice(i, i + PAIRS)
+            left[part] += ((block[v2[part]] - turned[q2[part], seen:seen + width]) ** 2).sum(1)
+        seen += width
+        bound = most(seen) if seen < dimensions else (limit * (1 + 1e-9)) ** 2 + 1e-18
+        alive = left <= bound[q2]
+        q2, v2, left = q2[alive], v2[alive], left[alive]
+    near = ~own[q, v]
+    q, v, away = np.append(q[near], q2), np.append(v[near], v2), np.append(away[near], exact(q2, v2))
+    # No candidate beyond the limit can be among the k nearest.
+    good = away <= limit[q]
+    return q[good], v[good], away[good]
 
 
 class _Best:
@@ -199,10 +226,20 @@ def _search(frames: Iterator[pd.DataFrame], dimensions: int, k: int) -> Iterator
             queries = np.frombuffer(queries, np.float64).reshape(-1, dimensions)
             turned, asked = vectors @ turn, queries @ turn
             blocks = [np.ascontiguousarray(turned[:, i:i + BLOCK]) for i in range(0, dimensions, BLOCK)]
-            for query_id, query, spun in zip(query_ids.tolist(), queries, asked):
-                own = np.flatnonzero(ids != query_id)
-                rows, away = scan(query, spun, own, vectors, blocks, k, best.limit(query_id))
-                best.add(query_id, ids[rows], away)
+            step = max(1, PAIRS // max(len(ids), 1))
+            for start in range(0, len(query_ids), step):
+                names = query_ids[start:start + step]
+                known = np.array([best.limit(name) for name in names.tolist()])
+                q, v, away = scan(
+                    queries[start:start + step], asked[start:start + step], ids == names[:, None], vectors, blocks,
+                    k, known,
+                )
+                order = np.argsort(q, kind="stable")
+                q, v, away = q[order], v[order], away[order]
+                cuts = np.flatnonzero(np.diff(q)) + 1
+                for i, j in zip([0, *cuts], [*cuts, len(q)]):
+                    if i < j:
+                        best.add(int(names[q[i]]), ids[v[i:j]], away[i:j])
             if len(best.found) > QUERIES_PER_TASK:
                 yield best.rows()
     if best.found:
@@ -268,7 +305,8 @@ def search(
             asked.select(F.col("list"), F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")),
             "asked",
         )
-        units = index.join(asked, "list").repartition(F.xxhash64("ids", "query_ids"))
+        # Packs stay where the join has them; adaptive execution splits a list that holds many.
+        units = index.join(asked, "list")
         found = stored(
             units.select("ids", "vectors", "query_ids", "queries").mapInPandas(
                 lambda frames: _search(frames, dimensions, k), FOUND
