@@ -25,7 +25,7 @@ from revtide.operators import (
     vintages,
 )
 from revtide.oracle import sql
-from revtide.plans import curate, merge
+from revtide.plans import analysis, curate, merge
 from revtide.plans import vintages as ingest
 from revtide.schemas import COLLECTION_HISTORY, RAW, RAW_PATCHED, SERIES_METADATA
 from revtide.session import scratch_path
@@ -187,6 +187,30 @@ def analysis_tables(spark, sf):
     ).unionAll(read("release_statistics", "release_id", "observation_count"))
 
 
+@query("incremental_statistics", """
+    SELECT series_id, count(*) AS n_obs, round(avg(value), 6) AS mean_value,
+      round(stddev_samp(value), 6) AS stddev_value, min(value) AS min_value, max(value) AS max_value,
+      min(date) AS first_date, max(date) AS last_date, count(DISTINCT release_id) AS release_count
+    FROM fx_snapshots_big GROUP BY series_id""", "fx_snapshots_big")
+def incremental_statistics(spark, sf):
+    """Statistics of a table that came in two steps, the second of which reads one vintage of the table."""
+    path, states, target = (scratch_path(spark, n) for n in ("snapshots", "states", "analysis"))
+    rows = fx.snapshots_big(spark, sf)
+    for days, touched in (("vintage_date < '2002-04-01'", None), ("vintage_date = '2002-04-01'", "2002-04-01")):
+        tables.overwrite_touched(layout.compact(rows.filter(days), ["vintage_date"]), path, ["vintage_date"])
+        table = tables.read_table(spark, path, rows.schema)
+        day = None if touched is None else spark.range(1).select(F.lit(touched).cast("date").alias("vintage_date"))
+        analysis.refresh_states(table, states, ["vintage_date"], day)
+    paths = analysis.save_analysis_of_states(spark, states, target)
+    values = tables.read_table(spark, paths["value_statistics"])
+    covered = tables.read_table(spark, paths["series_coverage"])
+    return values.join(covered, "series_id").select(
+        "series_id", "n_obs", F.round("mean_value", 6).alias("mean_value"),
+        F.round("stddev_value", 6).alias("stddev_value"), "min_value", "max_value", "first_date", "last_date",
+        "release_count",
+    )
+
+
 @query("run_manifest", """
     SELECT 'totals' AS entry, total_releases AS releases, successful, failed,
       total_observations AS observations, total_series AS series, api_calls,

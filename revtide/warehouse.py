@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from revtide.functions.parsing import as_date
 from revtide.operators import changes, collection, ledger, quality, selection, upserts, vintages
 from revtide.plans import collection as runs
-from revtide.plans import curate, merge
+from revtide.plans import analysis, curate, merge
 from revtide.plans import vintages as ingest
 from revtide.schemas import PARTITION_COLUMNS, RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
 from revtide.session import stored
@@ -102,6 +102,16 @@ class Warehouse:
         curated = tables.read_table(self.spark, self.path("curated"))
         return curate.analyse(curated, self.path("analysis"))
 
+    def refresh_analysis(self, vintage_dates: Sequence[Day] | None = None) -> dict[str, str]:
+        """Statistics of the snapshots, brought up to date for some vintages, by default all; returns their paths."""
+        touched = None
+        if vintage_dates is not None:
+            days = [(as_date(v),) for v in vintage_dates]
+            touched = self.spark.createDataFrame(days, "vintage_date date")
+        states = self.path("analysis_states")
+        analysis.refresh_states(self.table("snapshots"), states, ["vintage_date"], touched)
+        return analysis.save_analysis_of_states(self.spark, states, self.path("snapshot_analysis"))
+
     # Merging
 
     def merge_observations(
