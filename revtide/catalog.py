@@ -26,6 +26,7 @@ from revtide.operators import (
 )
 from revtide.oracle import sql
 from revtide.plans import analysis, curate, merge
+from revtide.plans import collection as runs
 from revtide.plans import vintages as ingest
 from revtide.schemas import COLLECTION_HISTORY, RAW, RAW_PATCHED, SERIES_METADATA
 from revtide.session import scratch_path
@@ -113,6 +114,23 @@ def payload_observations(spark, sf):
     return landing.payload_observations(_pages(spark, sf))
 
 
+@query("payload_skipped_lines", """
+    SELECT count(*) + 1 + (SELECT count(*) FROM nation) AS lines, (SELECT count(*) FROM nation) + 1 AS skipped,
+      (SELECT count(*) FROM events) AS landed
+    FROM (SELECT DISTINCT CAST(floor(user_id / 10) + 9 + CASE WHEN event_type = 'purchase' AND event_id % 2 = 1
+            THEN 100000 ELSE 0 END AS INTEGER) AS release_id, floor(event_id / 500) AS page FROM events)""")
+def payload_skipped_lines(spark, sf):
+    """Pages among lines that are none: lines read, lines skipped, and rows landed."""
+    path, raw_path = scratch_path(spark, "pages"), scratch_path(spark, "raw")
+    fx.payload_pages(spark, sf).write.json(path)
+    names = fx.table(spark, sf, "nation").select(F.col("n_name").alias("value"))
+    broken = names.unionAll(spark.createDataFrame([('{"release_id": "x"}',)], "value string"))
+    broken.write.mode("append").text(path)
+    counts = runs.land_payload_counted(spark, path, raw_path, skip_corrupt=True)[1]
+    figures = [F.lit(counts[name]).cast("bigint").alias(name) for name in ("lines", "skipped")]
+    return landing.read_raw(spark, raw_path).agg(*figures, F.count("*").alias("landed"))
+
+
 @query("payload_series_metadata", """
     SELECT series_id, 'page ' || CAST(page AS VARCHAR) || ' ' || event_type AS title,
       'W' AS frequency, 'index' AS units, release_id

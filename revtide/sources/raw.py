@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from revtide.functions.parsing import as_date
 from revtide.operators.collection import DEFAULT_RELEASES
@@ -61,6 +61,14 @@ def read_payload_pages(spark: SparkSession, path: str, skip_corrupt: bool = Fals
     return spark.read.schema(PAYLOAD_PAGE).json(path, mode=mode)
 
 
+def judged_payload_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the files as a page and ``is_page``; a line that is none has nulls."""
+    corrupt = "_unreadable"
+    schema = StructType([*PAYLOAD_PAGE.fields, StructField(corrupt, StringType())])
+    lines = spark.read.schema(schema).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt)
+    return lines.select(*PAYLOAD_PAGE.names, F.col(corrupt).isNull().alias("is_page"))
+
+
 def payload_observations(pages: DataFrame) -> DataFrame:
     """Raw rows of all pages; a series without observations gives none."""
     series = pages.select(

@@ -50,6 +50,10 @@ class Warehouse:
         """Land downloaded payload pages; returns the quality of each release."""
         return runs.land_payload(self.spark, pages_path, self.path("raw"))
 
+    def land_payload_counted(self, pages_path: str, skip_corrupt: bool = False) -> tuple[DataFrame, dict[str, int]]:
+        """``land_payload`` with the lines read and those skipped because they are no page."""
+        return runs.land_payload_counted(self.spark, pages_path, self.path("raw"), skip_corrupt)
+
     def land(self, raw: DataFrame) -> None:
         """Land raw rows."""
         landing.land_raw(raw, self.path("raw"))
@@ -156,15 +160,16 @@ class Warehouse:
 
     def store_release(
         self, observations: DataFrame, release_id: int, vintage_date: Day,
-        triggered_by: str = "manual", api_version: str = "v2",
+        triggered_by: str = "manual", api_version: str = "v2", api_calls: int | None = None,
     ) -> dict[str, object]:
         """Merge a collected release, update its metadata and keep the run ledger.
 
-        ``observations`` has series_id, date and value. A failure is logged and raised.
+        ``observations`` has series_id, date and value; ``api_calls`` to the source brought them. A failure is
+        logged and raised.
         """
         run = f"run-{datetime.datetime.now():%Y%m%d-%H%M%S}-{uuid.uuid4().hex[:8]}"
         started = datetime.datetime.now()
-        context = {"triggered_by": triggered_by, "api_version": api_version}
+        context = {"triggered_by": triggered_by, "api_version": api_version, "api_calls": api_calls}
         self.log_run(run, release_id, started, **context)
         try:
             rows = observations.withColumn("release_id", F.lit(release_id).cast("int"))
