@@ -42,8 +42,9 @@ OPEN, MARK, CLOSE = "<turn>", "### ", "</turn>"
 _TEXT = re.compile(r"[\\<#]")
 _ROLE = re.compile(r"[\\<#:]")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-_TURN = re.compile(r"<turn>### ((?:\\.|[^\\:])*): ((?:\\.|<(?!/turn>)|[^\\<])*)</turn>\n", re.DOTALL)
-_PART = re.compile(r"<(image|audio|document) (\d+)\.(\d+)/>|((?:\\.|[^\\<])+)", re.DOTALL)
+# Possessive, so that no place to go back to is kept for a character or an escape of a long text.
+_TURN = re.compile(r"<turn>### ((?:[^\\:]++|\\.)*+): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
+_PART = re.compile(r"<(image|audio|document) (\d+)\.(\d+)/>|((?:[^\\<]++|\\.)++)", re.DOTALL)
 
 
 def escape(text: str, role: bool = False) -> str:

@@ -1,5 +1,7 @@
 """Formatting can be undone, whatever the texts hold; attachments are recorded in order."""
 
+import tracemalloc
+
 import pytest
 from compare import difference
 from hypothesis import given, settings
@@ -45,6 +47,21 @@ def test_round_trip(turns):
     assert found == turns
 
 
+@pytest.mark.parametrize("piece", ["word ", "a\\<# b", "\\", "<"])
+def test_memory_of_a_long_turn(piece):
+    text = piece * (2_000_000 // len(piece))
+    out = chat.format_turn(0, "user", [part("text", text)])[0]
+    tracemalloc.start()
+    try:
+        turn = chat._TURN.match(out)
+        kept = [m.span() for m in chat._PART.finditer(turn[2])]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert kept == [(0, len(turn[2]))] and peak < 4 * len(out) + 1_000_000
+    assert list(chat.parse_turns(out)) == [("user", [("text", text)])]
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).withColumn("conv_id", F.lit(None).cast("long")).withColumn("turn", F.col("doc_id") % 2)
     out = chat.formatted(rows, chat.text_part(F.col("text")), role="source")
