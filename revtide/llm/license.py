@@ -50,7 +50,7 @@ TEMPLATES = {
         "following conditions: The above copyright notice and this permission notice shall be included in all "
         "copies or substantial portions of the Software."
     ),
-    "BSD-3-Clause": (
+    "BSD-conditions": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met"
     ),
@@ -78,6 +78,17 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# The license that a template states, where it is not its name ...
+STATES = {"Apache-2.0-header": "Apache-2.0", "MIT-text": "MIT"}
+# ... and templates that several licenses share: how many words from the first word of a copy on tell which one it is,
+# the words that tell, and the license without any of them (none: the copy states no certain license).
+VARIANTS = {
+    "BSD-conditions": (300, {"endorse or promote products derived": "BSD-3-Clause"}, "BSD-2-Clause"),
+    "GPL-3.0": (16, {"version 2": "GPL-2.0", "version 3": "GPL-3.0"}, None),
+    "GPL-header": (48, {"version 2": "GPL-2.0", "version 3": "GPL-3.0"}, None),
+    "LGPL-header": (40, {"version 2.1": "LGPL-2.1", "version 3": "LGPL-3.0"}, None),
+}
+
 # Names of licenses as short notices state them, in uniform spelling (see ``uniform``). The short names
 # count beside "license", after "licensed under" and the like, or in an SPDX identifier; the full ones anywhere.
 SHORT_NAMES = {
@@ -299,15 +310,66 @@ class Scanner:
         return [sorted((self.templates[i].name, *f) for i, f in found.items()) for found in best]
 
 
+def copies(tokens: list[str], template: Template, least: float) -> list[tuple[int, float]]:
+    """(first word, share) of every copy of a template in a text, one after the other."""
+    runs = [tuple(tokens[i:i + SHINGLE]) for i in range(len(tokens) - SHINGLE + 1)]
+    held = [i for i, run in enumerate(runs) if run in template.set]
+    found, at = [], 0
+    while at < len(held):
+        seen, end = set(), at
+        while end < len(held) and held[end] < held[at] + 4 * template.segment:
+            if runs[held[end]] in seen and len(seen) >= least * len(template.set):
+                break
+            seen.add(runs[held[end]])
+            end += 1
+        if len(seen) >= least * len(template.set):
+            found.append((held[at], len(seen) / len(template.set)))
+            at = end
+        else:
+            at += 1
+    return found
+
+
+def stated(
+    text: str | None, matches: list[tuple[str, float, int, int]], templates: dict[str, Template], least: float
+) -> list[tuple[str, float, int, int]]:
+    """Matches of templates as licenses, one row each by its name: the largest share, of these the first copy.
+
+    Copies of a template that licenses share are told apart by the words that follow, up to the next copy.
+    """
+    tokens = words(text) if matches else []
+    found: dict[str, tuple[float, int, int]] = {}
+
+    def add(license: str, share: float, first: int, windows: int) -> None:
+        before = found.get(license, (0.0, first, 0))
+        best = (share, first) if (-share, first) < (-before[0], before[1]) else before[:2]
+        found[license] = (*best, before[2] + windows)
+
+    for name, share, first, windows in matches:
+        if name not in VARIANTS:
+            add(STATES.get(name, name), share, first, windows)
+            continue
+        reach, telling, otherwise = VARIANTS[name]
+        places = copies(tokens, templates[name], least) or [(first, share)]
+        for (at, own), (following, _) in zip(places, [*places[1:], (len(tokens), 0.0)]):
+            stretch = f" {' '.join(tokens[at:min(at + reach, following)])} "
+            named = {stretch.find(f" {w} "): license for w, license in telling.items() if f" {w} " in stretch}
+            license = named[min(named)] if named else otherwise
+            if license:
+                add(license, own, at, windows)
+    return sorted((license, *f) for license, f in found.items())
+
+
 def scanned(
     df: DataFrame, text: str = "text", templates: dict[str, str] | None = None, least: float = MIN_CONTAINMENT
 ) -> DataFrame:
     """``row`` (all columns of ``df``) and ``matches`` (array of ``MATCH``), one row per row of ``df``.
 
     A match has the share of the template in its best window and the word at which it begins there (the
-    first such window on ties). A license that is only named in a short notice has the share 1 and no window. Null
-    texts have none; a text that repeats a template has one match. With ``templates`` of the caller only those
-    are searched. Templates are few and travel with the task; nothing is shuffled.
+    first such window on ties). A license has one match, however many templates state it and however often; one that
+    is only named in a short notice has the share 1 and no window. Null and empty texts have none, repeated rows are
+    rows each, an empty table has none, and columns of any name are kept in ``row``. With ``templates`` of the caller
+    only those are searched, under their own names. Templates are few and travel with the task; nothing is shuffled.
     """
     text_batches(df.sparkSession)
     texts = templates or TEMPLATES
@@ -315,8 +377,11 @@ def scanned(
     @pandas_udf(MATCH)
     def matches(batch: pd.Series) -> pd.Series:
         names = ("license", "containment", "first_word", "windows")
-        found = Scanner(texts, least).scan(batch.tolist())
+        scanner = Scanner(texts, least)
+        found = scanner.scan(batch.tolist())
         if not templates:
+            named = {t.name: t for t in scanner.templates}
+            found = [stated(text, own, named, least) for text, own in zip(batch, found)]
             for own, text in zip(found, batch):
                 known = {name for name, *_ in own}
                 own += [(n, 1.0, first, 0) for n, first in short_notices(text).items() if n not in known]
@@ -328,6 +393,9 @@ def scanned(
 
 
 def listed(df: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """(doc_id, license, containment, first_word) per document and license found in it."""
+    """(doc_id, license, containment, first_word) per document and license found in it; a null id stays null.
+
+    Rows of the same id are documents each. An ``id_column`` called like a result column is no clash.
+    """
     found = scanned(df, **options)
     return found.select(F.col(f"row.{id_column}").alias("doc_id"), F.inline("matches")).drop("windows")

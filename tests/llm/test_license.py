@@ -3,6 +3,7 @@
 from texts import PROSE, awkward, empty
 
 from revtide.llm import license
+from revtide.llm.queries import op7_license_windows
 
 
 def plain(text, least=0.8):
@@ -53,3 +54,38 @@ def test_reworded_notices(spark):
     for r in license.listed(rows).orderBy("doc_id", "license").collect():
         found[r["doc_id"]].append(r["license"])
     assert dict(zip(notices, found.values())) == notices
+
+
+BSD_3 = "Neither the name of the holder nor the names may be used to endorse or promote products derived from this software"
+
+
+def test_one_id_per_license():
+    scanner = license.Scanner(license.TEMPLATES)
+    named = {t.name: t for t in scanner.templates}
+    parts = license.TEMPLATES
+    bsd, gpl, lgpl = parts["BSD-conditions"], parts["GPL-header"], parts["LGPL-header"]
+    wanted = {
+        bsd + " 1. Redistributions of source code": {"BSD-2-Clause"}, bsd + " 1. source code 3. " + BSD_3: {"BSD-3-Clause"},
+        f"{bsd} x {PROSE} {bsd} y {BSD_3}": {"BSD-2-Clause", "BSD-3-Clause"}, BSD_3: set(),
+        f"{bsd} {PROSE * 9} {BSD_3}": {"BSD-2-Clause"},
+        parts["Apache-2.0-header"]: {"Apache-2.0"}, parts["MIT-text"] + " " + parts["MIT"]: {"MIT"},
+        gpl: {"GPL-3.0"}, gpl.replace("version 3", "version 2"): {"GPL-2.0"},
+        parts["GPL-3.0"].replace("version 3", "version 2"): {"GPL-2.0"},
+        lgpl + "; either version 2.1 of the License": {"LGPL-2.1"}, lgpl + "; either version 3": {"LGPL-3.0"}, lgpl: set(),
+    }
+    for text, licenses in wanted.items():
+        (own,) = scanner.scan([text])
+        found = license.stated(text, own, named, license.MIN_CONTAINMENT)
+        assert {name for name, *_ in found} == licenses, text
+        assert len(found) == len(licenses) and all(share >= 0.8 for _, share, *_ in found)
+
+
+def test_query_equals_every_window(spark, sf_dir):
+    wanted = set()
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        names = {license.STATES.get(n, n) for n in plain(r["text"])}
+        assert not names & (set(license.VARIANTS) - {"GPL-3.0"})
+        wanted |= {(r["doc_id"], n) for n in names | set(license.short_notices(r["text"]))}
+    rows = op7_license_windows(spark, sf_dir).collect()
+    assert len(rows) == len(wanted) and {(r["doc_id"], r["license"]) for r in rows} == wanted
+    assert wanted
