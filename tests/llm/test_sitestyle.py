@@ -1,6 +1,7 @@
 """Main texts of pages of known kinds; boilerplate that only the merged tree of a host shows."""
 
 import re
+import time
 from html import unescape
 
 from pyspark.sql import functions as F
@@ -98,6 +99,60 @@ def test_small_hosts(spark):
     assert texts_of(spark, [page.format(i) for i in range(4)])[2] == "read 2 times the same long story on every page"
 
 
+def test_comments_and_sidebars_go():
+    page = ("<div class=text>{}</div><div class=comments><h3>3 comments</h3><p>first!</p></div>"
+            "<div class=sidebar><h3>More</h3><a>links</a></div>")
+    text = "a story of some length that goes on for a while"
+    assert sitestyle.main_text(page.format(text)) == text
+    legal = f"<div><p>{text} {text}</p><div class=notice><h2>Terms</h2><p>of the law</p></div></div>"
+    assert sitestyle.main_text(legal) == f"{text} {text} Terms of the law"
+
+
+def test_tree_without_telling_markup(spark):
+    page = ("<body><div><ul><li>Home<li>News<li>Shop</ul></div><div><p>Acme daily, the best of the town</p></div>"
+            "<div><h2>Story {0}</h2><p>what {0} did on day {0}<p>and then {0} left</div>"
+            "<div><p>Buy at {1}</p></div><div>(c) Acme, all rights</div></body>")
+    # Same places, so only the contents tell them apart; each element stands on a path of its own by its order.
+    page = re.sub("<div>", lambda m, n=iter("vwxyz"): f"<div id={next(n)}>", page)
+    for markup in (True, False):
+        rows = [(i, "http://h/", page.format(i, i % 2)) for i in range(120)]
+        found = sitestyle.extracted(spark.createDataFrame(rows, "page_id long, url string, html string"), markup=markup)
+        for r in found.select("row.page_id", "text").collect():
+            i = r["page_id"]
+            assert r["text"] == f"Story {i} what {i} did on day {i} and then {i} left"
+
+
+def test_few_pages_take_less(spark):
+    page = "<body><div class=a><p>{0}</p></div><div class=b><p>{1}</p></div></body>"
+    tag, story = "Acme daily", "story {} goes on and on for quite a while and has an end"
+    for n in (2, 3, 12):
+        assert texts_of(spark, [page.format(tag, story.format(i)) for i in range(n)]) == dict(enumerate(map(story.format, range(n))))
+    half = story.format("of all")
+    assert set(texts_of(spark, [page.format(half, story.format(i)) for i in range(2)]).values()) == {
+        f"{half} {story.format(i)}" for i in range(2)}
+    assert texts_of(spark, [page.format(half, story.format(i)) for i in range(12)]) == dict(enumerate(map(story.format, range(12))))
+
+
+def test_hostile_pages_take_linear_time():
+    for make in (
+        lambda n: "<div>" * n + "x" + "</div>" * n, lambda n: "<a " * n, lambda n: "<a \"x>\"" * n + "'", lambda n: "<a" * n,
+        lambda n: "<span>" * n + "<hr>" * n, lambda n: "<div>" * n + "</p>" * n, lambda n: "<div><p>word " * n,
+        lambda n: "<!-" * n, lambda n: "<a '" * n, lambda n: "</" * n, lambda n: "&" * n, lambda n: "<li><ul>" * n,
+    ):
+        page = make(1_000_000 // len(make(1)))
+        start = time.process_time()
+        words, spans = sitestyle.outline(sitestyle.parse(page))
+        sitestyle.styles(words, spans)
+        sitestyle.main_text(page, {1: 1.0})
+        assert time.process_time() - start < 30, page[:20]
+
+
+def test_deep_elements_close_themselves():
+    deep = "<div>" * 600 + "deep" + "</div>" * 600 + "<p>after</p>"
+    root = sitestyle.parse(deep)
+    assert sitestyle.main_text(deep) == "deep after" and len(root.children) == 2
+
+
 def test_awkward_rows(spark):
     rows = awkward(spark).withColumn("url", F.col("source"))
     assert sitestyle.extracted(rows, html="text").count() == rows.count()
