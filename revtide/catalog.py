@@ -28,9 +28,9 @@ from revtide.oracle import sql
 from revtide.plans import analysis, curate, merge
 from revtide.plans import collection as runs
 from revtide.plans import vintages as ingest
-from revtide.schemas import COLLECTION_HISTORY, RAW, RAW_PATCHED, SERIES_METADATA
+from revtide.schemas import CLUSTER_COLUMNS, COLLECTION_HISTORY, PARTITION_COLUMNS, RAW, RAW_PATCHED, SERIES_METADATA
 from revtide.session import scratch_path
-from revtide.sources import files, mutation
+from revtide.sources import clustering, files, mutation
 from revtide.sources import raw as landing
 from revtide.sources import tables
 from revtide.streaming import events
@@ -983,6 +983,21 @@ def cluster_partitioned_table(spark, sf):
     return tables.read_table(spark, path)
 
 
+@query("cluster_changed_partitions", """
+    SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
+    FROM fx_snapshots_big WHERE month(date) IS DISTINCT FROM 2
+    UNION ALL SELECT * REPLACE (-1.5 AS value), CAST(year(date) AS INTEGER) AS year, 2 AS month
+    FROM fx_snapshots_big WHERE month(date) = 2""", "fx_snapshots_big")
+def cluster_changed_partitions(spark, sf):
+    path, record = scratch_path(spark, "curated"), scratch_path(spark, "layout")
+    columns, partitions = CLUSTER_COLUMNS["curated"], PARTITION_COLUMNS["curated"]
+    tables.overwrite_by_month(monthly(spark, sf), path)
+    clustering.cluster_stored(spark, path, record, columns, partitions)
+    mutation.update_stored(spark, path, partitions, F.col("month") == 2, {"value": F.lit(-1.5)})
+    clustering.cluster_stored(spark, path, record, columns, partitions)
+    return tables.read_table(spark, path)
+
+
 @query("compact_table", "SELECT * FROM fx_snapshots_big", "fx_snapshots_big")
 def compact_table(spark, sf):
     path = scratch_path(spark, "table")

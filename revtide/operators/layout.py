@@ -11,6 +11,9 @@ from pyspark.sql.types import DateType, MapType, NumericType, TimestampType
 from revtide.functions.clustering import bucket_of, interleave_bits
 
 CLUSTER_BITS = 6
+#: Bytes that a file of a clustered table should have, and the bits of a key at least and at most.
+FILE_BYTES = 128 << 20
+LEAST_BITS, MOST_BITS = 2, 8
 
 
 def repartition_by_series(df: DataFrame) -> DataFrame:
@@ -44,6 +47,12 @@ def range_bounds(df: DataFrame, column: str, buckets: int) -> list:
     return sorted(set(found))
 
 
+def bits_for(size: int, columns: int) -> int:
+    """Bits per column for rows of so many bytes: four times as many ranges a column as the files need."""
+    files = max(1, -(-size // FILE_BYTES))
+    return min(MOST_BITS, max(LEAST_BITS, -(-(files - 1).bit_length() // columns) + 2))
+
+
 def cluster_key(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS) -> Column:
     """Space-filling key: rows near each other in all columns get near keys. Reads the columns."""
     buckets = [bucket_of(F.col(c), range_bounds(df, c, 1 << bits)) for c in columns]
@@ -55,6 +64,7 @@ def cluster(
     columns: Sequence[str],
     partition_columns: Sequence[str] = (),
     files: int | None = None,
+    bits: int = CLUSTER_BITS,
 ) -> DataFrame:
     """Rows range-partitioned and sorted along the key, so files cover narrow ranges of each column.
 
@@ -64,7 +74,7 @@ def cluster(
     """
     order = [*(F.col(c) for c in partition_columns), F.col("_cluster"), *(F.col(c) for c in columns)]
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    keyed = df.withColumn("_cluster", cluster_key(df, columns))
+    keyed = df.withColumn("_cluster", cluster_key(df, columns, bits))
     ranges = [*order, F.xxhash64(*hashable)]
     ranged = keyed.repartitionByRange(files, *ranges) if files else keyed.repartitionByRange(*ranges)
     return ranged.sortWithinPartitions(*order).drop("_cluster")

@@ -32,7 +32,7 @@ def update_stored(
     rows, touched = _touched(spark, path, partitions, condition, schema)
     counts = _counts(touched, "updated")
     if counts["updated"]:
-        changed = update_where(_within(rows, touched, partitions), _known(condition), values)
+        changed = update_where(within(rows, touched, partitions), _known(condition), values)
         overwrite_touched(compact(changed, partitions), path, partitions)
     return counts
 
@@ -49,7 +49,7 @@ def delete_stored(
     counts = _counts(touched, "deleted")
     if not counts["deleted"]:
         return counts
-    kept = _within(rows, touched, partitions).filter(~_known(condition))
+    kept = within(rows, touched, partitions).filter(~_known(condition))
     left = stored(kept.select(*partitions).distinct(), "left").withColumnsRenamed({p: f"_{p}" for p in partitions})
     same = [touched[p].eqNullSafe(left[f"_{p}"]) for p in partitions]
     emptied = stored(touched.join(left, same, "left_anti").select("_folder"), "emptied")
@@ -79,7 +79,7 @@ def _counts(touched: DataFrame, name: str) -> dict[str, int]:
     return {name: found[0] or 0, "partitions": found[1]}
 
 
-def _within(rows: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def within(rows: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows of the touched partitions. A plain join on partition columns lets Spark skip other directories."""
     names = touched.select(*[F.col(p).alias(f"_{p}") for p in partitions])
     known = reduce(lambda a, b: a & b, [F.col(f"_{p}").isNotNull() for p in partitions])

@@ -15,9 +15,11 @@ from revtide.operators import changes, collection, ledger, quality, selection, u
 from revtide.plans import collection as runs
 from revtide.plans import analysis, curate, merge
 from revtide.plans import vintages as ingest
-from revtide.schemas import PARTITION_COLUMNS, RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of
+from revtide.schemas import (
+    CLUSTER_COLUMNS, PARTITION_COLUMNS, RAW_PATCHED, RELEASE_METADATA, SERIES_METADATA, TABLES, schema_of,
+)
 from revtide.session import stored
-from revtide.sources import mutation, tables
+from revtide.sources import clustering, mutation, tables
 from revtide.sources import raw as landing
 from revtide.streaming import events
 
@@ -275,10 +277,19 @@ class Warehouse:
     # Maintenance
 
     def optimize(self, names: Sequence[str] | None = None) -> None:
-        """Cluster or compact tables, by default all that exist."""
+        """Cluster or compact tables, by default all that exist.
+
+        Of a partitioned table with cluster columns only the partitions that changed since the last time are rewritten.
+        """
         for name in names or TABLES:
             if tables.table_exists(self.spark, self.path(name)):
-                tables.optimize_table(self.spark, self.path(name), name)
+                if PARTITION_COLUMNS.get(name) and CLUSTER_COLUMNS.get(name):
+                    clustering.cluster_stored(
+                        self.spark, self.path(name), self.path(f"layout/{name}"), CLUSTER_COLUMNS[name],
+                        PARTITION_COLUMNS[name],
+                    )
+                else:
+                    tables.optimize_table(self.spark, self.path(name), name)
                 if name != "operations":
                     self._done(name, "OPTIMIZE", {})
 

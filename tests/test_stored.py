@@ -7,12 +7,14 @@ import pytest
 from frames import D1, D2, V1, V2, V3, snapshot
 from pyspark.sql import functions as F
 
+from revtide.operators.layout import bits_for
 from revtide.operators.ledger import conform
 from revtide.operators.quality import QualityError
 from revtide.operators.upserts import upsert_series_metadata
 from revtide.plans import vintages
 from revtide.plans.curate import curate_counted
 from revtide.schemas import RAW, SERIES_METADATA
+from revtide.sources.clustering import cluster_stored
 from revtide.sources.mutation import delete_stored, update_stored
 from revtide.sources.tables import overwrite_touched, read_table, save
 from revtide.warehouse import Warehouse
@@ -169,3 +171,34 @@ def test_a_delivery_without_values_does_not_pass(spark, tmp_path):
         house.curate("2024-02-01")
     house.land(raw(spark, GOOD))
     assert house.curate_counted("2024-02-01")[1]["written"] == 1
+
+
+def test_clustering_leaves_unchanged_partitions(spark, table, tmp_path):
+    record, columns = str(tmp_path / "layout"), ["series_id", "date"]
+    rows = lambda: sorted(map(str, read_table(spark, table).collect()))
+    before = rows()
+    first = cluster_stored(spark, table, record, columns, PARTITIONS)
+    assert first["partitions"] == len(files(table)) and rows() == before
+    clustered = files(table)
+    assert cluster_stored(spark, table, record, columns, PARTITIONS) == {"partitions": 0, "files": 0, "bytes": 0}
+    assert files(table) == clustered
+    # A changed partition, one whose release is null, and a new one are rewritten; the others keep their files.
+    update_stored(spark, table, PARTITIONS, F.col("series_id") == "C", {"value": F.lit(9.0)})
+    overwrite_touched(snapshot(spark, ("D", D1, V2, 1.0, 7)), table, PARTITIONS)
+    changed, before = files(table), rows()
+    assert cluster_stored(spark, table, record, columns, PARTITIONS)["partitions"] == 2
+    assert rows() == before
+    same = {folder for folder in changed if files(table)[folder] == changed[folder]}
+    assert same == {folder for folder in clustered if changed[folder] == clustered[folder]} and len(same) == len(changed) - 2
+    assert cluster_stored(spark, table, record, columns, PARTITIONS)["partitions"] == 0
+
+
+def test_a_failed_clustering_is_done_again(spark, table, tmp_path):
+    record = str(tmp_path / "layout")
+    with pytest.raises(Exception, match="missing"):
+        cluster_stored(spark, table, record, ["missing"], PARTITIONS)
+    assert cluster_stored(spark, table, record, ["series_id"], PARTITIONS)["partitions"] == len(files(table))
+
+
+def test_ranges_follow_the_bytes():
+    assert [bits_for(n << 20, 2) for n in (0, 1, 128, 1280, 1 << 20)] == [2, 2, 2, 4, 8]
