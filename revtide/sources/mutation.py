@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revtide.operators.layout import compact, update_where
+from revtide.schemas import BUCKET
 from revtide.session import stored
-from revtide.sources.tables import overwrite_touched, read_table, remove
+from revtide.sources.tables import BY_BUCKET, BY_RELEASE, in_layout, overwrite_touched, read_table, remove, sliced_by
 
 
 def update_stored(
@@ -26,7 +27,7 @@ def update_stored(
 
     Partition columns cannot be set: that would move rows. An unknown condition changes nothing.
     """
-    moved = set(values) & set(partitions)
+    moved = set(values) & {*partitions, *(BY_RELEASE if partitions == BY_BUCKET else [])}
     if moved:
         raise ValueError(f"partition columns cannot be updated: {sorted(moved)}")
     rows, touched = _touched(spark, path, partitions, condition, schema)
@@ -90,3 +91,20 @@ def within(rows: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> Da
         safe = [rows[p].eqNullSafe(unknown[f"_{p}"]) for p in partitions]
         found = found.unionByName(rows.join(unknown, safe, "left_semi"))
     return found
+
+
+def with_neighbours(rows: DataFrame, path: str, slices: DataFrame, schema: StructType) -> DataFrame:
+    """Rows that replace (release, vintage) slices of a table in buckets, and the rows of other slices in their directories.
+
+    Writing them over the touched directories replaces the slices and keeps the others. Needs slices that cost little.
+    """
+    spark = rows.sparkSession
+    rows = in_layout(rows, BY_BUCKET)
+    if sliced_by(spark, path)[0] is None:
+        return rows
+    slices = slices.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in BY_RELEASE]).distinct()
+    touched = stored(in_layout(slices, BY_BUCKET).select(*BY_BUCKET).distinct(), "touched")
+    there = within(read_table(spark, path, schema).select(*schema.names, BUCKET), touched, BY_BUCKET)
+    names = slices.select(*[F.col(c).alias(f"_{c}") for c in BY_RELEASE])
+    others = there.join(names, [there[c].eqNullSafe(names[f"_{c}"]) for c in BY_RELEASE], "left_anti")
+    return rows.unionByName(others, allowMissingColumns=True)

@@ -3,26 +3,35 @@
 Plain Parquet by default; ``fmt`` may name any installed file format. Replacing rows means
 rewriting the partitions they are in, with dynamic partition overwrite: the old files of a
 partition go away only when the job commits.
+
+Tables by vintage and release have a directory for each release while these are few. Beyond that the
+releases of a vintage share directories by a hash of their id, so that neither files nor what the driver lists and
+renames grow with the number of releases. Which of the two a table has is seen from the names of its directories.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from revtide.operators.layout import cluster, compact
 from revtide.operators.ledger import conform
 from revtide.operators.statistics import release_statistics, series_coverage, value_statistics
-from revtide.schemas import CLUSTER_COLUMNS, PARTITION_COLUMNS, schema_of
+from revtide.schemas import BUCKET, CLUSTER_COLUMNS, PARTITION_COLUMNS, schema_of
 from revtide.session import stored
 
 DEFAULT_FORMAT = "parquet"
 COMPRESSION = "snappy"
 
+BY_RELEASE, BY_BUCKET = ["vintage_date", "release_id"], ["vintage_date", BUCKET]
+#: Releases that a write or a vintage may have with a directory for each, and the buckets of a vintage beyond that.
+MOST_RELEASES = 512
+RELEASE_BUCKETS = 64
+
 
 def read_table(
     spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = DEFAULT_FORMAT
@@ -50,12 +59,90 @@ def ensure_table(spark: SparkSession, path: str, table: str, fmt: str = DEFAULT_
 
 
 def append(df: DataFrame, path: str, table: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Add rows to a known table, in its column order and types."""
+    """Add rows to a known table, in its column order and types; rows of one directory are brought together first."""
     partitions = PARTITION_COLUMNS.get(table, [])
-    writer = conform(df, schema_of(table)).write.format(fmt).mode("append")
+    rows = conform(df, schema_of(table))
+    if partitions == BY_RELEASE:
+        rows, partitions = sliced(rows, path, schema_of(table), fmt)
+        rows = compact(rows, partitions)
+    writer = rows.write.format(fmt).mode("append")
     writer.option("compression", COMPRESSION).partitionBy(*partitions).save(path)
 
 
+def release_bucket() -> Column:
+    """Bucket of a row's release in a table whose releases share directories."""
+    return F.pmod(F.xxhash64(F.col("release_id").cast("int")), F.lit(RELEASE_BUCKETS)).cast("int").alias(BUCKET)
+
+
+def vintage_folders(spark: SparkSession, path: str) -> list:
+    """Directories of a table's vintages; only names are listed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(folder) if system.exists(folder) else []
+    return [s.getPath() for s in found if s.isDirectory() and s.getPath().getName().startswith("vintage_date=")]
+
+
+def sliced_by(spark: SparkSession, path: str) -> tuple[list[str] | None, int]:
+    """Partition columns of a table by vintage, or None while it has no rows, and the most directories of a vintage."""
+    columns, most = None, 0
+    for vintage in vintage_folders(spark, path):
+        inner = vintage.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(vintage)
+        most = max(most, len(inner))
+        if columns is None and len(inner):
+            columns = BY_BUCKET if inner[0].getPath().getName().startswith(f"{BUCKET}=") else BY_RELEASE
+    return columns, most
+
+
+def partitions_of(spark: SparkSession, path: str, table: str) -> list[str]:
+    """Partition columns of a known table as it is stored."""
+    partitions = PARTITION_COLUMNS.get(table, [])
+    return (sliced_by(spark, path)[0] or partitions) if partitions == BY_RELEASE else partitions
+
+
+def slice_layout(
+    spark: SparkSession, path: str, releases: DataFrame, schema: StructType, fmt: str = DEFAULT_FORMAT,
+    pieces: Callable[[], list[DataFrame]] | None = None,
+) -> list[str]:
+    """Partition columns that rows of these releases are to be written with.
+
+    A table goes over to buckets, for good, before a write that has more than ``MOST_RELEASES`` releases or if one of its
+    vintages has. Frames of it read before are then out of date. ``pieces`` are its rows by vintages
+    with the columns to keep, by default all rows with those of the schema.
+    """
+    columns, most = sliced_by(spark, path)
+    if columns == BY_BUCKET:
+        return columns
+    if most <= MOST_RELEASES:
+        distinct = releases.select("release_id").distinct()
+        if distinct.limit(MOST_RELEASES + 1).count() <= MOST_RELEASES:
+            return BY_RELEASE
+    if columns is not None:
+        old = pieces() if pieces else [read_table(spark, path, schema, fmt).select(*schema.names)]
+        old = [stored(in_layout(piece, BY_BUCKET), "old") for piece in old]
+        for i, piece in enumerate(old):
+            writer = compact(piece, BY_BUCKET).write.format(fmt).mode("append" if i else "overwrite")
+            writer.option("partitionOverwriteMode", "static").option("compression", COMPRESSION).partitionBy(
+                *BY_BUCKET
+            ).save(path)
+    return BY_BUCKET
+
+
+def in_layout(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows with the bucket of their release if the partition columns name it."""
+    return rows.withColumn(BUCKET, release_bucket()) if BUCKET in partitions else rows
+
+
+def sliced(
+    rows: DataFrame, path: str, schema: StructType, fmt: str = DEFAULT_FORMAT
+) -> tuple[DataFrame, list[str]]:
+    """Rows to be written by vintage and release, and the partition columns; computed once, into a stored table."""
+    spark = rows.sparkSession
+    if sliced_by(spark, path)[0] != BY_BUCKET:
+        rows = stored(rows, "sliced")
+    partitions = slice_layout(spark, path, rows, schema, fmt)
+    return in_layout(rows, partitions), partitions
+
+
 def overwrite_touched(
     df: DataFrame, path: str, partitions: Sequence[str], fmt: str = DEFAULT_FORMAT
 ) -> None:
@@ -110,7 +197,7 @@ def optimize_table(
     read while it is replaced, so its new rows are stored first.
     """
     rows = read_table(spark, path)
-    partitions = [c for c in PARTITION_COLUMNS.get(table, []) if c in rows.columns]
+    partitions = [c for c in partitions_of(spark, path, table) if c in rows.columns]
     columns = [c for c in CLUSTER_COLUMNS.get(table, []) if c in rows.columns]
     if columns:
         laid_out = cluster(rows, columns, partitions, files)
