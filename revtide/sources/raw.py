@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -10,10 +12,12 @@ from revtide.functions.parsing import as_date
 from revtide.operators.collection import DEFAULT_RELEASES
 from revtide.operators.layout import compact
 from revtide.operators.observations import first_per_key
-from revtide.schemas import PAYLOAD_PAGE, RAW, RAW_PATCHED
-from revtide.sources.tables import overwrite_touched
+from revtide.schemas import BUCKET, PAYLOAD_PAGE, RAW, RAW_PATCHED
+from revtide.session import stored
+from revtide.sources.mutation import with_neighbours
+from revtide.sources.tables import BY_BUCKET, BY_RELEASE, overwrite_touched, slice_layout, vintage_folders
 
-LANDING_PARTITIONS = ["vintage_date", "release_id"]
+LANDING_PARTITIONS = BY_RELEASE
 
 
 def read_raw(
@@ -38,18 +42,39 @@ def delivered_columns(spark: SparkSession, path: str, vintage_date: str | None =
     """
     files = spark.read.option("mergeSchema", True).option("basePath", path)
     name = "" if vintage_date is None else f"/vintage_date={as_date(vintage_date).isoformat()}"
-    return files.parquet(f"{path}{name}").columns
+    return [c for c in files.parquet(f"{path}{name}").columns if c != BUCKET]
+
+
+def _pieces(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Landed rows by the columns that the files of their vintage have, so that these stay as delivered."""
+    days = defaultdict(list)
+    for folder in (f.toString() for f in vintage_folders(spark, path)):
+        files = spark.read.option("mergeSchema", True).option("basePath", path).parquet(folder)
+        days[tuple(c for c in RAW_PATCHED.names if c in files.columns)].append(folder)
+    return [
+        spark.read.schema(RAW_PATCHED).option("basePath", path).parquet(*folders).select(*names)
+        for names, folders in days.items()
+    ]
 
 
 def land_raw(raw: DataFrame, path: str) -> None:
-    """Write raw rows below ``vintage_date=…/release_id=…``, replacing only those directories.
+    """Write raw rows below ``vintage_date=…/release_id=…``, replacing only the rows of these vintages of the releases.
 
     A release date is landed where there is one. Rows of one directory are brought together first; a big
-    release is split over several files.
+    release is split over several files. Of many releases (``slice_layout``) those of a bucket share a directory
+    ``vintage_date=…/_bucket=…``, of which other releases' rows are read and written again.
     """
+    spark = raw.sparkSession
     names = [c for c in RAW_PATCHED.names if c in RAW.names or c in raw.columns]
-    rows = compact(raw.select(*names), LANDING_PARTITIONS)
-    overwrite_touched(rows, path, LANDING_PARTITIONS)
+    rows = stored(raw.select(*names), "landed")
+    partitions = slice_layout(spark, path, rows, RAW_PATCHED, pieces=lambda: _pieces(spark, path))
+    if partitions == BY_BUCKET:
+        day, release = F.col("vintage_date").cast("string"), F.col("release_id").cast("int")
+        rows = rows.withColumns({"vintage_date": F.nullif(day, F.lit("")), "release_id": release})
+        slices = stored(rows.select(*LANDING_PARTITIONS).distinct(), "slices")
+        dated = vintage_folders(spark, path) and "release_date" in delivered_columns(spark, path)
+        rows = with_neighbours(rows, path, slices, RAW_PATCHED if dated else RAW)
+    overwrite_touched(compact(rows, partitions), path, partitions)
 
 
 def read_payload_pages(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
