@@ -14,11 +14,20 @@ from revtide.operators.layout import compact
 from revtide.operators.observations import dedup_vintage_key, to_snapshot
 from revtide.operators.upserts import upsert_snapshot
 from revtide.operators.vintages import KEY
-from revtide.schemas import BUCKET, BUCKET_KEYS, PARTITION_COLUMNS, SNAPSHOTS, schema_of
+from revtide.schemas import BUCKET, BUCKET_KEYS, SNAPSHOTS, schema_of
 from revtide.session import observed, stored
 from revtide.sources.files import file_counts, probe_files
 from revtide.sources.raw import read_raw
-from revtide.sources.tables import ensure_table, overwrite_touched, read_table, table_exists
+from revtide.sources.mutation import with_neighbours
+from revtide.sources.tables import (
+    BY_BUCKET,
+    ensure_table,
+    in_layout,
+    overwrite_touched,
+    read_table,
+    slice_layout,
+    table_exists,
+)
 
 Day = str | datetime.date
 
@@ -63,19 +72,24 @@ def ingest_counts(
     """
     ensure_table(spark, table_path, "snapshots")
     raw = read_raw(spark, raw_path)
+    if vintages is not None:
+        raw = raw.filter(F.col("vintage_date").isin([as_date(v).isoformat() for v in vintages]))
+    partitions = slice_layout(spark, table_path, raw, SNAPSHOTS)
     target = read_snapshots(spark, table_path)
     if vintages is None:
         days = stored(landed_vintages(raw), "vintages")
         target = target.join(days, "vintage_date", "left_semi")
     else:
-        days = [as_date(v) for v in vintages]
-        raw = raw.filter(F.col("vintage_date").isin([d.isoformat() for d in days]))
-        target = target.filter(F.col("vintage_date").isin(days))
+        target = target.filter(F.col("vintage_date").isin([as_date(v) for v in vintages]))
     typed = to_snapshot(raw, keep=["collected_at"]).dropna(subset=KEY)
     source = dedup_vintage_key(typed, [*KEY, "vintage_date"]).drop("collected_at")
     merged = upsert_snapshot(target, source)
-    partitions = PARTITION_COLUMNS["snapshots"]
-    laid_out = compact(merged, partitions).sortWithinPartitions(*partitions, "series_id", "date")
+    if partitions == BY_BUCKET and vintages is None:
+        # Rows of a known vintage are all in ``merged``, those of vintages that are no date are not.
+        undated = stored(typed.filter("vintage_date IS NULL").select("release_id", "vintage_date").distinct(), "undated")
+        merged = with_neighbours(merged, table_path, undated, SNAPSHOTS)
+    laid_out = compact(in_layout(merged, partitions), partitions)
+    laid_out = laid_out.sortWithinPartitions(*partitions, "release_id", "series_id", "date")
     overwrite_touched(laid_out, table_path, partitions)
     unkeyed = F.col("release_id").isNull() | F.col("series_id").isNull() | parse_date(F.col("date")).isNull()
     landed = raw.groupBy(parse_date(F.col("vintage_date")).alias("vintage_date")).agg(
