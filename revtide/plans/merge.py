@@ -1,7 +1,7 @@
 """Merging into the change log: one vintage at a time or whatever a batch touched.
 
-The log is partitioned by vintage and release. A merge replaces the directories of the (release, vintage)
-slices it derives and touches no other, so repeating it changes nothing. A delivery is read once, into a stored table
+The log is partitioned by vintage and release, or by vintage and bucket of the release once there are many. A merge
+replaces the (release, vintage) slices it derives and touches no other directories, so repeating it changes nothing. A delivery is read once, into a stored table
 of its points, and counted by the job that stores it. Each merge derives its rows once, in the job that writes them,
 and counts them afterwards in the log. What was merged is on the release calendar, so that a late merge finds the
 vintage it ends at.
@@ -37,10 +37,18 @@ from revtide.plans.calendar import (
     following_vintages,
     read_calendar,
 )
-from revtide.schemas import PARTITION_COLUMNS, SERIES_OBSERVATIONS
-from revtide.sources.tables import ensure_table, overwrite_touched, read_table, remove
-
-LOG_PARTITIONS = PARTITION_COLUMNS["series_observations"]
+from revtide.schemas import BUCKET, SERIES_OBSERVATIONS
+from revtide.sources.mutation import with_neighbours
+from revtide.sources.tables import (
+    BY_BUCKET,
+    ensure_table,
+    in_layout,
+    overwrite_touched,
+    read_table,
+    release_bucket,
+    remove,
+    slice_layout,
+)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -48,6 +56,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, SERIES_OBSERVATIONS).select(*SERIES_OBSERVATIONS.names)
 
 
+def _log_of(spark: SparkSession, path: str, scope: DataFrame) -> DataFrame:
+    """The change log, at least the rows of the releases in scope; of a log in buckets only theirs are read."""
+    rows = read_table(spark, path, SERIES_OBSERVATIONS)
+    if BUCKET in rows.columns:
+        buckets = [r[0] for r in scope.select(release_bucket()).distinct().collect()]
+        rows = rows.filter(F.col(BUCKET).isin(buckets))
+    return rows.select(*SERIES_OBSERVATIONS.names)
+
+
 def merge_vintage(
     spark: SparkSession,
     new: DataFrame,
@@ -73,6 +90,8 @@ def merge_vintage(
     scope = merge_scope(points)
     if scope.isEmpty():
         return {**change_counts(log.limit(0)).first().asDict(), **total}
+    partitions = slice_layout(spark, log_path, scope, SERIES_OBSERVATIONS)
+    log = _log_of(spark, log_path, scope)
     changes = detect_changes(log, points, day, scope=scope)
     slices = scope.withColumn("vintage_date", F.lit(day))
     on_day = replaced = F.col("vintage_date") == F.lit(day)
@@ -82,8 +101,8 @@ def merge_vintage(
         changes = changes.unionByName(following_changes(log, points, following))
         slices = slices.unionByName(following.withColumnRenamed("following", "vintage_date"))
         replaced = F.col("vintage_date") >= F.lit(day)
-    stamp = _replace_slices(spark, changes, slices, replaced, log_path, etl_run_id, api_version)
-    written = read_log(spark, log_path).filter(on_day & (F.col("last_updated") == stamp)).join(
+    stamp = _replace_slices(spark, changes, slices, replaced, log_path, partitions, etl_run_id, api_version)
+    written = _log_of(spark, log_path, scope).filter(on_day & (F.col("last_updated") == stamp)).join(
         scope, "release_id", "left_semi"
     )
     return {**change_counts(written).first().asDict(), **total}
@@ -112,14 +131,15 @@ def merge_touched(
     ensure_calendar(spark, merged_path, read_log(spark, log_path))
     extend_calendar(slices, merged_path, etl_run_id, first_new)
     recent = F.col("vintage_date") >= F.lit(first_new)
-    _replace_slices(spark, changes, slices, recent, log_path, etl_run_id, api_version)
+    partitions = slice_layout(spark, log_path, slices, SERIES_OBSERVATIONS)
+    _replace_slices(spark, changes, slices, recent, log_path, partitions, etl_run_id, api_version)
 
 
 def _replace_slices(
     spark: SparkSession, changes: DataFrame, slices: DataFrame, pruning: Column, path: str,
-    etl_run_id: str, api_version: str,
+    partitions: list[str], etl_run_id: str, api_version: str,
 ) -> Column:
-    """Replace slices by change rows; ``pruning`` holds for all their vintages.
+    """Replace slices by change rows; ``pruning`` holds for all their vintages. Other rows of shared directories stay.
 
     Returns the time stamp of the new rows, as a column to compare with.
     """
@@ -131,22 +151,25 @@ def _replace_slices(
         "_etl_run_id": F.lit(etl_run_id),
         "_source_api_version": F.lit(api_version),
     })
-    laid_out = compact(conform(stamped, SERIES_OBSERVATIONS), LOG_PARTITIONS).sortWithinPartitions(*LOG_PARTITIONS, "series_id", "date")
-    overwrite_touched(laid_out, path, LOG_PARTITIONS)
-    _remove_left_over(spark, slices, pruning, path, stamp)
+    rows = conform(stamped, SERIES_OBSERVATIONS)
+    if partitions == BY_BUCKET:
+        rows = with_neighbours(rows, path, slices, SERIES_OBSERVATIONS)
+    laid_out = compact(rows, partitions).sortWithinPartitions(*partitions, "release_id", "series_id", "date")
+    overwrite_touched(laid_out, path, partitions)
+    _remove_left_over(spark, slices, pruning, path, partitions, stamp)
     return stamp
 
 
 def _remove_left_over(
-    spark: SparkSession, slices: DataFrame, pruning: Column, path: str, stamp: Column
+    spark: SparkSession, slices: DataFrame, pruning: Column, path: str, partitions: list[str], stamp: Column
 ) -> None:
-    """Remove the slices that should have no row any more.
+    """Remove the directories whose slices should have no row any more.
 
     Overwriting by touched partition cannot empty one. A replaced slice with rows of another time
     stamp gives it away. It takes a correction that took back every change of a release's vintage; only
     directory names reach the driver, one at a time.
     """
     old = read_log(spark, path).filter(pruning & (F.col("last_updated") != stamp))
-    left = old.join(slices, SLICE, "left_semi").select(*SLICE).distinct()
-    for release, vintage in left.toLocalIterator():
-        remove(spark, f"{path}/vintage_date={vintage}/release_id={release}")
+    left = in_layout(old.join(slices, SLICE, "left_semi"), partitions).select(*partitions).distinct()
+    for values in left.toLocalIterator():
+        remove(spark, "/".join([path, *(f"{name}={value}" for name, value in zip(partitions, values))]))
