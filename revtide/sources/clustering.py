@@ -49,7 +49,7 @@ def cluster_stored(
     """
     rows = read_table(spark, path, schema)
     changed = stored(layout_of(rows, partitions), "layout")
-    if table_exists(spark, record):
+    if table_exists(spark, record) and set(partitions) <= set(read_table(spark, record).columns):
         changed = stored(unrecorded(changed, read_table(spark, record), partitions), "changed")
     found = changed.agg(F.count("*"), F.sum("files"), F.sum("bytes")).first()
     counts = dict(zip(("partitions", "files", "bytes"), (n or 0 for n in found)))

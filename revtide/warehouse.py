@@ -286,7 +286,7 @@ class Warehouse:
                 if PARTITION_COLUMNS.get(name) and CLUSTER_COLUMNS.get(name):
                     clustering.cluster_stored(
                         self.spark, self.path(name), self.path(f"layout/{name}"), CLUSTER_COLUMNS[name],
-                        PARTITION_COLUMNS[name],
+                        self._partitions(name),
                     )
                 else:
                     tables.optimize_table(self.spark, self.path(name), name)
@@ -296,14 +296,14 @@ class Warehouse:
     def update(self, name: str, condition: Column, values: dict[str, Column]) -> dict[str, int]:
         """Set columns of the rows of a table where the condition holds."""
         counts = mutation.update_stored(
-            self.spark, self.path(name), PARTITION_COLUMNS[name], condition, values
+            self.spark, self.path(name), self._partitions(name), condition, values
         )
         self._done(name, "UPDATE", counts)
         return counts
 
     def delete(self, name: str, condition: Column) -> dict[str, int]:
         """Delete the rows of a table where the condition holds."""
-        counts = mutation.delete_stored(self.spark, self.path(name), PARTITION_COLUMNS[name], condition)
+        counts = mutation.delete_stored(self.spark, self.path(name), self._partitions(name), condition)
         self._done(name, "DELETE", counts)
         return counts
 
@@ -312,6 +312,9 @@ class Warehouse:
         metadata = self.table("series_metadata") if metadata is None else metadata
         return quality.release_quality(self.raw(vintage_date), metadata)
 
+    def _partitions(self, name: str) -> list[str]:
+        return tables.partitions_of(self.spark, self.path(name), name)
+
     def _series(self, series_id: str) -> DataFrame:
         return selection.series_filter(self.table("series_observations"), series_id)
 
