@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from revtide.operators.changes import change_log
 from revtide.operators.observations import dedup_vintage_key, to_snapshot
 from revtide.operators.vintages import KEY
+from revtide.session import stored
 
 SNAPSHOT_KEY = [*KEY, "vintage_date"]
 
@@ -61,8 +62,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log of ``snapshots``."""
-    return change_log(snapshots(spark, sf_dir))
+    """Change log of ``snapshots``, which are stored: the log reads them twice, for its calendar and its rows."""
+    return change_log(stored(snapshots(spark, sf_dir), "snapshots"))
 
 
 def snapshots_big(spark: SparkSession, sf_dir: str) -> DataFrame:

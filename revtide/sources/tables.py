@@ -31,6 +31,8 @@ BY_RELEASE, BY_BUCKET = ["vintage_date", "release_id"], ["vintage_date", BUCKET]
 #: Releases that a write or a vintage may have with a directory for each, and the buckets of a vintage beyond that.
 MOST_RELEASES = 512
 RELEASE_BUCKETS = 64
+#: Directories, and rows, that a task of an append should write at most where releases have a directory each.
+TASK_DIRECTORIES, TASK_ROWS = 32, 1 << 20
 
 
 def read_table(
@@ -41,13 +43,36 @@ def read_table(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def first_file(spark: SparkSession, path: str) -> str | None:
+    """A data file of a table, or None if there is none; no more directories are listed than lead to it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return None
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith(".") or (name.startswith("_") and "=" not in name):
+            continue
+        inner = str(status.getPath())
+        found = first_file(spark, inner) if status.isDirectory() else inner
+        if found:
+            return found
+    return None
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
-    """Whether a readable table is at the path."""
-    try:
-        read_table(spark, path, fmt=fmt)
-    except AnalysisException:
-        return False
-    return True
+    """Whether a readable table is at the path.
+
+    One file tells in most formats, so the directories of a large table are not all listed for it.
+    """
+    for place in (first_file(spark, path), path):
+        try:
+            if place:
+                read_table(spark, place, fmt=fmt)
+                return True
+        except AnalysisException:
+            pass
+    return False
 
 
 def ensure_table(spark: SparkSession, path: str, table: str, fmt: str = DEFAULT_FORMAT) -> bool:
@@ -64,11 +89,23 @@ def append(df: DataFrame, path: str, table: str, fmt: str = DEFAULT_FORMAT) -> N
     rows = conform(df, schema_of(table))
     if partitions == BY_RELEASE:
         rows, partitions = sliced(rows, path, schema_of(table), fmt)
-        rows = compact(rows, partitions)
+        rows = compact(rows, partitions) if BUCKET in partitions else spread(rows, partitions)
     writer = rows.write.format(fmt).mode("append")
     writer.option("compression", COMPRESSION).partitionBy(*partitions).save(path)
 
 
+def spread(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Stored rows cut into even ranges of directories.
+
+    Small directories cost their files, not their bytes, by which a rebalance would leave them all to a task or two. A
+    large directory is cut as well.
+    """
+    sizes = rows.groupBy(*partitions).count()
+    directories, count = sizes.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    tasks = max(1, -(-directories // TASK_DIRECTORIES), -(-count // TASK_ROWS))
+    return rows.repartitionByRange(tasks, *partitions, F.xxhash64(*rows.columns))
+
+
 def release_bucket() -> Column:
     """Bucket of a row's release in a table whose releases share directories."""
     return F.pmod(F.xxhash64(F.col("release_id").cast("int")), F.lit(RELEASE_BUCKETS)).cast("int").alias(BUCKET)

@@ -6,6 +6,7 @@ import pytest
 from frames import D1, D2, V1, V2, V3, snapshot
 from pyspark.sql import functions as F
 
+from revtide import fixtures as fx
 from revtide.plans import merge
 from revtide.plans.vintages import ingest_vintages, read_snapshots
 from revtide.schemas import RAW, SNAPSHOTS
@@ -130,3 +131,76 @@ def test_maintenance_of_shared_directories(spark, tmp_path, monkeypatch):
         house.update("snapshots", F.lit(True), {"release_id": F.lit(1)})
     rows = {r["release_id"]: r["value"] for r in house.table("snapshots").collect()}
     assert len(rows) == 89 and rows[7] == 9.0 and rows[6] == 1.0 and SNAPSHOTS.names == house.table("snapshots").columns
+
+
+def jobs_of(spark, function):
+    """How many jobs a function starts."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+        function()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def log_of(spark, releases):
+    """Change rows of many releases."""
+    return spark.range(releases).select(
+        F.col("id").cast("int").alias("release_id"), F.lit("A").alias("series_id"), F.lit(D1).alias("date"),
+        F.lit(V1).alias("vintage_date"), F.lit(1.0).alias("value"), F.lit("insert").alias("_change_type"),
+        F.current_timestamp().alias("last_updated"))
+
+
+def test_existence_is_told_by_one_file(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert tables.ensure_table(spark, path, "series_observations")
+    assert not tables.ensure_table(spark, path, "series_observations")
+    tables.append(log_of(spark, 150), path, "series_observations")
+    assert jobs_of(spark, lambda: tables.ensure_table(spark, path, "series_observations")) <= 1
+    assert merge.read_log(spark, path).count() == 150
+
+
+def test_what_is_no_table(spark, tmp_path):
+    for name in ("empty", "hidden/_temporary/0", "deep/vintage_date=2024-02-01"):
+        (tmp_path / name).mkdir(parents=True)
+    (tmp_path / "hidden/_temporary/0/part-0.parquet").write_bytes(b"")
+    (tmp_path / "hidden/_SUCCESS").write_bytes(b"")
+    for name in ("missing", "empty", "hidden", "deep"):
+        assert not tables.table_exists(spark, str(tmp_path / name))
+    for fmt in ("parquet", "csv", "json"):
+        path = str(tmp_path / fmt)
+        log_of(spark, 3).drop("last_updated").write.format(fmt).partitionBy("vintage_date", "release_id").save(path)
+        assert tables.table_exists(spark, path, fmt)
+    assert tables.table_exists(spark, str(tmp_path / "par*"))
+
+
+def test_small_directories_are_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = log_of(spark, 150).unionAll(log_of(spark, 2).withColumn("series_id", F.lit("B")))
+    tables.append(rows, path, "series_observations")
+    files = [n for _, _, names in os.walk(path) for n in names if n.endswith(".parquet")]
+    assert len({n.split("-")[1] for n in files}) >= 4
+    assert 150 <= len(files) <= 155 and len(leaves(path)) == 150
+    found = merge.read_log(spark, path).select("release_id", "series_id").collect()
+    assert sorted(map(tuple, found)) == sorted([*((r, "A") for r in range(150)), (0, "B"), (1, "B")])
+
+
+def test_one_large_directory_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    rows = log_of(spark, 1000).withColumns({"series_id": F.col("release_id").cast("string"), "release_id": F.lit(1)})
+    path = str(tmp_path / "log")
+    tables.append(rows, path, "series_observations")
+    assert len(leaves(path)) == 1 and merge.read_log(spark, path).count() == 1000
+    assert len([n for _, _, names in os.walk(path) for n in names if n.endswith(".parquet")]) >= 5
+
+
+def test_nothing_to_append(spark, tmp_path):
+    path = str(tmp_path / "log")
+    tables.ensure_table(spark, path, "series_observations")
+    tables.append(log_of(spark, 0), path, "series_observations")
+    assert merge.read_log(spark, path).count() == 0
+
+
+def test_change_log_reads_its_input_once(spark, sf_dir):
+    assert not [f for f in fx.changes(spark, sf_dir).inputFiles() if "events" in f]
