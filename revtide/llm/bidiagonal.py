@@ -66,7 +66,7 @@ def _pair(q1: float, e1: float, q2: float) -> tuple[float, float]:
     """Both eigenvalues of a qd array of two."""
     half = 0.5 * (q1 + q2 + e1)
     product = q1 * q2
-    root = np.sqrt(max(half * half - product, 0.0))
+    root = np.hypot(0.5 * (q1 - q2 + e1), np.sqrt(q2 * e1))  # half * half - product would cancel for near values
     large = half + root
     return large, product / large if large > 0 else 0.0
 

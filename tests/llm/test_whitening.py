@@ -41,6 +41,12 @@ def test_right_singular(name):
         assert np.abs(rows.T @ (rows @ vectors.T) - vectors.T * values).max() < 1e-12 * plain.max()
 
 
+def test_pair_of_near_values():
+    q1, e1, q2 = 25.0, 1e-14, 25.0 + 1e-13
+    plain = np.linalg.eigvalsh([[q1, math.sqrt(q1 * e1)], [math.sqrt(q1 * e1), q2 + e1]])
+    assert np.allclose(sorted(bidiagonal._pair(q1, e1, q2)), plain, rtol=1e-14, atol=0)
+
+
 def test_bidiagonalised():
     a = random.normal(size=(12, 12))
     diagonal, above, w = bidiagonal.bidiagonalised(a)
